@@ -65,24 +65,34 @@ def plan_pages(page_size: int, max_rows: int) -> list[tuple[int, int]]:
 
 
 class ParquetTransport:
-    """Serves rows of one Parquet file by position. Only the row groups that hold the page are read."""
+    """Serves rows of a Parquet file or folder by position. Only the row groups that hold the page are read."""
 
     def __init__(self, options: Mapping[str, str]):
         self.location = options["location"]
 
-    def fetch(self, offset: int, limit: int) -> Iterator[pa.RecordBatch]:
+    def _files(self) -> Iterator[pq.ParquetFile]:
         if "://" in self.location:
             file_system, path = fs.FileSystem.from_uri(self.location)
-            file = pq.ParquetFile(file_system.open_input_file(path))
         else:
-            file = pq.ParquetFile(self.location)
+            file_system, path = fs.LocalFileSystem(), self.location
+        paths = [path]
+        if file_system.get_file_info(path).type == fs.FileType.Directory:
+            inside = file_system.get_file_info(fs.FileSelector(path, recursive=True))
+            paths = sorted(info.path for info in inside if info.path.endswith(".parquet"))
+        for found in paths:
+            yield pq.ParquetFile(file_system.open_input_file(found))
+
+    def fetch(self, offset: int, limit: int) -> Iterator[pa.RecordBatch]:
         first = 0
-        for group in range(file.num_row_groups):
-            rows = file.metadata.row_group(group).num_rows
-            start, end = max(offset, first), min(offset + limit, first + rows)
-            if start < end:
-                yield from file.read_row_group(group).slice(start - first, end - start).to_batches()
-            first += rows
+        for file in self._files():
+            for group in range(file.num_row_groups):
+                rows = file.metadata.row_group(group).num_rows
+                start, end = max(offset, first), min(offset + limit, first + rows)
+                if start < end:
+                    yield from file.read_row_group(group).slice(start - first, end - start).to_batches()
+                first += rows
+                if first >= offset + limit:
+                    return
 
 
 class JsonLinesTransport:
