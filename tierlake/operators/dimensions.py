@@ -63,7 +63,8 @@ def current_members(frame: DataFrame, dimension: Dimension) -> DataFrame:
     """Type 1: one row per business key, the latest when a time column is named.
 
     When the columns are just the key (and the time), a plain hash aggregation does it: the map side already reduces
-    every key to one row and nothing is sorted.
+    every key to one row and nothing is sorted. Without a time the other columns are taken to describe the key, so
+    equal rows are folded the same way before one row per key is picked from the few that are left.
     """
     rows = members(frame, dimension)
     names, keys, time = rows.columns, list(dimension.business_key), dimension.valid_from
@@ -72,8 +73,10 @@ def current_members(frame: DataFrame, dimension: Dimension) -> DataFrame:
         rows = rows.distinct()
     elif others == [time]:
         rows = rows.groupBy(*keys).agg(F.max(time).alias(time)).select(*[quoted(name) for name in names])
+    elif time is None:
+        rows = first_per_key(rows.distinct(), keys)
     else:
-        rows = latest_per_key(rows, keys, [time] if time else [])
+        rows = latest_per_key(rows, keys, [time])
     return rows.withColumn(dimension.surrogate_key, hash_key(keys, dimension.null_token))
 
 

@@ -28,6 +28,7 @@ from tierlake.sources.storage import (
     batch_path,
     latest_batch,
     limit_files,
+    merged_schema,
     path_exists,
     read_bronze,
     write_jsonl,
@@ -183,7 +184,10 @@ def tech_to_func(spark: SparkSession, config: PipelineConfig, batch_id: str | No
     }
     with monitored(spark, config, locate, **about) as facts:
         rows = 0
-        tech = spark.read.option("mergeSchema", "true").parquet(facts["input_path"]).drop(BATCH_COLUMN)
+        if config.func_scope == "all_batches":
+            tech = spark.read.schema(merged_schema(spark, layout.tech)).parquet(layout.tech).drop(BATCH_COLUMN)
+        else:
+            tech = spark.read.parquet(facts["input_path"])
         if not tech.isEmpty():
             existing = None
             if config.against_existing and config.func_mode == "append" and path_exists(spark, layout.func):

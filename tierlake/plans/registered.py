@@ -222,7 +222,8 @@ def quality_reason_report(spark: SparkSession, folder: str) -> DataFrame:
         ColumnRule("l_discount", "double", maximum=0.08),
         ColumnRule("l_returnflag", accepted=("A", "R")),
     )
-    rejected = split(table(spark, folder, "lineitem"), rules)[1]
+    ruled = table(spark, folder, "lineitem").select(*[rule.name for rule in rules])
+    rejected = split(ruled, rules)[1]
     return rejected.groupBy("rejection_reason").agg(
         F.count(F.lit(1)).alias("n"), F.sum("l_orderkey").alias("order_sum")
     )

@@ -6,7 +6,7 @@ from collections.abc import Iterable
 from dataclasses import dataclass
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 # The batch folder name and the time format of a batch id.
 BATCH_COLUMN = "ingestion_timestamp"
@@ -101,6 +101,16 @@ def batch_ids(spark: SparkSession, base: str, name: str = BATCH_COLUMN) -> list[
     return sorted(folder[len(start):] for folder in folders if folder.startswith(start))
 
 
+def merged_schema(spark: SparkSession, base: str) -> T.StructType:
+    """The columns of all batches together. One file per batch is looked at, as a batch has one schema."""
+    samples = []
+    for batch_id in batch_ids(spark, base):
+        file_system, folder = _file_system(spark, batch_path(base, batch_id))
+        names = (status.getPath().toString() for status in file_system.listStatus(folder))
+        samples += [name for name in names if name.endswith(".parquet")][:1]
+    return spark.read.option("mergeSchema", "true").parquet(*samples).schema
+
+
 def latest_batch(spark: SparkSession, base: str, name: str = BATCH_COLUMN) -> str:
     """The greatest batch id in text order."""
     found = batch_ids(spark, base, name)
