@@ -146,7 +146,8 @@ def evaluate(
     Columns without a rule become text. Rules for columns the frame lacks are skipped unless ``require_columns`` is
     set: then a missing column arrives as NULL, so a required one rejects its rows. Checks look at the typed value
     before NULLs are filled, so filling never saves a required field. After the first action over the result,
-    ``observation`` holds ``valid_rows`` and ``rejected_rows``.
+    ``observation`` holds ``valid_rows`` and ``rejected_rows``. The observation also stops column pruning, so select
+    the columns that matter first.
     """
     by_name = {rule.name: rule for rule in rules}
     present = {name.lower() for name in frame.columns}

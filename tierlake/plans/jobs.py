@@ -11,6 +11,7 @@ from tierlake.config import PipelineConfig, load_config
 from tierlake.plans.layers import bronze_to_raw, func_to_gold, ingest, raw_to_tech, tech_to_func
 from tierlake.session import build_session
 from tierlake.sources.catalog import mirror
+from tierlake.sources.staging import drop_staged
 
 
 BATCH_STEPS = (("bronze_to_raw", bronze_to_raw), ("raw_to_tech", raw_to_tech), ("tech_to_func", tech_to_func))
@@ -70,6 +71,7 @@ def main(arguments: Sequence[str] | None = None) -> None:
         else:
             print(run_all(spark, config, options.batch))
     finally:
+        drop_staged(spark)
         spark.stop()
 
 

@@ -21,7 +21,7 @@ from tierlake.operators.hotkeys import DEFAULT_POLICY, HotKeyPolicy
 from tierlake.operators.quality import evaluate
 from tierlake.operators.transform import apply_commands, project
 from tierlake.plans.monitoring import monitored
-from tierlake.sources.readers import read_source
+from tierlake.sources.readers import is_lines, read_source
 from tierlake.sources.storage import (
     BATCH_COLUMN,
     BATCH_FORMAT,
@@ -86,7 +86,7 @@ def ingest(spark: SparkSession, config: PipelineConfig, batch_id: str | None = N
             landed = land_events(spark, config)
         else:
             counted, observation = _counted(read_source(spark, config.source))
-            write_jsonl(counted, path)
+            write_jsonl(counted, path, lines=is_lines(config.source))
             landed = [(batch_id, observation.get["rows"])]
         rows = sum(count for _, count in landed)
         batches = tuple(name for name, count in landed if count)

@@ -50,8 +50,9 @@ def write_event(spark: SparkSession, config: PipelineConfig, event: Mapping[str,
         "pipeline": config.name,
         "event_timestamp": datetime.now(timezone.utc).isoformat(),
     }
-    row = [values.get(field.name, 0 if field.name in _LONGS else "") for field in schema.fields]
-    spark.createDataFrame([row], schema).coalesce(1).write.mode("append").parquet(event_path(config, values))
+    row = {field.name: values.get(field.name, 0 if field.name in _LONGS else "") for field in schema.fields}
+    selected = ", ".join("CAST(:{0} AS {1}) AS {0}".format(item.name, item.dataType.simpleString()) for item in schema)
+    spark.sql("SELECT " + selected, args=row).write.mode("append").parquet(event_path(config, values))
 
 
 @contextmanager

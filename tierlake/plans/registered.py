@@ -50,14 +50,17 @@ def columns(*names: str) -> tuple[OutputColumn, ...]:
 
 # --- events with planted dirt -------------------------------------------------------------------------------------
 
-DIRTY = """
-    event_id, user_id, ts,
-    case when event_id % 11 = 0 then '  ' when event_id % 13 = 0 then 'abc' when event_id % 17 = 0 then '-5'
-         when event_id % 19 = 0 then '9999' else cast(value as string) end as value,
-    case when event_id % 7 = 0 then '' when event_id % 23 = 0 then cast(user_id as string) || '.7'
-         when event_id % 31 = 0 then '1e3' else cast(user_id as string) end as visitor,
-    case when event_id % 29 = 0 then 'unknown' else event_type end as kind
-"""
+DIRTY_COLUMNS = (
+    "event_id",
+    "user_id",
+    "ts",
+    "case when event_id % 11 = 0 then '  ' when event_id % 13 = 0 then 'abc' when event_id % 17 = 0 then '-5' "
+    "when event_id % 19 = 0 then '9999' else cast(value as string) end as value",
+    "case when event_id % 7 = 0 then '' when event_id % 23 = 0 then cast(user_id as string) || '.7' "
+    "when event_id % 31 = 0 then '1e3' else cast(user_id as string) end as visitor",
+    "case when event_id % 29 = 0 then 'unknown' else event_type end as kind",
+)
+DIRTY = ", ".join(DIRTY_COLUMNS)
 
 RULES = (
     ColumnRule("event_id", "bigint", required=True),
@@ -101,20 +104,7 @@ CHECKED = """
 
 
 def dirty_events(spark: SparkSession, folder: str) -> DataFrame:
-    return table(spark, folder, "events").selectExpr(*_projection(DIRTY))
-
-
-def _projection(text: str) -> list[str]:
-    """Cut a select list at its top-level commas."""
-    parts, depth, current = [], 0, ""
-    for symbol in text:
-        depth += {"(": 1, ")": -1}.get(symbol, 0)
-        if symbol == "," and depth == 0:
-            parts.append(current.strip())
-            current = ""
-        else:
-            current += symbol
-    return [*parts, current.strip()]
+    return table(spark, folder, "events").selectExpr(*DIRTY_COLUMNS)
 
 
 def valid_events(spark: SparkSession, folder: str) -> DataFrame:
@@ -211,7 +201,7 @@ def quality_counts(spark: SparkSession, folder: str) -> DataFrame:
         case when l_discount > 0.08 then 'field=l_discount; check=unexpected_value; reason=above_maximum' end as d,
         case when l_returnflag not in ('A', 'R')
              then 'field=l_returnflag; check=unexpected_value; reason=not_accepted' end as f from lineitem)
-    select concat_ws('; ', q, d, f) as rejection_reason, count(*) as n, sum(l_orderkey) as order_sum
+    select concat_ws('; ', q, d, f) as rejection_reason, count(*) as n, cast(sum(l_orderkey) as bigint) as order_sum
     from bad where coalesce(q, d, f) is not null group by 1
     """
 )
@@ -811,7 +801,6 @@ def _orders_source(spark: SparkSession, folder: str) -> dict:
         "type": "api",
         "provider": "parquet",
         "location": "{}/orders.parquet".format(folder),
-        "schema": ", ".join("{} {}".format(*item) for item in orders.dtypes),
         "pagination": {"page_size": 5000, "max_rows": orders.count()},
     }
 

@@ -6,7 +6,8 @@
 * ``page_size`` and ``max_rows``: pages of ``page_size`` rows up to ``max_rows``; the last page may be smaller
 * ``max_retries``: extra attempts after a transient failure, with a growing pause between them
 
-All planned pages are read, in parallel; pages beyond the end of the source are empty.
+All planned pages are read, in parallel; pages beyond the end of the source are empty. With the schema
+``value string``, JSON rows arrive as their JSON text; with other string columns, nested values do.
 """
 
 from __future__ import annotations
@@ -17,6 +18,9 @@ import sys
 import time
 from collections.abc import Callable, Iterator, Mapping
 from typing import Any
+from urllib.error import HTTPError, URLError
+from urllib.parse import urlencode
+from urllib.request import urlopen
 
 import pyarrow as pa
 import pyarrow.parquet as pq
@@ -28,6 +32,7 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 # HTTP status codes worth another attempt, and the longest pause in seconds.
 TRANSIENT_STATUS = (429, 500, 502, 503, 504)
 LONGEST_PAUSE = 60
+LINE_SCHEMA_NAMES = ["value"]
 
 
 class TransientError(Exception):
@@ -114,7 +119,35 @@ class JsonLinesTransport:
                 position += 1
 
 
-TRANSPORTS: dict[str, type] = {"parquet": ParquetTransport, "jsonl": JsonLinesTransport}
+class HttpTransport:
+    """Pages of a JSON-over-HTTP source that understands ``$limit``, ``$offset`` and a ``$where`` range."""
+
+    def __init__(self, options: Mapping[str, str], opener: Callable[..., Any] = urlopen):
+        self.options = options
+        self.opener = opener
+
+    def _url(self, offset: int, limit: int) -> str:
+        parameters = {"$limit": limit, "$offset": offset}
+        if "filter_column" in self.options:
+            parameters["$where"] = "{filter_column} between '{filter_start}' and '{filter_end}'".format(**self.options)
+        return "{}?{}".format(self.options["endpoint"], urlencode(parameters))
+
+    def fetch(self, offset: int, limit: int) -> Iterator[Mapping[str, Any]]:
+        seconds = float(self.options.get("request_timeout_seconds", 120))
+        try:
+            with self.opener(self._url(offset, limit), timeout=seconds) as response:
+                yield from json.loads(response.read())
+        except HTTPError as error:
+            raise TransientError(str(error), error.code) from error
+        except URLError as error:
+            raise TransientError(str(error)) from error
+
+
+TRANSPORTS: dict[str, type] = {
+    "parquet": ParquetTransport,
+    "jsonl": JsonLinesTransport,
+    "soda": HttpTransport,
+}
 
 
 def register_transport(name: str, transport: type) -> None:
@@ -137,6 +170,8 @@ def _transport(options: Mapping[str, str]) -> Any:
 
 def _values(row: Mapping[str, Any], names: list[str]) -> tuple:
     """One row in schema order; nested values stay JSON text, scalars become text."""
+    if names == LINE_SCHEMA_NAMES:
+        return (json.dumps(row, ensure_ascii=False),)
     values = []
     for name in names:
         value = row.get(name)

@@ -8,15 +8,27 @@ from tierlake.config import SourceConfig
 from tierlake.sources import paged
 from tierlake.sources.storage import between
 
+LINE_SCHEMA = "value string"
+
+
+def is_lines(source: SourceConfig) -> bool:
+    """Does the source deliver JSON lines in one column?"""
+    return source.type == "api" and source.provider != "parquet" and "schema" not in source.options
+
 
 def read_pages(spark: SparkSession, source: SourceConfig) -> DataFrame:
-    """All pages of a paged source; ``provider`` names the transport."""
+    """All pages of a paged source; ``provider`` names the transport, which also gets the configured range.
+
+    Without a ``schema`` the rows come as JSON lines in one column, to be landed as they are; Parquet brings its own.
+    """
     paged.register(spark)
-    options = {key: str(value) for key, value in source.options.items() if key not in ("schema", "columns")}
-    schema = source.options.get("schema") or ", ".join(
-        "`{}` string".format(name) for name in source.options["columns"]
-    )
-    options.setdefault("location", options.get("endpoint", ""))
+    if is_lines(source):
+        schema = LINE_SCHEMA
+    else:
+        schema = source.options.get("schema") or spark.read.parquet(source.options["location"]).schema
+    options = {key: str(value) for key, value in source.options.items() if key != "schema"}
+    if source.filter:
+        options.update({"filter_{}".format(key): str(source.filter[key]) for key in ("column", "start", "end")})
     return (
         spark.read.format("paged")
         .schema(schema)
@@ -72,6 +84,6 @@ def read_source(spark: SparkSession, source: SourceConfig) -> DataFrame:
         frame = read_table(spark, source)
     else:
         raise ValueError("Sources of type {} are read as a stream".format(source.type))
-    if source.filter:
+    if source.filter and source.filter["column"] in frame.columns:
         frame = between(frame, source.filter["column"], source.filter["start"], source.filter["end"])
     return frame if source.max_rows is None or source.type == "api" else frame.limit(source.max_rows)

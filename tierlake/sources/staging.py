@@ -28,11 +28,13 @@ def staging_root(spark: SparkSession) -> str:
     return "file://" + _local_roots[application]
 
 
+def _application_folder(spark: SparkSession) -> str:
+    return "{}/{}".format(staging_root(spark), spark.sparkContext.applicationId)
+
+
 def new_folder(spark: SparkSession, label: str) -> str:
     """A fresh path under the staging root; nothing is created yet."""
-    return "{}/{}/{}-{}".format(
-        staging_root(spark), spark.sparkContext.applicationId, label, uuid.uuid4().hex[:12]
-    )
+    return "{}/{}-{}".format(_application_folder(spark), label, uuid.uuid4().hex[:12])
 
 
 def stage(frame: DataFrame, label: str) -> DataFrame:
@@ -41,3 +43,9 @@ def stage(frame: DataFrame, label: str) -> DataFrame:
     path = new_folder(spark, label)
     frame.write.parquet(path)
     return spark.read.schema(frame.schema).parquet(path)
+
+
+def drop_staged(spark: SparkSession) -> None:
+    """Delete everything this application staged. Call it when its results are written."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(_application_folder(spark))
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

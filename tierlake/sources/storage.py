@@ -176,8 +176,14 @@ def limit_files(frame: DataFrame, partitions: int | None) -> DataFrame:
     return frame if partitions is None else frame.repartition(int(partitions))
 
 
-def write_jsonl(frame: DataFrame, path: str) -> None:
-    """Land rows as JSON lines, replacing the folder. NULLs and microseconds are kept."""
+def write_jsonl(frame: DataFrame, path: str, lines: bool = False) -> None:
+    """Land rows as JSON lines, replacing the folder. NULLs and microseconds are kept.
+
+    With ``lines`` the frame's only column holds JSON lines already.
+    """
+    if lines:
+        frame.write.mode("overwrite").text(path)
+        return
     moment = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
     frame.write.mode("overwrite").option("ignoreNullFields", "false").option("timestampNTZFormat", moment).option(
         "timestampFormat", moment + "XXX"
