@@ -14,6 +14,7 @@ from tierlake.operators.facts import (
     DimensionJoin,
     Fact,
     build_fact,
+    lookup,
     lookup_between,
     lookup_sorted,
     most_versions,
@@ -230,3 +231,32 @@ def test_unequal_key_lists_are_refused(spark):
     fact = Fact("f", columns("k"), (DimensionJoin("d", ("k",), ("k", "v")),))
     with pytest.raises(ValueError, match="as many"):
         build_fact(spark.createDataFrame([(1,)], "k int"), fact, {}, {"d": versioned()})
+
+
+def test_a_hot_key_is_split_even_when_two_lookups_share_it(spark):
+    """A third of all fact rows has one key, and both dimensions are too large to broadcast."""
+    key = F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id")).alias("k")
+    text = F.sha2(F.col("id").cast("string"), 256)
+    facts = stage(spark.range(0, 300_000, 1, 12).select(key, text.alias("pad")), "facts")
+    members = stage(spark.range(-1, 300_000).select(F.col("id").alias("k"), text.alias("sk"), F.col("id").alias("n")), "dim")
+    tuned = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "200KB",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    before = {name: spark.conf.get(name, None) for name in tuned}
+    for name, value in tuned.items():
+        spark.conf.set(name, value)
+    try:
+        once = lookup(facts, members, [("k", "k")], "sk", "first")
+        twice = lookup(once, members, [("k", "k")], "n", "second")
+        rows = twice.collect()
+        shown = twice._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+        assert len(rows) == 300_000 and all(row["k"] == row["second"] for row in rows)
+        assert shown.count("skew=true") == 2
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)

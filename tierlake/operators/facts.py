@@ -12,6 +12,7 @@ from tierlake.functions.scalars import quoted
 from tierlake.operators.dimensions import HASH_COLUMN, Dimension
 from tierlake.operators.hotkeys import DEFAULT_POLICY, SLOT, HotKeyPolicy, cut_hot_keys
 from tierlake.operators.transform import OutputColumn
+from tierlake.session import split_hot_joins
 from tierlake.sources.staging import stage
 
 # Above this many versions of one key, comparing every fact row with every version of its key costs more than sorting.
@@ -46,6 +47,7 @@ def _all(conditions: Sequence[Column]) -> Column:
 
 
 def _attach(fact: DataFrame, dimension: DataFrame, condition: Column, surrogate: str, output: str) -> DataFrame:
+    split_hot_joins(fact.sparkSession)
     joined = fact.alias("fact").join(dimension.alias("dim"), condition, "left")
     return joined.select("fact.*", F.col("dim.{}".format(surrogate)).alias(output))
 

@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tierlake.session import split_hot_joins
 from tierlake.sources.staging import stage
 
 # Aggregate functions a configuration may name.
@@ -99,6 +100,7 @@ def enrich(frame: DataFrame, enrichments: Sequence[Enrichment]) -> DataFrame:
     shuffle stages AQE splits the partition of a hot group. Enrichments that need no result of an earlier one are
     aggregated from the same input.
     """
+    split_hot_joins(frame.sparkSession)
     base, produced = frame, set()
     for item in _merged(enrichments):
         if _needed(item) & produced:

@@ -4,9 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
+FORCE_SKEW_SPLIT = "spark.sql.adaptive.forceOptimizeSkewedJoin"
+
 # Fixed values. AQE coalesces and splits shuffle partitions at run time, so joins on a hot key are cut into
 # several tasks; UTC makes text-to-timestamp casts independent of the host.
 DEFAULTS = {
+    FORCE_SKEW_SPLIT: "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -20,3 +23,12 @@ def build_session(app_name: str, settings: dict[str, str] | None = None) -> Spar
     for key, value in {**DEFAULTS, **(settings or {})}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
+
+
+def split_hot_joins(spark: SparkSession) -> None:
+    """Let AQE split a hot join partition also where a later step could have reused the partitioning.
+
+    Without this, two joins on one key (or a join and a window on it) share a shuffle, AQE leaves it whole, and a key
+    with a third of all rows ends up in one task. With it, Spark adds a shuffle in just those cases.
+    """
+    spark.conf.set(FORCE_SKEW_SPLIT, "true")
