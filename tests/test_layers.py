@@ -168,7 +168,8 @@ def test_history_appends_only_new_versions_when_asked(spark, root, tmp_path):
         config = configuration(base, tmp_path / "drop", dedup={**hashing, "against_existing": against})
         drop(tmp_path / "drop", "one.jsonl", ROWS[:3])
         for batch in ("20240101T000000Z", "20240102T000000Z"):
-            run_all(spark, config, batch, with_catalog=False)
+            for step in (ingest, bronze_to_raw, raw_to_tech, tech_to_func):
+                step(spark, config, batch)
         assert spark.read.parquet(config.layout.func).count() == expected
 
 

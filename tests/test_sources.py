@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tierlake.sources import paged
 from tierlake.sources.catalog import identifier, register_table
-from tierlake.sources.staging import stage
+from tierlake.sources.staging import drop_staged, stage
 from tierlake.sources.storage import (
     batch_ids,
     between,
@@ -78,6 +78,9 @@ def test_range_reaches_the_files(spark, root):
 def test_slice_limits(spark):
     frame = spark.range(20).repartition(3)
     assert [row[0] for row in slice_rows(frame, ["id"], 5, 3).collect()] == [5, 6, 7]
+    for offset in (0, 4, 17, 25):
+        deep = slice_rows(frame, [F.desc("id")], offset, 5, deep_offset=0)
+        assert [row[0] for row in deep.collect()] == list(range(19, -1, -1))[offset : offset + 5]
     for offset, limit in ((0, 0), (0, 5001), (-1, 5)):
         with pytest.raises(ValueError):
             slice_rows(frame, ["id"], offset, limit)
@@ -90,6 +93,14 @@ def test_number_of_files_is_capped(spark, root):
     assert limit_files(frame, None) is frame
 
 
+def test_staged_tables_can_be_dropped(spark):
+    kept = stage(spark.range(3), "gone")
+    folder = kept.inputFiles()[0].rsplit("/", 1)[0]
+    assert path_exists(spark, folder)
+    drop_staged(spark)
+    assert not path_exists(spark, folder)
+
+
 def test_staged_tables_keep_schema_and_rows(spark):
     frame = spark.sql("select 1 as a, 'x' as b, map('k', 2) as m, timestamp_ntz'2024-01-01' as t")
     kept = stage(frame, "kept")

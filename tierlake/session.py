@@ -5,11 +5,13 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 FORCE_SKEW_SPLIT = "spark.sql.adaptive.forceOptimizeSkewedJoin"
+METHOD_LIMIT = "spark.sql.codegen.hugeMethodLimit"
 
 # Fixed values. AQE coalesces and splits shuffle partitions at run time, so joins on a hot key are cut into
 # several tasks; UTC makes text-to-timestamp casts independent of the host.
 DEFAULTS = {
     FORCE_SKEW_SPLIT: "true",
+    METHOD_LIMIT: "8000",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -32,3 +34,12 @@ def split_hot_joins(spark: SparkSession) -> None:
     with a third of all rows ends up in one task. With it, Spark adds a shuffle in just those cases.
     """
     spark.conf.set(FORCE_SKEW_SPLIT, "true")
+
+
+def avoid_huge_methods(spark: SparkSession) -> None:
+    """Keep generated methods small enough for the JVM to compile.
+
+    HotSpot interprets methods above 8000 bytes, and rules over a few dozen columns make such methods when a whole
+    stage is fused. Above this limit Spark generates split code per operator instead, which does get compiled.
+    """
+    spark.conf.set(METHOD_LIMIT, "8000")

@@ -8,6 +8,8 @@ from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
+from tierlake.sources.staging import stage
+
 # The batch folder name and the time format of a batch id.
 BATCH_COLUMN = "ingestion_timestamp"
 BATCH_FORMAT = "%Y%m%dT%H%M%SZ"
@@ -159,13 +161,32 @@ def between(frame: DataFrame, column: str, start: Any, end: Any) -> DataFrame:
     return frame.filter(F.col(column).between(F.lit(start), F.lit(end)))
 
 
-def slice_rows(frame: DataFrame, order: list[str | Column], offset: int, limit: int) -> DataFrame:
-    """Rows ``offset .. offset + limit`` in a given order (``limit`` 1..5000, as for a served page)."""
+def slice_rows(
+    frame: DataFrame, order: list[str | Column], offset: int, limit: int, deep_offset: int = 1_000_000
+) -> DataFrame:
+    """Rows ``offset .. offset + limit`` in a given order (``limit`` 1..5000, as for a served page).
+
+    Near the start this is a top-k, which needs no full sort. From ``deep_offset`` on a top-k would pull everything
+    before the page through one task; the frame is then range-sorted into a stored table instead, the partitions that
+    hold the page follow from their row counts, and only those are read.
+    """
     if not 1 <= limit <= 5000:
         raise ValueError("limit must lie between 1 and 5000")
     if offset < 0:
         raise ValueError("offset must not be negative")
-    return frame.orderBy(*order).offset(offset).limit(limit)
+    if offset < deep_offset:
+        return frame.orderBy(*order).offset(offset).limit(limit)
+    part = "__part"
+    stored = stage(frame.orderBy(*order).withColumn(part, F.spark_partition_id()), "sorted")
+    before, wanted, skipped = 0, [], 0
+    for number, rows in sorted(map(tuple, stored.groupBy(part).count().collect())):
+        if before < offset + limit and before + rows > offset:
+            if not wanted:
+                skipped = before
+            wanted.append(number)
+        before += rows
+    page = stored.filter(F.col(part).isin(wanted)).drop(part)
+    return page.orderBy(*order).offset(offset - skipped).limit(limit)
 
 
 def limit_files(frame: DataFrame, partitions: int | None) -> DataFrame:
