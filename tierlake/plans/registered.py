@@ -783,9 +783,14 @@ def star_schema(spark: SparkSession, folder: str) -> DataFrame:
 # --- sources and sinks -----------------------------------------------------------------------------------------------
 
 
-@registered("select * from orders order by o_orderkey offset 5000 limit 1000")
+@registered("select * from orders order by o_orderkey offset 1000 limit 500")
 def page_slice(spark: SparkSession, folder: str) -> DataFrame:
-    return slice_rows(table(spark, folder, "orders"), ["o_orderkey"], 5000, 1000)
+    return slice_rows(table(spark, folder, "orders"), ["o_orderkey"], 1000, 500)
+
+
+@registered("select * from orders order by o_orderkey offset 1000 limit 500")
+def page_slice_deep(spark: SparkSession, folder: str) -> DataFrame:
+    return slice_rows(table(spark, folder, "orders"), ["o_orderkey"], 1000, 500, deep_offset=0)
 
 
 @registered(
