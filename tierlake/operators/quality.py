@@ -59,18 +59,14 @@ class ColumnRule:
         )
 
 
-def _bound(value: Any) -> Column:
-    return F.lit(value)
-
-
 def _check_code(source: Column, value: Column, rule: ColumnRule) -> Column:
     code = F.when(source.isNotNull() & value.isNull(), F.lit(CAST_FAILED))
     if rule.required:
         code = code.when(source.isNull(), F.lit(MISSING))
     if rule.minimum is not None:
-        code = code.when(value < _bound(rule.minimum), F.lit(BELOW))
+        code = code.when(value < F.lit(rule.minimum), F.lit(BELOW))
     if rule.maximum is not None:
-        code = code.when(value > _bound(rule.maximum), F.lit(ABOVE))
+        code = code.when(value > F.lit(rule.maximum), F.lit(ABOVE))
     if rule.accepted:
         accepted = [typed_literal(item, rule.type) for item in rule.accepted]
         code = code.when(value.isNotNull() & ~value.isin(*accepted), F.lit(NOT_ACCEPTED))
