@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tierlake.llm.exact_dedup import exact_groups
+from tierlake.llm.decontaminate import benchmark_hits
+from tierlake.llm.mixing import mix_sources
 from tierlake.llm.near_dedup import near_groups
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -53,3 +55,99 @@ def op2_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     """Components of documents whose 4-word shingle sets have a Jaccard similarity of 0.85 or more."""
     groups = near_groups(_table(spark, folder, "documents"), words=4, percent=85)
     return groups.select(F.col("row_id").alias("doc_id"), "n_shingles", "component_id")
+
+
+@_query(
+    "op5_source_mixing",
+    r"""
+    WITH RECURSIVE docs AS (
+      SELECT doc_id, source, coalesce('s' || source, 'n') AS grp,
+             len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS n_tokens FROM documents),
+    src AS (SELECT grp, sum(n_tokens)::BIGINT AS tokens FROM docs GROUP BY grp HAVING sum(n_tokens) > 0),
+    lists AS (SELECT list(ln(tokens) - (SELECT max(ln(tokens)) FROM src)) AS ds, list(tokens) AS ts,
+                     0.998::DOUBLE * ln(count(*)) AS target, sum(tokens)::DOUBLE AS total FROM src),
+    step(i, lo, hi, lo2, hi2) AS (  -- smallest points below the entropy, and within the repetitions
+      SELECT 0, 0::BIGINT, 1073741824::BIGINT, 0::BIGINT, 1073741824::BIGINT
+      UNION ALL
+      SELECT i + 1,
+        CASE WHEN low THEN lo ELSE least(mid + 1, hi) END, CASE WHEN low THEN mid ELSE hi END,
+        CASE WHEN fits THEN lo2 ELSE least(mid2 + 1, hi2) END, CASE WHEN fits THEN mid2 ELSE hi2 END
+      FROM (
+        SELECT i, lo, hi, lo2, hi2, mid, mid2,
+          ln(list_sum(list_transform(ds, lambda d: exp(mid / 1073741824.0::DOUBLE * d))))
+            - list_sum(list_transform(ds, lambda d: exp(mid / 1073741824.0::DOUBLE * d) * d)) * (mid / 1073741824.0::DOUBLE)
+            / list_sum(list_transform(ds, lambda d: exp(mid / 1073741824.0::DOUBLE * d))) < target AS low,
+          list_max(list_transform(list_zip(ds, ts), lambda p: exp(mid2 / 1073741824.0::DOUBLE * p[1]) / p[2]))
+            / list_sum(list_transform(ds, lambda d: exp(mid2 / 1073741824.0::DOUBLE * d))) * total <= 4.0 AS fits
+        FROM (SELECT *, (lo + hi) // 2 AS mid, (lo2 + hi2) // 2 AS mid2 FROM step WHERE i < 32) s, lists) t),
+    exponent AS (
+      SELECT greatest(CASE WHEN hi - 1 >= 1073741823 THEN 1073741824 ELSE hi - 1 END, hi2, 0) / 1073741824.0::DOUBLE AS a
+      FROM step WHERE i = 32),
+    power AS (SELECT grp, tokens, exp(a * (ln(tokens) - (SELECT max(ln(tokens)) FROM src))) AS p FROM src, exponent),
+    quota AS (SELECT grp, tokens, round((SELECT total FROM lists) * p / (SELECT sum(p) FROM power))::BIGINT AS q FROM power),
+    plan AS (SELECT grp, q // tokens AS passes, q % tokens AS rest, ceil(tokens / 1048576.0)::BIGINT AS blocks FROM quota),
+    dealt AS (
+      SELECT d.*, passes, rest,
+             ('0x' || substr(md5('0|' || coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT % blocks AS block
+      FROM docs d JOIN plan USING (grp)),
+    sizes AS (SELECT grp, passes, rest, block, sum(n_tokens) AS tokens FROM dealt GROUP BY ALL),
+    placed AS (
+      SELECT *, sum(tokens) OVER (PARTITION BY grp ORDER BY md5('0|' || grp || '|' || passes || '|' || block), block
+                                  ROWS UNBOUNDED PRECEDING) AS upto FROM sizes),
+    tried AS (
+      SELECT d.*, upto <= p.rest AS whole, p.rest - upto + p.tokens AS room
+      FROM dealt d JOIN placed p USING (grp, block) WHERE upto - p.tokens < p.rest),
+    cut AS (
+      SELECT *, sum(n_tokens) OVER (PARTITION BY grp, block
+                  ORDER BY md5('0|' || passes || '|' || coalesce(doc_id::VARCHAR, '')), n_tokens ROWS UNBOUNDED PRECEDING) AS used
+      FROM tried WHERE NOT whole),
+    uses AS (
+      SELECT doc_id, source, grp, block, n_tokens, unnest(range(passes)) AS epoch FROM dealt
+      UNION ALL SELECT doc_id, source, grp, block, n_tokens, passes FROM tried WHERE whole
+      UNION ALL SELECT doc_id, source, grp, block, n_tokens, passes FROM cut WHERE used <= room)
+    SELECT doc_id, source, epoch::INTEGER AS epoch, block, n_tokens, md5('0|' || grp || '|' || epoch || '|' || block) AS mix_key,
+           md5('0|' || epoch || '|' || coalesce(doc_id::VARCHAR, '')) AS doc_key
+    FROM uses""",
+)
+def op5_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    """The mixture of all sources at 99.8 % of the highest entropy, at most four uses of a source, budget: all tokens."""
+    return mix_sources(_table(spark, folder, "documents"))
+
+
+@_query(
+    "op9_decontamination",
+    r"""
+    WITH docs AS (
+      SELECT doc_id, row_number() OVER () AS rid, regexp_extract_all(translate(coalesce(text, ''),
+             'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM documents),
+    items AS (
+      SELECT item_id, regexp_extract_all(translate(coalesce(text, ''),
+             'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM benchmark),
+    sized AS (SELECT item_id, words, least(len(words), 10) AS m FROM items WHERE len(words) > 0),
+    windows AS (
+      SELECT DISTINCT item_id, m, array_to_string(words[s : s + m - 1], ' ') AS passage
+      FROM (SELECT *, unnest(range(1, len(words) - m + 2)) AS s FROM sized)),
+    sizes AS (SELECT DISTINCT m FROM windows),
+    spots AS (
+      SELECT rid, m, s, array_to_string(words[s : s + m - 1], ' ') AS passage
+      FROM (SELECT rid, words, m, unnest(range(1, len(words) - m + 2)) AS s FROM docs, sizes WHERE len(words) >= m)),
+    found AS (SELECT rid, s, spots.m AS m, item_id FROM spots JOIN windows USING (m, passage)),
+    hit AS (SELECT rid, count(DISTINCT p) AS n_hit FROM (SELECT rid, unnest(range(s, s + m)) AS p FROM found) GROUP BY rid),
+    held AS (
+      SELECT rid, count(DISTINCT item_id) AS n_items, array_to_string(list_sort(list(DISTINCT item_id::VARCHAR)), ',') AS ids
+      FROM found WHERE item_id IS NOT NULL GROUP BY rid)
+    SELECT doc_id, len(words) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+           sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+    FROM docs LEFT JOIN hit USING (rid) LEFT JOIN held USING (rid)""",
+)
+def op9_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    """Words of every document inside windows of ten benchmark words."""
+    hits = benchmark_hits(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+    return hits.select(
+        F.col("row_id").alias("doc_id"),
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
