@@ -17,7 +17,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SLICE_BYTES = 4_000_000
-SPACE = frozenset(b"\x20\x09\x0a\x0b\x0c\x0d")
+SPACE = bytes(b"\x20\x09\x0a\x0b\x0c\x0d")
+#: All ASCII bytes but letters and digits.
+PUNCTUATION = bytes(b for b in range(128) if not chr(b).isalnum())
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
 
@@ -72,10 +74,10 @@ def text_slices(texts: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int
         row = end
 
 
-def word_spans(offsets: np.ndarray, content: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start, end and row of every word (runs of bytes other than the six white-space bytes; texts are apart)."""
+def word_spans(offsets: np.ndarray, content: np.ndarray, between: bytes = SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start, end and row of every word (runs of bytes other than ``between``; texts are apart)."""
     blank = np.zeros(256, dtype=bool)
-    blank[list(SPACE)] = True
+    blank[list(between)] = True
     inside = ~blank[content]
     first = inside.copy()
     first[1:] &= ~inside[:-1]
@@ -104,9 +106,9 @@ def fold(words: np.ndarray, first: np.ndarray, length: int) -> np.ndarray:
     return mix(out)
 
 
-def shingles(offsets: np.ndarray, content: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+def shingles(offsets: np.ndarray, content: np.ndarray, size: int, between: bytes = SPACE) -> tuple[np.ndarray, np.ndarray]:
     """(row, hash) of every word shingle in text order; a text of fewer words gives its whole sequence, if any."""
-    starts, ends, rows = word_spans(offsets, content)
+    starts, ends, rows = word_spans(offsets, content, between)
     words = word_hashes(content, starts, ends)
     counts = np.bincount(rows, minlength=offsets.size - 1)
     first = np.cumsum(counts) - counts
