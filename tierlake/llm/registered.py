@@ -16,6 +16,7 @@ from tierlake.llm.mixing import mix_sources
 from tierlake.llm.near_dedup import near_groups
 from tierlake.llm.quality import score_quality, train
 from tierlake.llm.token_counts import count_tokens
+from tierlake.llm.warc import roundtrip
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -194,3 +195,20 @@ def op9_decontamination(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
         (F.col("n_hit") > 0).alias("contaminated"),
     )
+
+
+@_query(
+    "op10_warc",
+    """
+    WITH body AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+    marked AS (
+      SELECT page_id, strlen(html) AS payload_bytes, sha1(html) AS payload_digest,
+             CASE WHEN strlen(html) >= 1000 THEN max(page_id) OVER (PARTITION BY html) END AS holder FROM body)
+    SELECT page_id, payload_bytes, payload_digest, CASE WHEN holder <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+           CASE WHEN holder <> page_id THEN holder END AS refers_to
+    FROM marked""",
+)
+def op10_warc(spark: SparkSession, folder: str) -> DataFrame:
+    """All pages written to WARC archives and read back."""
+    pages = roundtrip(_table(spark, folder, "pages"))
+    return pages.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
