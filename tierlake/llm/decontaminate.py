@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tierlake.llm.common import mark_probable
-from tierlake.llm.exact_dedup import FILTER_BITS
+from tierlake.llm.exact_dedup import FILTER_BITS, columns_of
 from tierlake.sources.staging import stage
 
 BREAK = "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
@@ -131,7 +131,7 @@ def drop_contaminated(docs: DataFrame, items: DataFrame, key: str = "doc_id", te
     """The documents without any benchmark window, columns as they were; rows without a key are judged by all keyless texts."""
     hits = benchmark_hits(docs, items, key, text, filter_bits=filter_bits, **options).filter("n_hit > 0")
     hit = stage(hits.select(F.coalesce("row_id", F.lit(NO_KEY)).alias("__row")).distinct(), "contaminated")
-    columns = [F.col("`{}`".format(c.replace("`", "``"))) for c in docs.columns]
+    columns = columns_of(docs)
     own = docs.withColumn("__own", F.coalesce(F.col(key).cast("long"), F.lit(NO_KEY)))
     marked = mark_probable(own, F.col("__own"), hit, filter_bits, "__hit")
     asked = marked.filter("__hit").join(hit, F.col("__own") == F.col("__row"), "left_anti")

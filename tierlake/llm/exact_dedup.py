@@ -183,7 +183,7 @@ def exact_groups(
     again = mark_probable(rows, F.col("row_id"), suspects.select("row_id"), filter_bits, "probable")
     bodies = again.filter("probable").select(digest.alias("digest"), "body", "row_id")
     verified = bodies.groupBy("digest", "body").agg(F.min("row_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
-    verified = stage(verified.filter("group_size > 1").withColumn("body_size", F.octet_length("body")), "groups")
+    verified = stage(verified, "groups")
     # Texts of one digest that differ: nobody knows any for SHA-256, weak digests have them. Members then join by text too.
     twins = verified.groupBy("digest").agg(F.count(F.lit(1)).alias("texts")).filter("texts > 1").select("digest")
     single = verified.join(twins, "digest", "left_anti").select("digest", "keep_id", "group_size")
@@ -216,7 +216,20 @@ def drop_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", filter
     then one of them stays.
     """
     groups = exact_groups(docs, key, text, filter_bits=filter_bits).filter("group_size > 1")
-    return keep_first(docs, key, stage(groups.select("row_id", "keep_id"), "copies"), filter_bits)
+    groups = stage(groups.select("row_id", "keep_id", "digest"), "copies")
+    keyed = keep_first(docs.filter(F.col(key).isNotNull()), key, groups.filter("row_id is not null"), filter_bits)
+    kept = groups.groupBy(F.col("digest").alias("__digest")).agg(F.min("keep_id").alias("__keep"))
+    digest = F.unhex(F.sha2(normalised(F.col(text)), 256))
+    keyless = docs.filter(F.col(key).isNull()).withColumn("__own", digest).join(kept, F.col("__own") == F.col("__digest"), "left")
+    columns = columns_of(docs)
+    alone = keyless.filter("__digest is null").select(columns)
+    first = keyless.filter("__digest is not null and __keep is null").dropDuplicates(["__digest"]).select(columns)
+    return keyed.unionByName(alone).unionByName(first)
+
+
+def columns_of(frame: DataFrame) -> list[Column]:
+    """All columns, whatever their names."""
+    return [F.col("`{}`".format(c.replace("`", "``"))) for c in frame.columns]
 
 
 def keep_first(docs: DataFrame, key: str, groups: DataFrame, filter_bits: int = FILTER_BITS) -> DataFrame:
@@ -224,7 +237,7 @@ def keep_first(docs: DataFrame, key: str, groups: DataFrame, filter_bits: int =
 
     Only rows that ``groups`` may name are shuffled. Rows it doesn't name stay as they are.
     """
-    columns = [F.col("`{}`".format(c.replace("`", "``"))) for c in docs.columns]
+    columns = columns_of(docs)
     none = F.lit(-(2**63))
     named = groups.select(F.coalesce("row_id", none).alias("__row"), F.coalesce("keep_id", none).alias("__keep"))
     named = named.groupBy("__row").agg(F.min("__keep").alias("__keep"))
