@@ -85,10 +85,13 @@ class Parser:
         self.symbols = np.zeros(0x110000, dtype=np.int32)
         for letter, symbol in alphabet.items():
             self.symbols[ord(letter)] = symbol
-        root = np.ones(self.width, dtype=np.int32)  # odd: a phrase ends before this letter
+        # odd entries: a phrase ends before this letter; a letter the sample lacks is a phrase of its own (the last state)
+        alone = len(moves)
+        fresh = np.full(self.width, 2 * alone + 1, dtype=np.int32)
         for letter, state in moves[0].items():
-            root[alphabet[letter]] = 2 * state + 1
-        table = np.tile(root, (len(moves), 1))
+            fresh[alphabet[letter]] = 2 * state + 1
+        table = np.tile(fresh, (len(moves) + 1, 1))
+        table[0] = fresh - 1
         for state, row in enumerate(moves):
             for letter, target in row.items():
                 table[state, alphabet[letter]] = 2 * target
