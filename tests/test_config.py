@@ -9,6 +9,7 @@ import yaml
 
 from tierlake.config import load_config, parse_config
 from tierlake.operators.quality import NO_FILL
+from tierlake.sources.readers import file_location
 
 CONFIGS = Path(__file__).resolve().parent.parent / "configs"
 
@@ -50,26 +51,32 @@ def change(document, path, value):
 
 FACT = ("gold", "facts", 0, "joins", 0)
 BROKEN = [
-    (("pipeline",), None, "Missing required configuration section"),
-    (("bronze",), None, "Missing required configuration section"),
-    (("silver", "tech"), None, "Missing required silver section"),
+    (("pipeline",), None, "has no section"),
+    (("bronze",), None, "has no section"),
+    (("silver", "tech"), None, "silver has no section"),
     (("source", "type"), "queue", "source.type must be"),
-    (("source",), {"type": "api"}, "must define a provider"),
-    (("source",), {"type": "api", "provider": "x", "pagination": {"page_size": -1, "max_rows": 1}}, "positive"),
-    (("silver", "tech", "prefix"), "events/silver/checked", "tech path segment"),
+    (("source",), {"type": "api"}, "provider names the transport"),
+    (("source",), {"type": "api", "provider": "x", "pagination": {"page_size": -1, "max_rows": 1}}, "above 0"),
+    (("silver", "tech", "prefix"), "events/silver/checked", "set silver.reject"),
     (("silver", "tech", "columns", 4, "fill_nulls"), "zero", "not a number"),
     (("silver", "tech", "columns", 2, "accepted_values"), ["x"], "not a number"),
     (("silver", "tech", "columns", 2, "fill_nulls"), 0.5, "not a whole number"),
     (("silver", "tech", "columns", 3, "check_range"), {"min": 1}, "numeric or time type"),
-    (("silver", "func", "transformations", 0, "type"), "script", "Unsupported custom command"),
-    (("silver", "func", "enrichments", 0, "metrics", 0, "function"), "median", "Unsupported aggregate"),
-    (("silver", "func", "deduplication", "strategy"), "latest", "Unsupported dedup mode"),
-    (("gold", "dimensions", 0, "scd", "type"), 3, "Unsupported SCD type"),
+    (("silver", "func", "transformations", 0, "type"), "script", "expression or an aggregate"),
+    (("silver", "func", "enrichments", 0, "metrics", 0, "function"), "median", "No such metric function"),
+    (("silver", "func", "deduplication", "strategy"), "latest", "No such deduplication"),
+    (("gold", "dimensions", 0, "scd", "type"), 3, "scd.type is 1 or 2"),
     (("gold", "dimensions", 0, "scd", "valid_from"), None, "needs scd.valid_from"),
     (("gold", "dimensions", 0, "business_key"), ["nobody"], "does not list"),
     ((*FACT, "dimension"), "dim_nobody", "unknown dimension"),
     ((*FACT, "target_key"), ["user_key", "event_type"], "unequal number"),
     ((*FACT, "effective_at"), "never", "unknown column"),
+    ((*FACT, "effective_at"), None, "fan_out: true"),
+    (("source",), {"type": "file", "location": "/x", "pagination": {"page_size": 1, "max_rows": 1}}, "read whole"),
+    (("source",), {"type": "file", "format": "csv", "bucket": "b"}, "bucket and a prefix"),
+    (("silver", "tech", "columns", 2, "fill_nulls"), 99999999999, "does not fit integer"),
+    (("silver", "tech", "columns", 1, "fill_nulls"), "abc", "is no time like"),
+    (("silver", "tech", "columns", 1, "check_range"), {"min": "soon"}, "is no time like"),
 ]
 
 
@@ -80,10 +87,22 @@ def test_mistakes_are_found_before_any_job_runs(document, path, value, message):
 
 
 def test_a_list_is_no_configuration():
-    with pytest.raises(ValueError, match="must be a mapping"):
+    with pytest.raises(ValueError, match="is a mapping of sections"):
         parse_config([1])
 
 
 def test_gold_and_monitoring_are_optional(document):
     config = parse_config(change(change(document, ("gold",), None), ("monitoring",), None))
     assert config.layout.gold_location is None and config.layout.monitoring.endswith("events/monitoring")
+
+
+def test_reject_and_file_locations_can_be_named(document):
+    named = change(document, ("silver", "reject"), {"bucket": "other", "prefix": "bad/rows"})
+    assert parse_config(named, "file:///d/").layout.reject == "file:///d/other/bad/rows"
+    source = {"type": "file", "format": "csv", "bucket": "in", "prefix": "/a/b/"}
+    assert file_location(parse_config(change(document, ("source",), source), "file:///d/").source) == "file:///d/in/a/b"
+
+
+def test_joins_can_fan_out_when_asked(document):
+    asked = change(change(document, (*FACT, "effective_at"), None), (*FACT, "fan_out"), True)
+    assert parse_config(asked).facts[0].joins[0].fan_out

@@ -1,10 +1,13 @@
 from __future__ import annotations
 
 import json
+from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 from tierlake.config import parse_config
+from tierlake.plans import jobs
 from tierlake.plans.jobs import run_all
 from tierlake.plans.layers import bronze_to_raw, func_to_gold, ingest, raw_to_tech, tech_to_func
 from tierlake.sources.catalog import mirror
@@ -175,10 +178,10 @@ def test_history_appends_only_new_versions_when_asked(spark, root, tmp_path):
 
 def test_failures_are_recorded_and_raised(spark, root, tmp_path):
     config = configuration(root, tmp_path / "nowhere")
-    with pytest.raises(ValueError, match="does not exist"):
+    with pytest.raises(ValueError, match="no dataset at"):
         raw_to_tech(spark, config)
     row = spark.read.parquet(config.layout.monitoring + "/tech").filter("status = 'failed'").first()
-    assert row["error_type"] == "ValueError" and "does not exist" in row["error_message"]
+    assert row["error_type"] == "ValueError" and "no dataset at" in row["error_message"]
     with pytest.raises(Exception):
         func_to_gold(spark, config)
     assert spark.read.parquet(config.layout.monitoring + "/gold/dimensions/dim_shop").count() == 2
@@ -210,21 +213,80 @@ def test_event_source_lands_only_what_is_new(spark, root, tmp_path):
     assert spark.read.parquet(config.layout.tech).count() == 3
 
 
-def test_paged_rows_land_verbatim(spark, root, tmp_path):
-    rows = [{**ROWS[0], "where": {"type": "Point", "at": [1.5, 2]}}, {**ROWS[2], "extra": "ü"}]
-    drop(tmp_path / "drop", "one.jsonl", rows)
-    source = {
-        "type": "api", "provider": "jsonl", "location": str(tmp_path / "drop" / "one.jsonl"),
-        "filter": {"column": "at", "start": "2024-01-01", "end": "2024-12-31"},
-        "pagination": {"page_size": 1, "max_rows": 10},
-    }
+def test_a_landed_batch_is_finished_by_the_next_run(spark, root, tmp_path):
+    source = {"type": "events", "location": str(tmp_path / "drop"), "format": "jsonl"}
     config = configuration(root, tmp_path / "drop", source=source)
-    landed = ingest(spark, config)
-    lines = [json.loads(row[0]) for row in spark.read.text(landed.path).collect()]
-    assert sorted(lines, key=lambda row: row["id"]) == rows and landed.rows == 2
+    drop(tmp_path / "drop", "one.jsonl", ROWS[:1])
+    ingest(spark, config)  # the run ends here
+    drop(tmp_path / "drop", "two.jsonl", ROWS[2:3])
+    assert run_all(spark, config, with_catalog=False)["func_to_gold"] == "success"
+    assert {row["id"] for row in spark.read.parquet(config.layout.func).collect()} == {1, 2}
+    assert spark.read.parquet(config.layout.gold_table("facts/fact_sale")).count() == 2
+
+
+def test_a_failure_in_the_middle_is_made_good(spark, root, tmp_path, monkeypatch):
+    config = configuration(root, tmp_path / "drop")
+    drop(tmp_path / "drop", "one.jsonl", ROWS)
+
+    def broken(*_, **__):
+        raise RuntimeError("executor lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr("tierlake.plans.layers.evaluate", broken)
+        with pytest.raises(RuntimeError):
+            run_all(spark, config, "20240101T000000Z", with_catalog=False)
+    drop(tmp_path / "drop", "one.jsonl", [{"id": 7, "shop": "c", "amount": 1, "at": "2024-01-02T10:00:00"}])
+    run_all(spark, config, "20240102T000000Z", with_catalog=False)
+    assert {row["id"] for row in spark.read.parquet(config.layout.func).collect()} == {1, 2, 7}
+    assert spark.read.parquet(config.layout.raw).count() == 6 and spark.read.parquet(config.layout.tech).count() == 4
+
+
+def test_malformed_lines_reach_reject(spark, root, tmp_path):
+    for mode in ({}, {"schema_mode": "declared", "columns": [{"name": n} for n in ("id", "shop", "amount", "at")]}):
+        base = "{}{}/".format(root, len(mode))
+        source = {"type": "events", "location": str(tmp_path / "drop"), "format": "jsonl"}
+        config = configuration(base, tmp_path / "drop", source=source, raw=mode)
+        drop(tmp_path / "drop", "one.jsonl", ROWS[:1])
+        (tmp_path / "drop" / "bad.jsonl").write_text("{bad line\n")
+        run_all(spark, config, with_catalog=False)
+        reject = spark.read.parquet(config.layout.reject).collect()
+        assert [row["_corrupt_record"] for row in reject] == ["{bad line"] and spark.read.parquet(config.layout.func).count() == 1
+
+
+def test_a_batch_is_read_and_checked_once(spark, root, tmp_path):
+    config = configuration(root, tmp_path / "drop", dedup={})
+    drop(tmp_path / "drop", "one.jsonl", ROWS)
+    ingest(spark, config, "20240101T000000Z")
     bronze_to_raw(spark, config)
-    tech = spark.read.parquet(raw_to_tech(spark, config).path)
-    assert {row["where"] for row in tech.collect()} == {"{[1.5, 2], Point}", None}
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(text):
+        seen.add(1)
+        return text
+
+    spark.udf.register("seen_once", counted)
+    raw = config.layout.raw + "/ingestion_timestamp=20240101T000000Z"
+    import tierlake.plans.layers as layers
+
+    evaluate = layers.evaluate
+    try:
+        layers.evaluate = lambda frame, *rest: evaluate(frame.withColumn("shop", F.expr("seen_once(shop)")), *rest)
+        result = raw_to_tech(spark, config)
+    finally:
+        layers.evaluate = evaluate
+    assert (result.rows, result.rejected) == (3, 2) and seen.value == spark.read.parquet(raw).count() == 5
+
+
+def test_one_file_of_many_configurations(spark, root, tmp_path, monkeypatch):
+    ran = []
+    monkeypatch.setattr(jobs, "build_session", lambda *_: spark)
+    monkeypatch.setattr(jobs, "drop_staged", lambda *_: None)
+    monkeypatch.setattr(type(spark), "stop", lambda self: None)
+    monkeypatch.setattr(jobs, "run_step", lambda spark, config, *_: ran.append(config.name) or 1 / (config.name == "events"))
+    pattern = str(Path(__file__).resolve().parent.parent / "configs" / "*.yml")
+    with pytest.raises(SystemExit, match="orders"):
+        jobs.main(["all", "--config", pattern, "--root", root])
+    assert ran == ["events", "orders"]
 
 
 def test_quality_stream_lands_each_row_once(spark, root, tmp_path):

@@ -10,20 +10,19 @@ from pyspark.sql import functions as F
 
 from tierlake.operators.dimensions import Dimension, build_dimension, stack_columns
 from tierlake.operators.facts import (
-    DIRECT_VERSIONS,
     DimensionJoin,
     Fact,
     build_fact,
     lookup,
     lookup_between,
     lookup_sorted,
-    most_versions,
 )
-from tierlake.operators.hotkeys import SLOT, HotKeyPolicy, cut_hot_keys, neighbour
+from tierlake.operators.hotkeys import SLOT, neighbour, slotted
 from tierlake.operators.transform import OutputColumn
+from tierlake.session import DEFAULTS, FORCE_SKEW_SPLIT
 from tierlake.sources.staging import stage
 
-SMALL = HotKeyPolicy(hot_rows=5, slot_rows=3, max_hot_keys=10)
+MANY = 17
 
 
 def columns(*names):
@@ -104,28 +103,32 @@ def test_unknown_type_is_refused(spark):
 
 
 @pytest.mark.parametrize("following", [True, False])
-@pytest.mark.parametrize("kind", ["timestamp", "timestamp_ntz", "date", "bigint"])
+@pytest.mark.parametrize("kind", ["timestamp", "timestamp_ntz", "date", "bigint", "double", "decimal(9,2)", "string"])
 def test_sliced_neighbours_equal_the_plain_window(spark, following, kind):
     picks = random.Random(3)
     rows = [(picks.choice([1, 1, 1, 2, 3]), picks.choice([None, *range(40)]), str(n)) for n in range(150)]
-    moments = {"bigint": "o", "date": "date_add(date'2024-01-01', cast(o as int))"}.get(
+    plain = {k: "cast(o as {})".format(k) for k in ("double", "decimal(9,2)", "string")}
+    moments = {**plain, "bigint": "o", "date": "date_add(date'2024-01-01', cast(o as int))"}.get(
         kind, "cast(timestamp_seconds(o * 1000) as {})".format(kind)
     )
     frame = stage(spark.createDataFrame(rows, "k int, o bigint, p string").withColumn("t", F.expr(moments)), "n")
-    cut = neighbour(frame, ["k"], ["t", "p"], "p", "other", following, SMALL)
-    whole = neighbour(frame, ["k"], ["t", "p"], "p", "other", following)
-    assert cut_hot_keys(frame, ["k"], "t", SMALL).filter(F.col(SLOT) > 0).count() > 0
+    cut = neighbour(frame, ["k"], ["t", "p"], "p", "other", following, MANY)
+    whole = neighbour(frame, ["k"], ["t", "p"], "p", "other", following, 1)
+    assert slotted(frame, ["k"], ["t", "p"], MANY).select(SLOT).distinct().count() > 10
     assert sorted(map(str, cut.collect())) == sorted(map(str, whole.collect()))
 
 
-def test_hot_rows_spread_over_slots(spark):
-    frame = spark.range(3000).select(
-        F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id")).alias("k"), F.timestamp_seconds("id").alias("t")
-    )
-    cut = cut_hot_keys(frame, ["k"], "t", HotKeyPolicy(hot_rows=100, slot_rows=50, max_hot_keys=5))
-    largest = cut.groupBy("k", SLOT).count().agg(F.max("count")).first()[0]
-    assert cut.count() == 3000 and largest <= 60
-    assert cut_hot_keys(frame, ["k"], "t") is None
+@pytest.mark.parametrize("kind", ["timestamp", "double"])
+def test_hot_rows_spread_over_slots(spark, kind):
+    """Sentinel dates, a burst at one moment and NULL times in a key with a third of all rows."""
+    at = "case id % 30 when 0 then -2e9 when 3 then 2e11 when 6 then null when 9 then id else 5e8 end"
+    frame = spark.range(12000).select(
+        F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id")).alias("k"),
+        F.expr(at if kind == "double" else "timestamp_seconds({})".format(at)).alias("t"), "id",
+    )
+    cut = slotted(frame, ["k"], ["t"], 24)
+    largest = cut.groupBy(SLOT).count().agg(F.max("count")).first()[0]
+    assert cut.count() == 12000 and largest <= 2 * 12000 / 24
 
 
 @settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
@@ -155,8 +158,8 @@ def _lookup_inputs(spark):
     return facts, users
 
 
-@pytest.mark.parametrize("policy", [HotKeyPolicy(), HotKeyPolicy(hot_rows=2, slot_rows=1, max_hot_keys=9)])
-def test_both_point_in_time_plans_agree_with_a_loop(spark, policy):
+@pytest.mark.parametrize("slots", [None, 1, 9])
+def test_both_point_in_time_plans_agree_with_a_loop(spark, slots):
     facts, users = _lookup_inputs(spark)
     expected = {}
     known = users.collect()
@@ -174,7 +177,7 @@ def test_both_point_in_time_plans_agree_with_a_loop(spark, policy):
         expected[number] = hits[0] if hits else None
     assert expected[1] is None and expected[2] and expected[4] and expected[8] is None
     direct = lookup_between(facts, users, [("k", "k")], "at", "sk", "out")
-    by_order = lookup_sorted(facts, users, [("k", "k")], "at", "sk", "out", policy)
+    by_order = lookup_sorted(facts, users, [("k", "k")], "at", "sk", "out", slots)
     for found in (direct, by_order):
         assert {row["n"]: row["out"] for row in found.collect()} == expected and found.count() == len(FACT_ROWS)
 
@@ -189,20 +192,28 @@ def test_sliced_lookup_equals_direct_lookup(spark, versions, asked):
     rows = [(number, key, moment(at)) for number, (key, at) in enumerate(asked)]
     facts = spark.createDataFrame(rows, "n int, k int, at timestamp")
     direct = lookup_between(facts, users, [("k", "k")], "at", "sk", "out").collect()
-    policy = HotKeyPolicy(hot_rows=2, slot_rows=2, max_hot_keys=9)
-    cut = lookup_sorted(facts, users, [("k", "k")], "at", "sk", "out", policy).collect()
+    cut = lookup_sorted(facts, users, [("k", "k")], "at", "sk", "out", 11).collect()
     assert sorted(map(str, cut)) == sorted(map(str, direct))
 
 
-def test_keys_with_many_versions_take_the_sorted_plan(spark):
-    rows = [(1, "v{}".format(number), number) for number in range(DIRECT_VERSIONS + 1)]
-    users = stage(build_dimension(history(spark, rows), versioned()), "dim")
-    assert most_versions(users, ["k"]) == DIRECT_VERSIONS + 1
-    facts = spark.createDataFrame([(1, moment(40)), (1, moment(-1))], "k int, t timestamp")
-    fact = Fact("f", columns("k", "t"), (DimensionJoin("d", ("k",), ("k",), "out", "t"),))
-    found = build_fact(facts, fact, {"d": users}, {"d": versioned()})
-    wanted = users.filter(F.col("v") == "v40").first()["sk"]
-    assert {row["out"] for row in found.collect()} == {wanted, None}
+@pytest.mark.parametrize("count", [60, 70])
+def test_a_part_of_the_key_finds_every_valid_member(spark, count):
+    rows = [(number, "v", 0) for number in range(count)]
+    by_group = versioned(business_key=("g", "k"), columns=columns("g", "k", "v", "t"))
+    users = stage(build_dimension(history(spark, rows).withColumn("g", F.lit(1)), by_group), "dim")
+    facts = spark.createDataFrame([(1, moment(40)), (1, moment(-1))], "g int, t timestamp")
+    join = DimensionJoin("d", ("g",), ("g",), "out", "t", fan_out=True)
+    found = build_fact(facts, Fact("f", columns("g", "t"), (join,)), {"d": users}, {"d": by_group})
+    assert found.count() == count + 1
+    refused = Fact("f", columns("g", "t"), (DimensionJoin("d", ("g",), ("g",), "out", "t"),))
+    with pytest.raises(ValueError, match="fan_out"):
+        build_fact(facts, refused, {"d": users}, {"d": by_group})
+
+
+def test_a_tracked_time_makes_versions(spark):
+    rows = history(spark, [(1, "x", 10), (1, "x", 20), (1, "x", 30)])
+    assert build_dimension(rows, versioned(tracked=("v", "t"))).count() == 3
+    assert build_dimension(rows, versioned()).count() == 1
 
 
 def test_fact_keeps_rows_and_default_key_name(spark):
@@ -223,7 +234,9 @@ def test_fact_keeps_rows_and_default_key_name(spark):
 def test_versions_without_a_time_fan_out(spark):
     _, users = _lookup_inputs(spark)
     facts = spark.createDataFrame([(1,), (2,), (9,)], "k int")
-    fact = Fact("f", columns("k"), (DimensionJoin("d", ("k",), ("k",)),))
+    with pytest.raises(ValueError, match="fan_out"):
+        build_fact(facts, Fact("f", columns("k"), (DimensionJoin("d", ("k",), ("k",)),)), {"d": users}, {"d": versioned()})
+    fact = Fact("f", columns("k"), (DimensionJoin("d", ("k",), ("k",), fan_out=True),))
     assert build_fact(facts, fact, {"d": users}, {"d": versioned()}).count() == 4 + 1 + 1
 
 
@@ -246,6 +259,7 @@ def test_a_hot_key_is_split_even_when_two_lookups_share_it(spark):
         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "200KB",
         "spark.sql.shuffle.partitions": "16",
+        FORCE_SKEW_SPLIT: DEFAULTS[FORCE_SKEW_SPLIT],
     }
     before = {name: spark.conf.get(name, None) for name in tuned}
     for name, value in tuned.items():

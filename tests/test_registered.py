@@ -7,15 +7,13 @@ from pathlib import Path
 import duckdb
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from tierlake.plans.registered import ORACLES, QUERIES
 from tools.check_oracle import TABLES, normal
 
 FOLDER = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not Path(FOLDER).exists(), reason="test tables are not here")
 
-# Full runs over all layers; test_layers covers the same steps.
-SLOW = {"layers_fact", "layers_func", "mirror_tables"}
-
 
 @pytest.fixture(scope="module")
 def database():
@@ -27,13 +25,13 @@ def database():
 
 
 def test_every_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
 
 
-@pytest.mark.parametrize("name", sorted(set(queries()) - SLOW))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_rows_equal_sql(spark, database, name):
-    found = queries()[name](spark, FOLDER).toPandas()
-    expected = database.sql(oracle_sql()[name]).df()
+    found = QUERIES[name](spark, FOLDER).toPandas()
+    expected = database.sql(ORACLES[name]).df()
     assert sorted(found.columns) == sorted(expected.columns)
     assert normal(found).equals(normal(expected))
 

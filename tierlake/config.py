@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
+from datetime import date, datetime
 from decimal import Decimal, InvalidOperation
 from pathlib import Path
 from typing import Any
@@ -22,6 +24,7 @@ except ImportError:  # JSON configurations still work.
     yaml = None
 
 SOURCE_TYPES = ("api", "file", "table", "events")
+WHOLE_BITS = {"tinyint": 8, "smallint": 16, "int": 32, "integer": 32, "bigint": 64, "long": 64}
 NUMERIC_TYPES = ("tinyint", "smallint", "int", "integer", "bigint", "long", "float", "double")
 TIME_TYPES = ("date", "timestamp", "timestamp_ntz", "timestamp_ltz")
 
@@ -76,13 +79,13 @@ class PipelineConfig:
 
 def _mapping(value: Any, where: str) -> Mapping[str, Any]:
     if not isinstance(value, Mapping):
-        raise ValueError("{} must be a mapping".format(where))
+        raise ValueError("{}: expected keys with values".format(where))
     return value
 
 
 def _need(section: Mapping[str, Any], key: str, where: str) -> Any:
     if section.get(key) in (None, "", []):
-        raise ValueError("Missing {}.{}".format(where, key))
+        raise ValueError("{} needs a value for {}".format(where, key))
     return section[key]
 
 
@@ -113,6 +116,17 @@ def _check_constant(value: Any, type_name: str, where: str) -> Any:
         whole = kind in NUMERIC_TYPES and kind not in ("float", "double")
         if whole and number != number.to_integral_value():
             raise ValueError("{}: {!r} is not a whole number".format(where, value))
+        bits = WHOLE_BITS.get(kind)
+        if bits and not -(2 ** (bits - 1)) <= number < 2 ** (bits - 1):
+            raise ValueError("{}: {!r} does not fit {}".format(where, value, kind))
+        digits = re.fullmatch(r"decimal\s*\(\s*(\d+)\s*(?:,\s*(\d+)\s*)?\)", kind)
+        if digits and number.is_finite() and abs(number) >= 10 ** (int(digits[1]) - int(digits[2] or 0)):
+            raise ValueError("{}: {!r} does not fit {}".format(where, value, kind))
+    elif kind in TIME_TYPES and not isinstance(value, (date, datetime)):
+        try:
+            datetime.fromisoformat(str(value).strip())
+        except ValueError:
+            raise ValueError("{}: {!r} is no time like 2024-01-31 or 2024-01-31T12:00:00".format(where, value)) from None
     return value
 
 
@@ -125,8 +139,7 @@ def _rule(item: Any) -> ColumnRule:
     if bounds and not (kind.lower() in NUMERIC_TYPES + TIME_TYPES or kind.lower().startswith("decimal")):
         raise ValueError("{}.check_range needs a numeric or time type".format(where))
     for bound in bounds.values():
-        if kind.lower() not in TIME_TYPES:
-            _check_constant(bound, "double", where + ".check_range")
+        _check_constant(bound, kind if kind.lower() in TIME_TYPES else "double", where + ".check_range")
     accepted = tuple(item.get("accepted_values") or ())
     for value in accepted:
         _check_constant(value, kind, where + ".accepted_values")
@@ -158,13 +171,13 @@ def _command(item: Any) -> Expression | Enrichment:
         metrics = tuple(
             Metric(
                 _need(metric, "name", "metrics[]"),
-                _one_of(_need(metric, "function", "metrics[]"), tuple(AGGREGATES), "Unsupported aggregate function"),
+                _one_of(_need(metric, "function", "metrics[]"), tuple(AGGREGATES), "No such metric function"),
                 metric.get("column", "*"),
             )
             for metric in _need(item, "metrics", "aggregate")
         )
         return Enrichment(_names(_need(item, "group_by", "aggregate"), "group_by"), metrics)
-    raise ValueError("Unsupported custom command type: {}".format(kind))
+    raise ValueError("A command is an expression or an aggregate, not {}".format(kind))
 
 
 def _dedup(section: Mapping[str, Any] | None) -> Dedup | None:
@@ -173,7 +186,7 @@ def _dedup(section: Mapping[str, Any] | None) -> Dedup | None:
     hashing = section.get("hash") or {}
     return Dedup(
         keys=_names(_need(section, "keys", "deduplication"), "deduplication.keys"),
-        strategy=_one_of(section.get("strategy", "snapshot"), STRATEGIES, "Unsupported dedup mode"),
+        strategy=_one_of(section.get("strategy", "snapshot"), STRATEGIES, "No such deduplication.strategy"),
         order_by=_names(section.get("order_by") or [], "deduplication.order_by"),
         hash_column=hashing.get("column", "hash_data"),
         hash_columns=_names(hashing["columns"], "hash.columns") if "columns" in hashing else None,
@@ -188,7 +201,7 @@ def _dimension(item: Any) -> Dimension:
     scd = item.get("scd") or {}
     scd_type = int(scd.get("type", 1))
     if scd_type not in (1, 2):
-        raise ValueError("Unsupported SCD type: {}".format(scd_type))
+        raise ValueError("{}: scd.type is 1 or 2, not {}".format(where, scd_type))
     columns = tuple(_column(column) for column in _need(item, "columns", where))
     names = {column.name for column in columns}
     keys = _names(_need(item, "business_key", where), where + ".business_key")
@@ -208,7 +221,7 @@ def _dimension(item: Any) -> Dimension:
         scd_type=scd_type,
         valid_from=valid_from,
         tracked=tracked,
-        detect=_one_of(scd.get("detect", "distinct"), DETECT, "Unsupported scd.detect"),
+        detect=_one_of(scd.get("detect", "distinct"), DETECT, "No such scd.detect"),
         null_token=item.get("null_token"),
         path=item.get("path"),
     )
@@ -231,7 +244,10 @@ def _fact(item: Any, dimensions: Mapping[str, Dimension]) -> Fact:
         for used in (*source_key, *([effective_at] if effective_at else [])):
             if used not in available:
                 raise ValueError("{} join to {} uses unknown column {}".format(where, target, used))
-        joins.append(DimensionJoin(target, source_key, target_key, join.get("output_key"), effective_at))
+        found = DimensionJoin(target, source_key, target_key, join.get("output_key"), effective_at, bool(join.get("fan_out")))
+        if not found.fan_out and not found.finds_one(dimensions[target]):
+            raise ValueError("{} join to {} can multiply rows; set fan_out: true to allow it".format(where, target))
+        joins.append(found)
         available.add(join.get("output_key") or dimensions[target].surrogate_key)
     return Fact(name, columns, tuple(joins), item.get("path"))
 
@@ -241,11 +257,15 @@ def _source(section: Mapping[str, Any]) -> SourceConfig:
     pages = section.get("pagination") or {}
     if kind == "api":
         if not section.get("provider"):
-            raise ValueError("API sources must define a provider")
+            raise ValueError("source.provider names the transport of a paged source and is missing")
         if int(_need(pages, "page_size", "source.pagination")) <= 0 or int(
             _need(pages, "max_rows", "source.pagination")
         ) <= 0:
-            raise ValueError("page_size and max_rows must be positive")
+            raise ValueError("source.pagination: page_size and max_rows have to be above 0")
+    elif pages:
+        raise ValueError("source.pagination is for paged sources; a {} source is read whole".format(kind))
+    if kind == "file" and "location" not in section and not (section.get("bucket") and section.get("prefix")):
+        raise ValueError("A file source needs a location, or a bucket and a prefix")
     known = ("type", "provider", "filter", "pagination")
     return SourceConfig(
         type=kind,
@@ -262,20 +282,21 @@ def _source(section: Mapping[str, Any]) -> SourceConfig:
 def parse_config(document: Any, root: str = "s3a://") -> PipelineConfig:
     """Check a parsed configuration. ``root`` is put before every bucket."""
     if not isinstance(document, Mapping):
-        raise ValueError("Pipeline configuration must be a mapping")
+        raise ValueError("A pipeline configuration is a mapping of sections")
     for section in ("pipeline", "source", "bronze", "silver"):
         if section not in document:
-            raise ValueError("Missing required configuration section: {}".format(section))
+            raise ValueError("The configuration has no section {}".format(section))
     silver = _mapping(document["silver"], "silver")
     for section in ("raw", "tech", "func"):
         if section not in silver:
-            raise ValueError("Missing required silver section: {}".format(section))
+            raise ValueError("silver has no section {}".format(section))
     raw, tech, func = silver["raw"], silver["tech"], silver["func"]
     gold = document.get("gold")
     bronze = document["bronze"]
     name = str(_need(document["pipeline"], "name", "pipeline"))
     monitoring = document.get("monitoring") or {}
-    reject_prefix(str(_need(tech, "prefix", "silver.tech")))
+    if "reject" not in silver:
+        reject_prefix(str(_need(tech, "prefix", "silver.tech")))
 
     layout = Layout(
         root=root,
@@ -289,17 +310,18 @@ def parse_config(document: Any, root: str = "s3a://") -> PipelineConfig:
             monitoring.get("bucket", bronze["bucket"]),
             monitoring.get("prefix", "{}/monitoring".format(name)),
         ),
+        reject_location=_location(silver["reject"], "silver.reject") if "reject" in silver else None,
     )
     dimensions = tuple(_dimension(item) for item in (gold or {}).get("dimensions") or [])
     by_name = {dimension.name: dimension for dimension in dimensions}
-    schema_mode = _one_of(raw.get("schema_mode", "infer"), ("infer", "declared"), "Unsupported schema_mode")
+    schema_mode = _one_of(raw.get("schema_mode", "infer"), ("infer", "declared"), "No such silver.raw.schema_mode")
     declared = None
     if schema_mode == "declared":
         declared = tuple(column["name"] for column in _need(raw, "columns", "silver.raw"))
     return PipelineConfig(
         name=name,
         layout=layout,
-        source=_source(_mapping(document["source"], "source")),
+        source=_source({"root": root, **_mapping(document["source"], "source")}),
         raw_table=raw.get("table_name", "raw_" + name),
         tech_table=tech.get("table_name", "tech_" + name),
         func_table=func.get("table_name", "func_" + name),
@@ -307,12 +329,12 @@ def parse_config(document: Any, root: str = "s3a://") -> PipelineConfig:
         rules=tuple(_rule(item) for item in tech.get("columns") or []),
         require_columns=bool(tech.get("require_columns", False)),
         keep_source=bool(tech.get("keep_source", False)),
-        batch_write=_one_of(document.get("batch_write", "append"), ("append", "replace"), "Unsupported batch_write"),
+        batch_write=_one_of(document.get("batch_write", "append"), ("append", "replace"), "No such batch_write"),
         func_columns=tuple(_column(item) for item in func.get("columns") or []),
         transformations=tuple(_command(item) for item in func.get("transformations") or []),
         enrichments=tuple(_command(item) for item in func.get("enrichments") or []),
         dedup=_dedup(func.get("deduplication")),
-        func_scope=_one_of(func.get("scope", "latest_batch"), ("latest_batch", "all_batches"), "Unsupported scope"),
+        func_scope=_one_of(func.get("scope", "latest_batch"), ("latest_batch", "all_batches"), "No such silver.func.scope"),
         against_existing=bool((func.get("deduplication") or {}).get("against_existing", False)),
         func_partitions=int(func["output_partitions"]) if "output_partitions" in func else None,
         gold_partitions=int(gold["output_partitions"]) if gold and "output_partitions" in gold else None,

@@ -60,7 +60,7 @@ def hash_key(names: Iterable[str], null_token: str | None = None) -> Column:
     NULLs leave no trace in the text, so (a, NULL, b) and (a, b, NULL) get the same key. Give ``null_token`` to
     keep such rows apart; keys made with and without it are not comparable.
     """
-    parts = [F.col(name).cast("string") for name in names]
+    parts = [quoted(name).cast("string") for name in names]
     if null_token is not None:
         parts = [F.coalesce(part, F.lit(null_token)) for part in parts]
     return F.sha2(F.concat_ws(HASH_SEPARATOR, *parts), 256)

@@ -83,4 +83,4 @@ def deduplicate(frame: DataFrame, dedup: Dedup | None, existing: DataFrame | Non
             [F.col("new.`{0}`".format(key)).eqNullSafe(F.col("known.`{0}`".format(key))) for key in keys],
             "left_anti",
         )
-    raise ValueError("Unsupported dedup mode: {}".format(dedup.strategy))
+    raise ValueError("No such deduplication strategy: {}".format(dedup.strategy))

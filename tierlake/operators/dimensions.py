@@ -10,9 +10,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from tierlake.functions.scalars import hash_key, quoted
 from tierlake.operators.dedup import first_per_key, latest_per_key
-from tierlake.operators.hotkeys import DEFAULT_POLICY, HotKeyPolicy, neighbour
+from tierlake.operators.hotkeys import neighbour
 from tierlake.operators.transform import OutputColumn
-from tierlake.sources.staging import stage
 
 HASH_COLUMN = "hash_data"
 DETECT = ("distinct", "changes")
@@ -83,44 +82,45 @@ def current_members(frame: DataFrame, dimension: Dimension) -> DataFrame:
 def _first_seen(rows: DataFrame, keys: list[str], tracked: list[str], null_token: str | None) -> DataFrame:
     """The earliest row of every (business key, content hash).
 
-    Rows that agree in all but the time are reduced by a hash aggregation first, when the columns allow it.
+    Rows that agree in all but the time are reduced by a hash aggregation first, when the columns allow it: not if the time
+    itself is tracked or part of the key.
     """
     names = rows.columns
     others = [name for name in names if name != "valid_from"]
-    if set(others) <= {*keys, *tracked}:
+    timeless = "valid_from" not in (*keys, *tracked)
+    if timeless and set(others) <= {*keys, *tracked}:
         earliest = rows.groupBy(*[quoted(name) for name in others]).agg(F.min("valid_from").alias("valid_from"))
         rows = earliest.select(*[quoted(name) for name in names])
     hashed = rows.withColumn(HASH_COLUMN, hash_key(tracked, null_token))
-    if set(others) <= set(keys):
+    if timeless and set(others) <= set(keys):
         return hashed
     return first_per_key(hashed, [*keys, HASH_COLUMN], [F.col("valid_from").asc_nulls_last()], ["valid_from"])
 
 
 def _changed(
-    rows: DataFrame, keys: list[str], tracked: list[str], null_token: str | None, policy: HotKeyPolicy
+    rows: DataFrame, keys: list[str], tracked: list[str], null_token: str | None, slots: int | None
 ) -> DataFrame:
     """Rows whose content hash differs from the row before them in time."""
     hashed = rows.withColumn(HASH_COLUMN, hash_key(tracked, null_token))
     ties = [name for name in (HASH_COLUMN, *rows.columns) if name not in (*keys, "valid_from")]
-    stored = stage(hashed, "history")
-    compared = neighbour(stored, keys, ["valid_from", *ties], HASH_COLUMN, "__before", False, policy)
+    compared = neighbour(hashed, keys, ["valid_from", *ties], HASH_COLUMN, "__before", False, slots)
     changed = F.col("__before").isNull() | (F.col("__before") != F.col(HASH_COLUMN))
     return compared.filter(changed).select(*[quoted(name) for name in hashed.columns])
 
 
-def versions(frame: DataFrame, dimension: Dimension, policy: HotKeyPolicy = DEFAULT_POLICY) -> DataFrame:
+def versions(frame: DataFrame, dimension: Dimension, slots: int | None = None) -> DataFrame:
     """Type 2: one row per version, valid from its time until one microsecond before the next version.
 
     The last version of a key has no end and is current. Versions with one and the same start are ordered by hash; all
     but the last of them end before they start. A NULL start sorts last and has no end either.
     """
     rows = members(frame, dimension).withColumnRenamed(dimension.valid_from, "valid_from")
-    keys = list(dimension.business_key)
+    keys = ["valid_from" if name == dimension.valid_from else name for name in dimension.business_key]
     tracked = [
         "valid_from" if name == dimension.valid_from else name for name in (dimension.tracked or dimension.business_key)
     ]
     if dimension.detect == "changes":
-        found = _changed(rows, keys, tracked, dimension.null_token, policy)
+        found = _changed(rows, keys, tracked, dimension.null_token, slots)
     else:
         found = _first_seen(rows, keys, tracked, dimension.null_token)
 
@@ -129,9 +129,7 @@ def versions(frame: DataFrame, dimension: Dimension, policy: HotKeyPolicy = DEFA
         # The content is part of the key, so every key has exactly one version and no window is needed.
         followed = found.withColumn("__next", F.lit(None).cast(found.schema["valid_from"].dataType))
     else:
-        followed = neighbour(
-            stage(found, "versions"), keys, ["valid_from", HASH_COLUMN], "valid_from", "__next", True, policy
-        )
+        followed = neighbour(found, keys, ["valid_from", HASH_COLUMN], "valid_from", "__next", True, slots)
     return followed.select(
         *[quoted(name) for name in names],
         F.expr("__next - INTERVAL 1 MICROSECOND").alias("valid_to"),
@@ -140,10 +138,10 @@ def versions(frame: DataFrame, dimension: Dimension, policy: HotKeyPolicy = DEFA
     )
 
 
-def build_dimension(frame: DataFrame, dimension: Dimension, policy: HotKeyPolicy = DEFAULT_POLICY) -> DataFrame:
+def build_dimension(frame: DataFrame, dimension: Dimension, slots: int | None = None) -> DataFrame:
     """One dimension of either type."""
     if dimension.scd_type == 1:
         return current_members(frame, dimension)
     if dimension.scd_type == 2:
-        return versions(frame, dimension, policy)
-    raise ValueError("Unsupported SCD type: {}".format(dimension.scd_type))
+        return versions(frame, dimension, slots)
+    raise ValueError("{}: type is 1 or 2, not {}".format(dimension.name, dimension.scd_type))

@@ -6,28 +6,34 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tierlake.functions.scalars import quoted
 from tierlake.operators.dimensions import HASH_COLUMN, Dimension
-from tierlake.operators.hotkeys import DEFAULT_POLICY, SLOT, HotKeyPolicy, cut_hot_keys
+from tierlake.operators.hotkeys import last_seen
 from tierlake.operators.transform import OutputColumn
-from tierlake.session import split_hot_joins
 from tierlake.sources.staging import stage
 
-# Above this many versions of one key, comparing every fact row with every version of its key costs more than sorting.
-DIRECT_VERSIONS = 64
-
 
 @dataclass(frozen=True)
 class DimensionJoin:
-    """Look up one dimension. ``effective_at`` picks the version valid at that time (type 2 only)."""
+    """Look up one dimension. ``effective_at`` picks the version valid at that time (type 2 only).
+
+    A join that can find several members for one fact row (a type 2 dimension without a time, or other target columns than
+    the business key) multiplies rows and has to ask for it with ``fan_out``.
+    """
 
     dimension: str
     source_key: tuple[str, ...]
     target_key: tuple[str, ...]
     output_key: str | None = None
     effective_at: str | None = None
+    fan_out: bool = False
+
+    def finds_one(self, dimension: Dimension) -> bool:
+        """Has every fact row at most one matching member?"""
+        whole_key = set(self.target_key) == set(dimension.business_key)
+        return whole_key and (dimension.scd_type == 1 or self.effective_at is not None)
 
 
 @dataclass(frozen=True)
@@ -47,7 +53,6 @@ def _all(conditions: Sequence[Column]) -> Column:
 
 
 def _attach(fact: DataFrame, dimension: DataFrame, condition: Column, surrogate: str, output: str) -> DataFrame:
-    split_hot_joins(fact.sparkSession)
     joined = fact.alias("fact").join(dimension.alias("dim"), condition, "left")
     return joined.select("fact.*", F.col("dim.{}".format(surrogate)).alias(output))
 
@@ -70,7 +75,7 @@ def lookup(
 def lookup_between(
     fact: DataFrame, dimension: DataFrame, pairs: Sequence[tuple[str, str]], at: str, surrogate: str, output: str
 ) -> DataFrame:
-    """Point-in-time lookup as an equi-join with a range condition, both bounds inclusive."""
+    """Every version valid at the time: an equi-join with a range condition, both bounds inclusive."""
     moment, start, end = F.col("fact.{}".format(at)), F.col("dim.valid_from"), F.col("dim.valid_to")
     valid = [moment >= start, end.isNull() | (moment <= end)]
     return _attach(fact, dimension, _all([*_same_keys(pairs), *valid]), surrogate, output)
@@ -83,13 +88,13 @@ def lookup_sorted(
     at: str,
     surrogate: str,
     output: str,
-    policy: HotKeyPolicy = DEFAULT_POLICY,
+    slots: int | None = None,
 ) -> DataFrame:
-    """Point-in-time lookup whose cost is linear in facts plus versions, for keys with many versions.
+    """Point-in-time lookup whose cost is linear in facts plus versions, however many versions a key has.
 
-    Distinct (key, time) pairs and versions are sorted together and the last version seen is carried forward; hot keys
-    are cut into time slots that start from the last version before them. The result is one row per (key, time), and
-    the facts join it on exactly that. Needs versions of a key not to overlap, as type 2 dimensions guarantee.
+    Distinct (key, time) pairs and versions are sorted together and the last version seen is carried forward, so ``pairs``
+    must cover the business key: then versions don't overlap and at most one is valid. The result is one row per (key,
+    time), and the facts join it on exactly that.
     """
     keys = ["__k{}".format(number) for number in range(len(pairs))]
     asked = (
@@ -105,37 +110,9 @@ def lookup_sorted(
         quoted(surrogate).alias("__value"),
     ).filter(F.col("__at").isNotNull())
     nothing = F.lit(None).cast("string")
-    timeline = stage(
-        known.unionByName(
-            asked.withColumns({"__kind": F.lit(1), "__tie": nothing, "__value": nothing})
-        ),
-        "timeline",
-    )
-    order = [F.col("__at").asc_nulls_first(), F.col("__kind"), F.col("__tie").asc_nulls_first()]
-    cut = cut_hot_keys(timeline, keys, "__at", policy)
-    if cut is None:
-        groups, rows = keys, timeline
-    else:
-        groups = [*keys, SLOT]
-        in_slot = F.struct("__at", "__tie")
-        ends = (
-            cut.filter(F.col(SLOT) > 0)
-            .groupBy(*groups)
-            .agg(F.max_by("__value", F.when(F.col("__kind") == 0, in_slot)).alias("__value"))
-        )
-        earlier = Window.partitionBy(*keys).orderBy(SLOT).rowsBetween(Window.unboundedPreceding, -1)
-        carried = ends.select(
-            *keys,
-            F.lit(None).cast(timeline.schema["__at"].dataType).alias("__at"),
-            F.lit(0).alias("__kind"),
-            nothing.alias("__tie"),
-            F.last("__value", ignorenulls=True).over(earlier).alias("__value"),
-            SLOT,
-        )
-        rows = cut.unionByName(carried.filter(F.col("__value").isNotNull()))
-    so_far = Window.partitionBy(*groups).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    timeline = known.unionByName(asked.withColumns({"__kind": F.lit(1), "__tie": nothing, "__value": nothing}))
     resolved = (
-        rows.withColumn("__found", F.last("__value", ignorenulls=True).over(so_far))
+        last_seen(timeline, keys, ["__at", "__kind", "__tie"], "__value", "__found", slots)
         .filter((F.col("__kind") == 1) & F.col("__found").isNotNull())
         .select(*keys, "__at", "__found")
     )
@@ -143,37 +120,16 @@ def lookup_sorted(
     return lookup(fact, stage(resolved, "resolved"), matched, "__found", output)
 
 
-def most_versions(dimension: DataFrame, keys: Sequence[str]) -> int:
-    """The greatest number of versions any key has."""
-    counted = dimension.groupBy(*keys).agg(F.count(F.lit(1)).alias("__versions"))
-    return counted.agg(F.max("__versions")).first()[0] or 0
-
-
-def lookup_version(
-    fact: DataFrame,
-    dimension: DataFrame,
-    pairs: Sequence[tuple[str, str]],
-    at: str,
-    surrogate: str,
-    output: str,
-    policy: HotKeyPolicy = DEFAULT_POLICY,
-) -> DataFrame:
-    """Point-in-time lookup by the cheaper of the two plans for this dimension. Pass a stored dimension."""
-    if most_versions(dimension, [target for _, target in pairs]) <= DIRECT_VERSIONS:
-        return lookup_between(fact, dimension, pairs, at, surrogate, output)
-    return lookup_sorted(fact, dimension, pairs, at, surrogate, output, policy)
-
-
 def build_fact(
     frame: DataFrame,
     fact: Fact,
     tables: Mapping[str, DataFrame],
     dimensions: Mapping[str, Dimension],
-    policy: HotKeyPolicy = DEFAULT_POLICY,
+    slots: int | None = None,
 ) -> DataFrame:
     """Project the fact columns and look up every configured dimension in order.
 
-    ``tables`` holds stored dimensions. A type 2 dimension without ``effective_at`` gives one row per version.
+    ``tables`` holds stored dimensions. With ``fan_out`` a join gives one row per matching member or version.
     """
     result = frame.select(*[column.column() for column in fact.columns])
     for join in fact.joins:
@@ -182,11 +138,15 @@ def build_fact(
         output = join.output_key or surrogate
         if len(join.source_key) != len(join.target_key):
             raise ValueError("Join to {} needs as many source keys as target keys".format(join.dimension))
+        if not join.fan_out and not join.finds_one(dimension):
+            raise ValueError("Join to {} can multiply rows; set fan_out to allow it".format(join.dimension))
         pairs = list(zip(join.source_key, join.target_key))
         if join.effective_at and dimension.scd_type == 2:
-            result = lookup_version(
-                result, tables[join.dimension], pairs, join.effective_at, surrogate, output, policy
-            )
+            table, at = tables[join.dimension], join.effective_at
+            if join.finds_one(dimension):
+                result = lookup_sorted(result, table, pairs, at, surrogate, output, slots)
+            else:
+                result = lookup_between(result, table, pairs, at, surrogate, output)
         else:
             result = lookup(result, tables[join.dimension], pairs, surrogate, output)
     return result

@@ -1,96 +1,56 @@
-"""Cutting the timeline of hot keys into slots.
+"""Windows along the timelines of keys, however many rows one key has.
 
-Windows over (key order by time) put one whole key into one task. For keys above a row limit, the key's time range is
-cut into slots; the window then runs per (key, slot) and a small table with one row per slot carries what a slot needs
-from its neighbours. Cold keys have the single slot 0.
+A window over (key order by time) puts a whole key into one task. Here the rows are range-partitioned by key, time and ties
+instead: Spark samples the data and cuts it into slots of about equal size, wherever the rows are, so bursts, sentinel dates,
+NULL times and keys with a third of all rows are cut as well. Rows of one slot follow those of the slot before in the order of
+(key, time), so a window runs per (slot, key), and what a slot needs from its neighbours is one row per slot.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from tierlake.functions.scalars import quoted
+from tierlake.sources.staging import stage
 
 SLOT = "__slot"
-_TICKS = "__ticks"
+TIE = "__row_hash"
 
 
-@dataclass(frozen=True)
-class HotKeyPolicy:
-    """A key is hot above ``hot_rows`` rows and is cut into slots of about ``slot_rows`` rows.
+def slotted(frame: DataFrame, keys: Sequence[str], order: Sequence[str], slots: int | None = None) -> DataFrame:
+    """A stored copy of the frame with its slot and a hash that breaks ties.
 
-    ``max_hot_keys`` bounds the broadcast list. The largest keys come first, so with n hot keys beyond the list each
-    of them holds less than 1 / max_hot_keys of all rows, and is still handled, in one task, with spilling.
+    ``order`` sorts ascending with NULLs last; keys must not be NULL. The number of slots is the session's number of
+    shuffle partitions unless ``slots`` names one.
     """
+    count = slots or int(frame.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    hashed = [quoted(f.name) for f in frame.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))]
+    tied = frame.withColumn(TIE, F.xxhash64(*hashed))
+    ranged = tied.repartitionByRange(count, *[quoted(key) for key in keys], *ascending([*order, TIE]))
+    return stage(ranged.withColumn(SLOT, F.spark_partition_id()), "slots")
 
-    hot_rows: int = 2_000_000
-    slot_rows: int = 500_000
-    max_hot_keys: int = 10_000
-    max_slots: int = 100_000
 
+def ascending(order: Sequence[str]) -> list[Column]:
+    return [quoted(name).asc_nulls_last() for name in order]
 
-DEFAULT_POLICY = HotKeyPolicy()
 
+def place(keys: Sequence[str], order: Sequence[str]) -> Column:
+    """A value that compares like (keys, order), NULLs last."""
+    parts = [part for name in order for part in (quoted(name).isNull(), quoted(name))]
+    return F.struct(*[part.alias("p{}".format(n)) for n, part in enumerate([*[quoted(key) for key in keys], *parts])])
 
-def ticks(name: str, data_type: T.DataType) -> Column | None:
-    """A whole number that grows with the time column; None for types without one."""
-    column = F.col(name)
-    if isinstance(data_type, T.TimestampType):
-        return F.unix_micros(column)
-    if isinstance(data_type, T.TimestampNTZType):
-        return F.expr("timestampdiff(MICROSECOND, TIMESTAMP_NTZ '1970-01-01 00:00:00', `{}`)".format(name))
-    if isinstance(data_type, T.DateType):
-        return F.unix_date(column).cast("long")
-    if isinstance(data_type, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
-        return column.cast("long")
-    return None
 
+def key_struct(keys: Sequence[str]) -> list[Column]:
+    return [quoted(key).alias("k{}".format(number)) for number, key in enumerate(keys)]
 
-def cut_hot_keys(
-    frame: DataFrame, keys: Sequence[str], time: str, policy: HotKeyPolicy = DEFAULT_POLICY
-) -> DataFrame | None:
-    """The frame with a slot column, or None when no key is hot (or the time column has no numeric form).
 
-    One aggregation over the key columns finds the hot keys; at most ``max_hot_keys`` rows of it reach the driver and
-    are broadcast from there. Slots grow with time; a NULL time has the last slot of its key.
-    """
-    tick = ticks(time, frame.schema[time].dataType)
-    if tick is None:
-        return None
-    found = (
-        frame.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("__rows"), F.min(tick).alias("__low"), F.max(tick).alias("__high"))
-        .filter(F.col("__rows") > policy.hot_rows)
-        .orderBy(F.col("__rows").desc())
-        .limit(policy.max_hot_keys)
-    )
-    rows = found.collect()
-    if not rows:
-        return None
-    slots = F.least(F.ceil(F.col("__rows") / policy.slot_rows), F.lit(policy.max_slots)).cast("long")
-    hot = frame.sparkSession.createDataFrame(rows, found.schema).select(
-        *[F.col(key).alias("__hot_{}".format(number)) for number, key in enumerate(keys)],
-        "__low",
-        (F.col("__high").cast("double") - F.col("__low").cast("double") + 1.0).alias("__span"),
-        slots.alias("__slots"),
-    )
-    match = [F.col(key).eqNullSafe(F.col("__hot_{}".format(number))) for number, key in enumerate(keys)]
-    inside = (F.col(_TICKS).cast("double") - F.col("__low").cast("double")) / F.col("__span")
-    slot = (
-        F.when(F.col("__slots").isNull(), F.lit(0))
-        .when(F.col(_TICKS).isNull(), F.col("__slots") + 1)
-        .otherwise(F.floor(inside * F.col("__slots")) + 1)
-        .cast("long")
-    )
-    return (
-        frame.withColumn(_TICKS, tick)
-        .join(F.broadcast(hot), match, "left")
-        .withColumn(SLOT, slot)
-        .select(*frame.columns, SLOT)
-    )
+def same_key(keys: Sequence[str], other: str) -> Column:
+    """Is the row's key the one in the struct column ``other``?"""
+    equal = [quoted(key) == F.col("{}.k{}".format(other, number)) for number, key in enumerate(keys)]
+    return reduce(lambda left, right: left & right, equal)
 
 
 def neighbour(
@@ -100,31 +60,48 @@ def neighbour(
     value: str,
     output: str,
     following: bool,
-    policy: HotKeyPolicy = DEFAULT_POLICY,
+    slots: int | None = None,
 ) -> DataFrame:
     """Add the value of the following (or preceding) row of the same key; NULL at the end of the key.
 
-    ``order`` names the sort columns, time first, all ascending with NULLs last. The frame is read more than once, so
-    pass a stored one. Keys must not be NULL.
+    ``order`` names the sort columns, all ascending with NULLs last. Keys must not be NULL.
     """
-    shift = F.lead if following else F.lag
-    ascending = [quoted(name).asc_nulls_last() for name in order]
-    cut = cut_hot_keys(frame, keys, order[0], policy)
-    if cut is None:
-        return frame.withColumn(output, shift(value).over(Window.partitionBy(*keys).orderBy(*ascending)))
-
-    inside = Window.partitionBy(*keys, SLOT).orderBy(*ascending)
-    towards = ascending if following else [quoted(name).desc_nulls_first() for name in order]
-    edges = (
-        cut.filter(F.col(SLOT) > 0)
-        .withColumn("__edge", F.row_number().over(Window.partitionBy(*keys, SLOT).orderBy(*towards)))
-        .filter(F.col("__edge") == 1)
-    )
-    carried = edges.select(
-        *keys, SLOT, shift(value).over(Window.partitionBy(*keys).orderBy(SLOT)).alias("__carried")
-    )
+    shift, edge = (F.lead, F.min_by) if following else (F.lag, F.max_by)
+    names = [*order, TIE]
+    cut = slotted(frame, keys, order, slots)
+    inside = Window.partitionBy(SLOT, *[quoted(key) for key in keys]).orderBy(*ascending(names))
+    # The row at a slot's edge is the neighbour of the row at the edge of the slot beside it: one row per slot.
+    edges = cut.groupBy(SLOT).agg(edge(F.struct(*key_struct(keys), quoted(value).alias("value")), place(keys, names)).alias("__edge"))
+    beside = edges.select(SLOT, shift("__edge").over(Window.orderBy(SLOT)).alias("__beside"))
     own = cut.withColumns({output: shift(value).over(inside), "__more": shift(F.lit(1)).over(inside)})
-    return own.join(carried, [*keys, SLOT], "left").select(
+    carried = F.when(same_key(keys, "__beside"), F.col("__beside.value"))
+    return own.join(F.broadcast(beside), SLOT, "left").select(
         *[quoted(name) for name in frame.columns],
-        F.when(F.col("__more").isNull(), F.col("__carried")).otherwise(F.col(output)).alias(output),
+        F.when(F.col("__more").isNull(), carried).otherwise(F.col(output)).alias(output),
+    )
+
+
+def last_seen(
+    frame: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, output: str, slots: int | None = None
+) -> DataFrame:
+    """Add the last non-NULL value of the same key up to the row itself; ``order`` as for ``neighbour``."""
+    names = [*order, TIE]
+    cut = slotted(frame, keys, order, slots)
+    known = F.when(quoted(value).isNotNull(), place(keys, names))
+    ends = cut.groupBy(SLOT).agg(
+        F.max_by(F.struct(*key_struct(keys)), place(keys, names)).alias("__key"),
+        F.max_by(F.struct(*key_struct(keys), quoted(value).alias("value")), known).alias("__known"),
+    )
+    # What each slot's last key has at the slot's end: its last value there, or what came in for it from before.
+    last_has_it = [F.col("__known.k{}".format(n)) == F.col("__key.k{}".format(n)) for n in range(len(keys))]
+    told = F.when(reduce(lambda left, right: left & right, last_has_it), F.col("__known.value"))
+    so_far = Window.partitionBy("__key").orderBy(SLOT).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ends = ends.withColumn("__held", F.last(told, ignorenulls=True).over(so_far))
+    before = ends.select(SLOT, F.lag(F.struct("__key", "__held")).over(Window.orderBy(SLOT)).alias("__before"))
+    within = Window.partitionBy(SLOT, *[quoted(key) for key in keys]).orderBy(*ascending(names))
+    within = within.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    own = cut.withColumn(output, F.last(quoted(value), ignorenulls=True).over(within))
+    carried = F.when(same_key(keys, "__before.__key"), F.col("__before.__held"))
+    return own.join(F.broadcast(before), SLOT, "left").select(
+        *[quoted(name) for name in frame.columns], F.coalesce(F.col(output), carried).alias(output)
     )

@@ -17,7 +17,6 @@ from typing import Any
 from pyspark.sql import Column, DataFrame, Observation, functions as F, types as T
 
 from tierlake.functions.scalars import blank_to_null, fill_null, quoted, typed_cast, typed_literal
-from tierlake.session import avoid_huge_methods
 
 # Reason texts by check code (1-based), in order of precedence.
 REASONS = (
@@ -146,7 +145,6 @@ def evaluate(
     ``observation`` holds ``valid_rows`` and ``rejected_rows``. The observation also stops column pruning, so select
     the columns that matter first.
     """
-    avoid_huge_methods(frame.sparkSession)
     by_name = {rule.name: rule for rule in rules}
     present = {name.lower() for name in frame.columns}
     if require_columns:

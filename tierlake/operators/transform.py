@@ -7,7 +7,6 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tierlake.session import split_hot_joins
 from tierlake.sources.staging import stage
 
 # Aggregate functions a configuration may name.
@@ -45,7 +44,7 @@ class Metric:
 
     def aggregate(self) -> Column:
         if self.function not in AGGREGATES:
-            raise ValueError("Unsupported aggregate function: {}".format(self.function))
+            raise ValueError("No such metric function: {}".format(self.function))
         value = F.lit(1) if self.column == "*" else F.col(self.column)
         return AGGREGATES[self.function](value).alias(self.name)
 
@@ -100,7 +99,6 @@ def enrich(frame: DataFrame, enrichments: Sequence[Enrichment]) -> DataFrame:
     shuffle stages AQE splits the partition of a hot group. Enrichments that need no result of an earlier one are
     aggregated from the same input.
     """
-    split_hot_joins(frame.sparkSession)
     base, produced = frame, set()
     for item in _merged(enrichments):
         if _needed(item) & produced:
@@ -125,6 +123,6 @@ def apply_commands(frame: DataFrame, commands: Sequence[Expression | Enrichment]
         elif kind is Enrichment:
             frame = enrich(frame, run)
         else:
-            raise ValueError("Unsupported custom command type: {}".format(kind.__name__))
+            raise ValueError("Commands are expressions or enrichments, not {}".format(kind.__name__))
         position = end
     return frame

@@ -7,7 +7,8 @@ is computed once to be counted and once more to be written.
 from __future__ import annotations
 
 import uuid
-from dataclasses import dataclass
+from collections.abc import Sequence
+from dataclasses import dataclass, replace
 from datetime import datetime, timezone
 from typing import Any
 
@@ -17,11 +18,12 @@ from tierlake.config import PipelineConfig
 from tierlake.operators.dedup import deduplicate
 from tierlake.operators.dimensions import build_dimension
 from tierlake.operators.facts import build_fact
-from tierlake.operators.hotkeys import DEFAULT_POLICY, HotKeyPolicy
 from tierlake.operators.quality import evaluate
 from tierlake.operators.transform import apply_commands, project
+from tierlake.plans.ledger import last_value, newest, note
 from tierlake.plans.monitoring import monitored
 from tierlake.sources.readers import is_lines, read_source
+from tierlake.sources.staging import stage, staged_for_now
 from tierlake.sources.storage import (
     BATCH_COLUMN,
     BATCH_FORMAT,
@@ -63,8 +65,13 @@ def new_batch_id() -> str:
     return datetime.now(timezone.utc).strftime(BATCH_FORMAT)
 
 
-def _batch_mode(config: PipelineConfig) -> str:
-    return "overwrite" if config.batch_write == "replace" else "append"
+def _batch_mode(config: PipelineConfig, again: bool) -> str:
+    return "overwrite" if again or config.batch_write == "replace" else "append"
+
+
+def _newest(spark: SparkSession, config: PipelineConfig, step: str, base: str) -> str:
+    """Newest batch of a step by the ledger, or by its folders if the ledger knows none."""
+    return newest(spark, config, step) or latest_batch(spark, base)
 
 
 def _stale(spark: SparkSession, path: str, mode: str) -> bool:
@@ -72,10 +79,25 @@ def _stale(spark: SparkSession, path: str, mode: str) -> bool:
     return mode == "overwrite" and path_exists(spark, path)
 
 
+def _land(spark: SparkSession, config: PipelineConfig, batch_id: str, path: str) -> int:
+    """Write one batch of a source that isn't a stream, note it and return its rows."""
+    column = config.source.options.get("incremental_column") if config.source.type == "table" else None
+    frame = read_source(spark, config.source, last_value(spark, config) if column else None)
+    observation = Observation("rows-{}".format(uuid.uuid4().hex))
+    measures = [F.count(F.lit(1)).alias("rows")]
+    if column:
+        measures.append(F.max(F.col(column)).cast("string").alias("last"))
+    write_jsonl(frame.observe(observation, *measures), path, lines=is_lines(config.source))
+    rows = observation.get["rows"]
+    note(spark, config, batch_id, "ingest", rows, "success" if rows else "no_data", observation.get.get("last"))
+    return rows
+
+
 def ingest(spark: SparkSession, config: PipelineConfig, batch_id: str | None = None) -> StepResult:
     """Source to Bronze: the rows as JSON lines in a new batch folder.
 
-    An event source lands one batch per micro-batch and names them itself.
+    An event source lands one batch per micro-batch and names them itself. A table with an incremental column goes on after
+    the greatest value landed so far. A paged source that reaches its ``max_rows`` ends as ``truncated``.
     """
     streamed = config.source.type == "events"
     batch_id = "" if streamed else batch_id or new_batch_id()
@@ -85,23 +107,26 @@ def ingest(spark: SparkSession, config: PipelineConfig, batch_id: str | None = N
         if streamed:
             landed = land_events(spark, config)
         else:
-            counted, observation = _counted(read_source(spark, config.source))
-            write_jsonl(counted, path, lines=is_lines(config.source))
-            landed = [(batch_id, observation.get["rows"])]
+            landed = [(batch_id, _land(spark, config, batch_id, path))]
         rows = sum(count for _, count in landed)
         batches = tuple(name for name, count in landed if count)
-        facts.update(
-            batch_id=batches[-1] if batches else batch_id, row_count=rows, status="success" if rows else "no_data"
-        )
+        full = config.source.type == "api" and rows >= (config.source.max_rows or 0) > 0
+        status = "truncated" if full else "success" if rows else "no_data"
+        facts.update(batch_id=batches[-1] if batches else batch_id, row_count=rows, status=status)
     return StepResult(facts["status"], path, rows, facts["batch_id"], batches=batches)
 
 
-def bronze_to_raw(spark: SparkSession, config: PipelineConfig, batch_id: str | None = None) -> StepResult:
-    """Newest (or given) Bronze batch to RAW: text columns plus source file and load time."""
+def bronze_to_raw(
+    spark: SparkSession, config: PipelineConfig, batch_id: str | None = None, again: bool = False
+) -> StepResult:
+    """Newest (or given) Bronze batch to RAW: text columns plus source file and load time.
+
+    With ``again`` the batch's folder is replaced, as after a run that didn't end.
+    """
     layout = config.layout
 
     def locate() -> dict[str, Any]:
-        found = batch_id or latest_batch(spark, layout.bronze)
+        found = batch_id or _newest(spark, config, "ingest", layout.bronze)
         return {
             "batch_id": found,
             "input_path": batch_path(layout.bronze, found),
@@ -111,23 +136,26 @@ def bronze_to_raw(spark: SparkSession, config: PipelineConfig, batch_id: str | N
     with monitored(spark, config, locate, layer="raw") as facts:
         rows = 0
         frame = read_bronze(spark, facts["input_path"], config.raw_columns)
-        mode = _batch_mode(config)
+        mode = _batch_mode(config, again)
         if not frame.isEmpty() or _stale(spark, facts["output_path"], mode):
             rows = _write_counted(frame, facts["output_path"], mode)
         facts.update(row_count=rows, status="success" if rows else "no_data")
+        note(spark, config, facts["batch_id"], "bronze_to_raw", rows, facts["status"])
     return StepResult(facts["status"], facts["output_path"], rows, facts["batch_id"])
 
 
-def raw_to_tech(spark: SparkSession, config: PipelineConfig, batch_id: str | None = None) -> StepResult:
+def raw_to_tech(
+    spark: SparkSession, config: PipelineConfig, batch_id: str | None = None, again: bool = False
+) -> StepResult:
     """Newest (or given) RAW batch to TECH and REJECT.
 
-    The checks are projections over one scan. The TECH write counts valid and rejected rows together, and the REJECT
-    write runs only if there is something to write.
+    The batch is read and checked once, into a staged table that is counted as it is written; TECH and REJECT are its two
+    parts and are written if they have rows. ``again`` as for ``bronze_to_raw``.
     """
     layout = config.layout
 
     def locate() -> dict[str, Any]:
-        found = batch_id or latest_batch(spark, layout.raw)
+        found = batch_id or _newest(spark, config, "bronze_to_raw", layout.raw)
         return {
             "batch_id": found,
             "input_path": batch_path(layout.raw, found),
@@ -136,21 +164,21 @@ def raw_to_tech(spark: SparkSession, config: PipelineConfig, batch_id: str | Non
         }
 
     with monitored(spark, config, locate, layer="tech") as facts:
-        raw = spark.read.parquet(facts["input_path"])
+        raw = spark.read.schema(merged_schema(spark, facts["input_path"])).parquet(facts["input_path"])
         observation = Observation("quality-{}".format(uuid.uuid4().hex))
-        evaluated = evaluate(raw, config.rules, config.require_columns, config.keep_source, observation)
-        unobserved = evaluate(raw, config.rules, config.require_columns, config.keep_source)
-        mode = _batch_mode(config)
-        if not unobserved.valid().isEmpty() or _stale(spark, facts["output_path"], mode):
-            write_parquet(evaluated.valid(), facts["output_path"], mode)
+        mode = _batch_mode(config, again)
+        with staged_for_now(spark):
+            evaluated = evaluate(raw, config.rules, config.require_columns, config.keep_source, observation)
+            evaluated = replace(evaluated, frame=stage(evaluated.frame, "evaluated"))
             valid, rejected = observation.get["valid_rows"], observation.get["rejected_rows"]
-        else:
-            valid, rejected = 0, int(not unobserved.rejected().isEmpty())
-        if rejected or _stale(spark, facts["reject_path"], mode):
-            rejected = _write_counted(unobserved.rejected(), facts["reject_path"], mode)
+            if valid or _stale(spark, facts["output_path"], mode):
+                write_parquet(evaluated.valid(), facts["output_path"], mode)
+            if rejected or _stale(spark, facts["reject_path"], mode):
+                write_parquet(evaluated.rejected(), facts["reject_path"], mode)
         facts.update(
             row_count=valid, rejected_count=rejected, status="success" if valid or rejected else "no_data"
         )
+        note(spark, config, facts["batch_id"], "raw_to_tech", valid, facts["status"])
     return StepResult(
         facts["status"], facts["output_path"], valid, facts["batch_id"], facts["reject_path"], rejected
     )
@@ -167,14 +195,17 @@ def shape(frame: DataFrame, config: PipelineConfig, existing: DataFrame | None =
     return deduplicate(frame, config.dedup, existing)
 
 
-def tech_to_func(spark: SparkSession, config: PipelineConfig, batch_id: str | None = None) -> StepResult:
-    """Newest (or given) TECH batch, or all of them, to FUNC."""
+def tech_to_func(
+    spark: SparkSession, config: PipelineConfig, batch_id: str | None = None, batches: Sequence[str] | None = None
+) -> StepResult:
+    """Newest (or given) TECH batch, several batches of one run together, or all batches, to FUNC."""
     layout = config.layout
+    everything = config.func_scope == "all_batches"
 
     def locate() -> dict[str, Any]:
-        found = batch_id or latest_batch(spark, layout.tech)
-        everything = config.func_scope == "all_batches"
-        return {"batch_id": found, "input_path": layout.tech if everything else batch_path(layout.tech, found)}
+        found = sorted(batches) if batches else [batch_id or _newest(spark, config, "raw_to_tech", layout.tech)]
+        paths = [layout.tech] if everything else [batch_path(layout.tech, name) for name in found]
+        return {"batch_id": found[-1], "input_path": ",".join(paths)}
 
     about = {
         "layer": "func",
@@ -184,10 +215,8 @@ def tech_to_func(spark: SparkSession, config: PipelineConfig, batch_id: str | No
     }
     with monitored(spark, config, locate, **about) as facts:
         rows = 0
-        if config.func_scope == "all_batches":
-            tech = spark.read.schema(merged_schema(spark, layout.tech)).parquet(layout.tech).drop(BATCH_COLUMN)
-        else:
-            tech = spark.read.parquet(facts["input_path"])
+        paths = facts["input_path"].split(",")
+        tech = spark.read.schema(merged_schema(spark, *paths)).parquet(*paths).drop(BATCH_COLUMN)
         if not tech.isEmpty():
             existing = None
             if config.against_existing and config.func_mode == "append" and path_exists(spark, layout.func):
@@ -195,12 +224,12 @@ def tech_to_func(spark: SparkSession, config: PipelineConfig, batch_id: str | No
             func = shape(tech, config, existing)
             rows = _write_counted(limit_files(func, config.func_partitions), layout.func, config.func_mode)
         facts.update(row_count=rows, status="success" if rows else "no_data")
+        for name in sorted(batches) if batches else [facts["batch_id"]]:
+            note(spark, config, name, "tech_to_func", rows, facts["status"])
     return StepResult(facts["status"], layout.func, rows, facts["batch_id"])
 
 
-def func_to_gold(
-    spark: SparkSession, config: PipelineConfig, policy: HotKeyPolicy = DEFAULT_POLICY
-) -> list[StepResult]:
+def func_to_gold(spark: SparkSession, config: PipelineConfig, slots: int | None = None) -> list[StepResult]:
     """FUNC to all dimensions, then all facts. Facts join the dimensions as written, which are read back."""
     layout = config.layout
     tables, results = {}, []
@@ -217,8 +246,8 @@ def func_to_gold(
         return path
 
     for dimension in config.dimensions:
-        path = write("dimension", dimension, lambda func: build_dimension(func, dimension, policy))
+        path = write("dimension", dimension, lambda func: build_dimension(func, dimension, slots))
         tables[dimension.name] = spark.read.parquet(path)
     for fact in config.facts:
-        write("fact", fact, lambda func: build_fact(func, fact, tables, by_name, policy))
+        write("fact", fact, lambda func: build_fact(func, fact, tables, by_name, slots))
     return results

@@ -6,23 +6,28 @@ the SQL engine that checks it.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import glob
+import json
+from collections.abc import Callable, Iterator, Mapping
+from dataclasses import replace
+from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from tierlake.config import PipelineConfig, parse_config
 from tierlake.functions.scalars import blank_to_null, fill_null, hash_key, typed_cast
 from tierlake.operators.dedup import Dedup, deduplicate
 from tierlake.operators.dimensions import Dimension, build_dimension
 from tierlake.operators.facts import DimensionJoin, Fact, build_fact, lookup_between, lookup_sorted
-from tierlake.operators.hotkeys import HotKeyPolicy
 from tierlake.operators.quality import ColumnRule, evaluate, split
 from tierlake.operators.transform import Enrichment, Expression, Metric, OutputColumn, apply_commands, project
+from tierlake.plans.jobs import run_all
 from tierlake.plans.layers import StepResult, bronze_to_raw, func_to_gold, ingest, raw_to_tech, tech_to_func
 from tierlake.sources.catalog import mirror
-from tierlake.sources.readers import read_files, read_pages, read_source
+from tierlake.sources.paged import TransientError
+from tierlake.sources.readers import read_files, read_source
 from tierlake.sources.staging import new_folder, stage
-from tierlake.sources.storage import between, latest_batch, read_bronze, slice_rows, write_jsonl
+from tierlake.sources.storage import batch_path, between, has_parquet, latest_batch, read_bronze, write_jsonl
 from tierlake.streaming.quality_stream import start_quality_stream, text_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -220,16 +225,14 @@ def quality_reason_report(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @registered(
-    "with {} select event_id, rejected_fields, case when rejected_fields like '%value%' then 'field' end as has_value "
-    "from checked where rejection_reason <> ''".format(CHECKED)
+    "with {} select event_id, rejected_fields, case when value_c is not null then value_s end as value_text, "
+    "case when visitor_c is not null then visitor_s end as visitor_text, case when kind_c is not null then coded.kind end as kind_text "
+    "from checked join coded using (event_id) where rejection_reason <> ''".format(CHECKED)
 )
 def quality_kept_source(spark: SparkSession, folder: str) -> DataFrame:
     rejected = split(dirty_events(spark, folder), RULES, keep_source=True)[1]
-    return rejected.select(
-        "event_id",
-        "rejected_fields",
-        F.when(F.map_contains_key("source_values", F.lit("value")), F.lit("field")).alias("has_value"),
-    )
+    texts = [F.col("source_values")[name].alias(name + "_text") for name in ("value", "visitor", "kind")]
+    return rejected.select("event_id", "rejected_fields", *texts)
 
 
 # --- projection, expressions, enrichment -----------------------------------------------------------------------------
@@ -544,8 +547,8 @@ USER_VERSIONS = """
     user_versions as ({})
 """.format(_ENDED.format(key="user_id", sk="user_sk", source="user_first"))
 
-# Small limits, so that the tables' largest keys take the plan for hot keys.
-SLICED = HotKeyPolicy(hot_rows=4, slot_rows=2, max_hot_keys=100)
+# More slots than keys, so that timelines are cut in many places.
+MANY_SLOTS = 64
 
 
 @registered("with {} select * from user_versions".format(USER_VERSIONS))
@@ -555,7 +558,7 @@ def dim_scd2(spark: SparkSession, folder: str) -> DataFrame:
 
 @registered("with {} select * from user_versions".format(USER_VERSIONS))
 def dim_scd2_hot_keys(spark: SparkSession, folder: str) -> DataFrame:
-    return build_dimension(table(spark, folder, "events"), USER_TYPE, SLICED)
+    return build_dimension(table(spark, folder, "events"), USER_TYPE, MANY_SLOTS)
 
 
 @registered(
@@ -605,19 +608,19 @@ CHANGES = """
 """.format(_ENDED.format(key="user_id", sk="user_sk", source="changed"))
 
 
-def _user_changes(spark: SparkSession, folder: str, policy: HotKeyPolicy) -> DataFrame:
+def _user_changes(spark: SparkSession, folder: str, slots: int | None = None) -> DataFrame:
     kept = {name: getattr(USER_TYPE, name) for name in USER_TYPE.__dataclass_fields__}
-    return build_dimension(table(spark, folder, "events"), Dimension(**{**kept, "detect": "changes"}), policy)
+    return build_dimension(table(spark, folder, "events"), Dimension(**{**kept, "detect": "changes"}), slots)
 
 
 @registered(CHANGES)
 def dim_scd2_changes(spark: SparkSession, folder: str) -> DataFrame:
-    return _user_changes(spark, folder, HotKeyPolicy())
+    return _user_changes(spark, folder)
 
 
 @registered(CHANGES)
 def dim_scd2_changes_hot_keys(spark: SparkSession, folder: str) -> DataFrame:
-    return _user_changes(spark, folder, HotKeyPolicy(hot_rows=40, slot_rows=10, max_hot_keys=100))
+    return _user_changes(spark, folder, MANY_SLOTS)
 
 
 # --- facts -----------------------------------------------------------------------------------------------------------
@@ -713,8 +716,56 @@ def fact_asof_sorted(spark: SparkSession, folder: str) -> DataFrame:
 @registered(ASOF)
 def fact_asof_hot_keys(spark: SparkSession, folder: str) -> DataFrame:
     facts, users = _event_facts(spark, folder)
-    policy = HotKeyPolicy(hot_rows=40, slot_rows=10, max_hot_keys=100)
-    return lookup_sorted(facts, users, [("user_id", "user_id")], "ts", "user_sk", "user_sk", policy)
+    return lookup_sorted(facts, users, [("user_id", "user_id")], "ts", "user_sk", "user_sk", MANY_SLOTS)
+
+
+TIMED = """
+    hashed as (select user_id, event_type, ts as valid_from, sha256(concat_ws('||', event_type, strftime(ts, '%Y-%m-%d')))
+        as hash_data from (select user_id, event_type, date_trunc('day', ts) as ts from events)),
+    firsts as (select distinct * from hashed),
+    user_days as ({})
+""".format(_ENDED.format(key="user_id", sk="user_sk", source="firsts"))
+
+
+def _user_days(spark: SparkSession, folder: str) -> DataFrame:
+    """The time is tracked as well: every day with events of a type is a version."""
+    days = table(spark, folder, "events").select("user_id", "event_type", F.to_date("ts").alias("ts"))
+    kept = {name: getattr(USER_TYPE, name) for name in USER_TYPE.__dataclass_fields__}
+    return build_dimension(days, Dimension(**{**kept, "tracked": ("event_type", "ts")}))
+
+
+@registered(
+    "with {} select * exclude (valid_from, valid_to), cast(valid_from as date) as valid_from, valid_to from user_days".format(TIMED)
+)
+def dim_scd2_time_tracked(spark: SparkSession, folder: str) -> DataFrame:
+    return _user_days(spark, folder)
+
+
+@registered(
+    """
+    with hashed as (select user_id % 10 as grp, user_id, event_type, ts as valid_from, sha256(event_type) as hash_data from events),
+    firsts as (select grp, user_id, event_type, min(valid_from) as valid_from, hash_data from hashed group by all),
+    followed as (select *, lead(valid_from) over (partition by grp, user_id order by valid_from, hash_data) as after from firsts),
+    known as (select *, after - interval 1 microsecond as valid_to,
+        sha256(concat_ws('||', grp, user_id, hash_data)) as user_sk from followed),
+    asked as (select c_custkey % 10 as grp, c_custkey, timestamp '2024-01-16 00:00:00' as moment from customer where c_custkey <= 40)
+    select c_custkey, asked.grp as grp, moment, user_sk from asked left join known
+    on asked.grp = known.grp and moment >= valid_from and (valid_to is null or moment <= valid_to)
+    """
+)
+def fact_asof_part_key(spark: SparkSession, folder: str) -> DataFrame:
+    """A join on part of the business key finds every member valid at the time, with hundreds of versions per joined key."""
+    events = table(spark, folder, "events").select((F.col("user_id") % 10).alias("grp"), "user_id", "event_type", "ts")
+    by_group = Dimension(
+        "dim_user", ("grp", "user_id"), "user_sk", columns("grp", "user_id", "event_type", "ts"), scd_type=2, valid_from="ts",
+        tracked=("event_type",),
+    )
+    facts = table(spark, folder, "customer").filter("c_custkey <= 40").select(
+        "c_custkey", (F.col("c_custkey") % 10).alias("grp"), F.expr("timestamp_ntz'2024-01-16 00:00:00'").alias("moment")
+    )
+    join = DimensionJoin("dim_user", ("grp",), ("grp",), effective_at="moment", fan_out=True)
+    tables = {"dim_user": stage(build_dimension(events, by_group), "dim")}
+    return build_fact(facts, Fact("fact", columns("c_custkey", "grp", "moment"), (join,)), tables, {"dim_user": by_group})
 
 
 @registered(
@@ -726,7 +777,7 @@ def fact_scd2_fanout(spark: SparkSession, folder: str) -> DataFrame:
     fact = Fact(
         "fact_event",
         columns("event_id", "user_id"),
-        (DimensionJoin("dim_user", ("user_id",), ("user_id",), "version_key"),),
+        (DimensionJoin("dim_user", ("user_id",), ("user_id",), "version_key", fan_out=True),),
     )
     return build_fact(facts, fact, {"dim_user": users}, {"dim_user": USER_TYPE})
 
@@ -785,12 +836,16 @@ def star_schema(spark: SparkSession, folder: str) -> DataFrame:
 
 @registered("select * from orders order by o_orderkey offset 1000 limit 500")
 def page_slice(spark: SparkSession, folder: str) -> DataFrame:
-    return slice_rows(table(spark, folder, "orders"), ["o_orderkey"], 1000, 500)
+    return table(spark, folder, "orders").orderBy("o_orderkey").offset(1000).limit(500)
 
 
 @registered("select * from orders order by o_orderkey offset 1000 limit 500")
 def page_slice_deep(spark: SparkSession, folder: str) -> DataFrame:
-    return slice_rows(table(spark, folder, "orders"), ["o_orderkey"], 1000, 500, deep_offset=0)
+    """The same rows by their number in the order, as a page far into it is best asked for: by the key it begins at."""
+    orders = table(spark, folder, "orders")
+    first = orders.select("o_orderkey").orderBy("o_orderkey").offset(1000).limit(1)
+    start = first.first()
+    return orders.filter(F.col("o_orderkey") >= (start[0] if start else None)).orderBy("o_orderkey").limit(500)
 
 
 @registered(
@@ -800,19 +855,71 @@ def range_scan(spark: SparkSession, folder: str) -> DataFrame:
     return between(table(spark, folder, "events"), "ts", "2024-01-05T00:00:00", "2024-01-11T23:59:59")
 
 
-def _orders_source(spark: SparkSession, folder: str) -> dict:
+class StagedPages:
+    """Transport over JSON lines staged as one file per ``stored`` rows; fails once per page if asked to (``flaky``)."""
+
+    failed: set[int] = set()
+
+    def __init__(self, options: Mapping[str, str]) -> None:
+        self.options = options
+
+    def fetch(self, offset: int, limit: int) -> Iterator[Mapping[str, Any]]:
+        if self.options.get("flaky") == "true" and offset not in self.failed:
+            self.failed.add(offset)
+            raise TransientError("busy", 503)
+        size, found = int(self.options["page_size"]), []
+        for name in glob.glob("{}/page={}/*.txt".format(self.options["location"].removeprefix("file:"), offset // size)):
+            with open(name, encoding="utf-8") as lines:
+                found += [json.loads(line) for line in lines]
+        yield from sorted(found, key=lambda row: row["o_orderkey"])[:limit]
+
+
+def _paged(spark: SparkSession, folder: str, most: int, low: int | None = None, high: int | None = None, **options: str) -> PipelineConfig:
+    """A paged source over the orders of a key range, which a transport applies before it counts rows."""
     orders = table(spark, folder, "orders")
-    return {
-        "type": "api",
-        "provider": "parquet",
-        "location": "{}/orders.parquet".format(folder),
-        "pagination": {"page_size": 5000, "max_rows": orders.count()},
-    }
+    size = 500
+    if low is not None:
+        options["filter"] = {"column": "o_orderkey", "start": str(low), "end": str(high)}
+        orders = orders.filter(F.col("o_orderkey").between(low, high))
+    path = new_folder(spark, "pages")
+    rank = F.row_number().over(Window.orderBy("o_orderkey")) - 1
+    paged = orders.withColumn("page", F.floor(rank / size)).withColumn("line", F.to_json(F.struct(*orders.columns)))
+    paged.select("page", "line").repartition("page").write.partitionBy("page").text(path)
+    source = {"type": "api", "provider": "tierlake.plans.registered:StagedPages", "location": path,
+              "pagination": {"page_size": size, "max_rows": most}, "readers": 3, **options}
+    return _config(spark, "paged", source)
+
 
+TEXT_ORDERS = """select cast(o_orderkey as string) as o_orderkey, cast(o_custkey as string) as o_custkey, o_orderstatus,
+    o_orderpriority from orders"""
+TEXT_COLUMNS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority"]
 
-@registered("select * from orders")
+
+@registered(TEXT_ORDERS)
 def paged_source(spark: SparkSession, folder: str) -> DataFrame:
-    return read_pages(spark, _config(spark, "paged", _orders_source(spark, folder)).source)
+    """All pages; the source ends far before ``max_rows``."""
+    config = _paged(spark, folder, 100_000_000, schema=", ".join(c + " string" for c in TEXT_COLUMNS))
+    return read_source(spark, config.source)
+
+
+@registered(TEXT_ORDERS)
+def paged_source_retry(spark: SparkSession, folder: str) -> DataFrame:
+    """Every page fails once before it is served."""
+    config = _paged(spark, folder, 100_000_000, schema=", ".join(c + " string" for c in TEXT_COLUMNS), flaky="true")
+    return read_source(spark, config.source)
+
+
+@registered(
+    """
+    with inside as (select o_orderkey from orders where o_orderkey between 2000 and 9000 order by o_orderkey limit 700)
+    select 'truncated' as status, cast(o_orderkey as string) as o_orderkey from inside
+    """
+)
+def paged_range_capped(spark: SparkSession, folder: str) -> DataFrame:
+    """A range on a source that is cut at ``max_rows``: the range comes first, and the run says that it was cut."""
+    config = _paged(spark, folder, 700, 2000, 9000)
+    landed = ingest(spark, config, "20240101T000000Z")
+    return read_bronze(spark, landed.path).select(F.lit(landed.status).alias("status"), "o_orderkey")
 
 
 @registered("select cast(event_id as string) as event_id, event_type, cast(value as string) as value, props, "
@@ -833,6 +940,19 @@ def file_source_csv(spark: SparkSession, folder: str) -> DataFrame:
     return read_files(spark, _config(spark, "csv", source).source)
 
 
+@registered("select cast(o_orderkey as string) as o_orderkey, o_orderdate > timestamp '1997-06-30 00:00:00' as second from orders")
+def table_source_resumes(spark: SparkSession, folder: str) -> DataFrame:
+    """Two runs over a table that grows in between: the second lands only what came after the greatest value of the first."""
+    orders, view = table(spark, folder, "orders"), "growing_orders"
+    config = _config(spark, "resumed", {"type": "table", "table": view, "incremental_column": "o_orderdate"})
+    orders.filter("o_orderdate <= timestamp_ntz'1997-06-30 00:00:00'").createOrReplaceTempView(view)
+    first = ingest(spark, config, "20240101T000000Z")
+    orders.createOrReplaceTempView(view)
+    second = ingest(spark, config, "20240102T000000Z")
+    parts = [read_bronze(spark, run.path).select("o_orderkey", F.lit(late).alias("second")) for run, late in ((first, False), (second, True))]
+    return parts[0].unionByName(parts[1])
+
+
 @registered("select * from orders where o_orderdate > timestamp '1997-06-30 00:00:00'")
 def table_source_incremental(spark: SparkSession, folder: str) -> DataFrame:
     table(spark, folder, "orders").createOrReplaceTempView("incremental_orders")
@@ -937,11 +1057,13 @@ def _config(spark: SparkSession, name: str, source: dict, root: str | None = Non
     return parse_config(document, root or new_folder(spark, name) + "/")
 
 
-def _landed(spark: SparkSession, folder: str, name: str) -> PipelineConfig:
+def _landed(spark: SparkSession, folder: str, name: str, **options: object) -> PipelineConfig:
     """Dirty events as a drop folder, ingested to Bronze and moved to RAW."""
     drop = new_folder(spark, "drop")
     dirty_events(spark, folder).write.parquet(drop)
     config = _config(spark, name, {"type": "file", "location": drop, "format": "parquet"})
+    if "output_partitions" in options:
+        config = replace(config, func_partitions=options["output_partitions"], gold_partitions=options["output_partitions"])
     ingest(spark, config, "20240201T000000Z")
     bronze_to_raw(spark, config)
     return config
@@ -958,6 +1080,77 @@ def layers_reject(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(result.reject_path).drop("_source_file", "_raw_loaded_at", "rejected_at")
 
 
+@registered(
+    """
+    with {}, counts as (select count(*) as n, count(distinct kind) as kinds from valid)
+    select 'func files' as what, 1 as n from counts union all select 'gold files', 1 from counts
+    union all select 'rows with a source file and a load time', (select count(*) from events) from counts
+    union all select 'empty batch: raw folder', 0 from counts union all select 'empty batch: status no_data', 1 from counts
+    """.format(CHECKED)
+)
+def layers_outputs(spark: SparkSession, folder: str) -> DataFrame:
+    """Numbers of output files, load columns, and an empty batch that writes nothing."""
+    config = _landed(spark, folder, "layers_outputs", output_partitions=1)
+    raw_to_tech(spark, config)
+    func = spark.read.parquet(tech_to_func(spark, config).path)
+    gold = spark.read.parquet(func_to_gold(spark, config)[-1].path)
+    raw = spark.read.parquet(batch_path(config.layout.raw, "20240201T000000Z"))
+    loaded = raw.filter("_source_file like '%ingestion_timestamp=20240201T000000Z/%' and _raw_loaded_at is not null").count()
+    empty = _config(spark, "empty", {"type": "file", "location": config.source.options["location"], "format": "parquet",
+                                     "filter": {"column": "event_id", "start": "-2", "end": "-1"}})
+    ingest(spark, empty, "20240301T000000Z")
+    status = bronze_to_raw(spark, empty, "20240301T000000Z").status
+    found = [
+        ("func files", len(func.inputFiles())), ("gold files", len(gold.inputFiles())),
+        ("rows with a source file and a load time", loaded),
+        ("empty batch: raw folder", int(has_parquet(spark, empty.layout.raw))), ("empty batch: status no_data", int(status == "no_data")),
+    ]
+    return spark.createDataFrame(found, "what string, n int")
+
+
+@registered("with {} select event_id, user_id, ts, value, visitor, kind from valid".format(CHECKED))
+def pipeline_all(spark: SparkSession, folder: str) -> DataFrame:
+    """The whole chain over event batches: one is landed by a run that goes no further, another by the run that ends."""
+    drop = new_folder(spark, "drop")
+    config = _config(spark, "pipeline_all", {"type": "events", "location": drop, "format": "json"})
+    dirty = dirty_events(spark, folder)
+    write_jsonl(dirty.filter("pmod(xxhash64(event_id), 3) = 0"), drop + "/first")
+    config = replace(config, source=replace(config.source, options={**config.source.options, "location": drop + "/*"}))
+    ingest(spark, config)
+    write_jsonl(dirty.filter("pmod(xxhash64(event_id), 3) <> 0"), drop + "/second")
+    run_all(spark, config, with_catalog=False)
+    func = spark.read.parquet(config.layout.func)
+    fact = spark.read.parquet(config.layout.gold_table("fact_event"))
+    return func.join(fact.select("event_id").distinct(), "event_id", "left_semi").select("event_id", "user_id", "ts", "value", "visitor", "kind")
+
+
+def _malformed(spark: SparkSession, folder: str, mode: str) -> DataFrame:
+    """Every eleventh event's line is broken; landed as an event stream and moved to RAW."""
+    drop = new_folder(spark, "drop")
+    events = table(spark, folder, "events").select("event_id", "event_type", F.to_json(F.struct("event_id", "event_type")).alias("line"))
+    broken = F.when(F.col("event_id") % 11 == 0, F.concat(F.lit("{broken "), F.col("line"))).otherwise(F.col("line"))
+    events.select(broken).write.text(drop)
+    config = _config(spark, "malformed", {"type": "events", "location": drop, "format": "json"})
+    declared = ("event_id", "event_type") if mode == "declared" else None
+    config = replace(config, raw_columns=declared)
+    for batch in ingest(spark, config).batches:
+        bronze_to_raw(spark, config, batch)
+    rows = spark.read.parquet(config.layout.raw)
+    return rows.select(F.lit(mode).alias("mode"), "event_id", "event_type", F.col("_corrupt_record").alias("broken"))
+
+
+@registered(
+    """
+    with modes as (select * from (values ('infer'), ('declared')) as m(mode)),
+    lines as (select *, event_id % 11 = 0 as bad, '{broken {"event_id":' || event_id || ',"event_type":"' || event_type || '"}' as line from events)
+    select mode, case when not bad then cast(event_id as string) end as event_id, case when not bad then event_type end as event_type,
+        case when bad then line end as broken from modes, lines
+    """
+)
+def malformed_lines(spark: SparkSession, folder: str) -> DataFrame:
+    return _malformed(spark, folder, "infer").unionByName(_malformed(spark, folder, "declared"))
+
+
 @registered(
     "with {}, metrics as (select kind, count(*) as kind_events from valid group by 1) "
     "select * from valid join metrics using (kind)".format(CHECKED)
@@ -983,19 +1176,26 @@ def layers_fact(spark: SparkSession, folder: str) -> DataFrame:
 
 @registered(
     """
-    with {}, counts as (select count(*) filter (rejection_reason = '') as ok,
+    with {}, {}, counts as (select count(*) filter (rejection_reason = '') as ok,
         count(*) filter (rejection_reason <> '') as bad from checked),
-    facts as (select * from (values ('bronze', 'started'), ('bronze', 'success'), ('raw', 'started'), ('raw', 'success'),
-        ('tech', 'started'), ('tech', 'success')) as v(layer, status))
-    select layer, status, case when status = 'started' then 0 when layer = 'tech' then ok else ok + bad end as row_count,
-        case when layer = 'tech' and status = 'success' then bad else 0 end as rejected_count from facts, counts
-    """.format(CHECKED)
+    gold as (select 'dim_user' as dataset_name, count(*) as n from user_versions
+        union all select 'dim_kind', count(distinct kind) from valid
+        union all select 'dim_date', count(distinct cast(ts as date)) from valid
+        union all select 'fact_event', count(*) from valid),
+    facts as (select * from (values ('bronze'), ('raw'), ('tech'), ('func')) as v(layer)),
+    states as (select * from (values ('started'), ('success')) as v(status))
+    select layer, '' as dataset_name, status, case when status = 'started' then 0 when layer in ('tech', 'func') then ok else ok + bad end
+        as row_count, case when layer = 'tech' and status = 'success' then bad else 0 end as rejected_count from facts, states, counts
+    union all select 'gold', dataset_name, status, case when status = 'started' then 0 else n end, 0 from gold, states
+    """.format(CHECKED, STAR_VERSIONS)
 )
 def monitoring_events(spark: SparkSession, folder: str) -> DataFrame:
-    config = _landed(spark, folder, "monitoring_events")
-    raw_to_tech(spark, config)
-    layers = ["{}/{}".format(config.layout.monitoring, layer) for layer in ("bronze", "raw", "tech")]
-    return spark.read.parquet(*layers).select("layer", "status", "row_count", "rejected_count")
+    config, _ = _full_run(spark, folder, "monitoring_events")
+    root = config.layout.monitoring
+    silver = spark.read.parquet(*["{}/{}".format(root, layer) for layer in ("bronze", "raw", "tech", "func")])
+    gold = spark.read.parquet(*["{}/gold/dimensions/{}".format(root, item.name) for item in config.dimensions], root + "/gold/facts/fact_event")
+    names = ["layer", "dataset_name", "status", "row_count"]
+    return silver.select(*names, "rejected_count").unionByName(gold.select(*names, F.lit(0).cast("long").alias("rejected_count")))
 
 
 @registered(
@@ -1008,13 +1208,15 @@ def monitoring_events(spark: SparkSession, folder: str) -> DataFrame:
         union all select 'gold.dim_user', count(*) from user_versions
         union all select 'gold.dim_kind', count(distinct kind) from valid
         union all select 'gold.dim_date', count(distinct cast(ts as date)) from valid
-        union all select 'gold.fact_event', count(*) from valid)
+        union all select 'gold.fact_event', count(*) from valid
+        union all select 'monitoring.' || name || '_events', 2 from (values ('bronze'), ('raw'), ('tech'), ('func'),
+            ('gold_dim_user'), ('gold_dim_kind'), ('gold_dim_date'), ('gold_fact_event')) as v(name))
     select * from counts
     """.format(CHECKED, STAR_VERSIONS)
 )
 def mirror_tables(spark: SparkSession, folder: str) -> DataFrame:
     config, _ = _full_run(spark, folder, "mirrored")
-    names = [name for name in mirror(spark, config) if not name.startswith("monitoring.")]
+    names = mirror(spark, config)
     counts = [
         spark.table(name).agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("table_name"), "n")
         for name in names
@@ -1025,28 +1227,28 @@ def mirror_tables(spark: SparkSession, folder: str) -> DataFrame:
     return result
 
 
-@registered("with {} select * from valid".format(CHECKED))
+@registered(
+    "with {} select 'tech' as part, event_id, user_id, ts, value, visitor, kind, null as rejected_fields from valid "
+    "union all select 'reject', event_id, user_id, ts, value, visitor, kind, rejected_fields from checked "
+    "where rejection_reason <> ''".format(CHECKED)
+)
 def stream_quality(spark: SparkSession, folder: str) -> DataFrame:
     bronze, tech, reject, checkpoint = (new_folder(spark, label) for label in ("bronze", "tech", "reject", "checkpoint"))
     dirty = dirty_events(spark, folder)
     write_jsonl(dirty, bronze)
     stream = text_stream(spark, bronze, dirty.columns)
     start_quality_stream(stream, RULES, tech, reject, checkpoint).awaitTermination()
-    return spark.read.parquet(tech).select(*dirty.columns)
+    names = ["event_id", "user_id", "ts", "value", "visitor", "kind"]
+    valid = spark.read.parquet(tech).select(F.lit("tech").alias("part"), *names, F.lit(None).cast("string").alias("rejected_fields"))
+    return valid.unionByName(spark.read.parquet(reject).select(F.lit("reject").alias("part"), *names, "rejected_fields"))
 
 
 @registered("select cast(event_id as string) as event_id, cast(user_id as string) as user_id, event_type from events")
 def event_source(spark: SparkSession, folder: str) -> DataFrame:
     drop = new_folder(spark, "drop")
     events = table(spark, folder, "events").select("event_id", "user_id", "event_type")
-    events.write.json(drop)
-    source = {
-        "type": "events",
-        "location": drop,
-        "format": "json",
-        "schema": "event_id bigint, user_id bigint, event_type string",
-    }
-    config = _config(spark, "event_source", source)
-    landed = ingest(spark, config)
-    bronze_to_raw(spark, config, landed.batch_id)
+    events.repartition(3).write.json(drop)
+    config = _config(spark, "event_source", {"type": "events", "location": drop, "format": "json", "max_files_per_trigger": 1})
+    for batch in ingest(spark, config).batches:
+        bronze_to_raw(spark, config, batch)
     return spark.read.parquet(config.layout.raw).select("event_id", "user_id", "event_type")

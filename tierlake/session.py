@@ -7,8 +7,11 @@ from pyspark.sql import SparkSession
 FORCE_SKEW_SPLIT = "spark.sql.adaptive.forceOptimizeSkewedJoin"
 METHOD_LIMIT = "spark.sql.codegen.hugeMethodLimit"
 
-# Fixed values. AQE coalesces and splits shuffle partitions at run time, so joins on a hot key are cut into
-# several tasks; UTC makes text-to-timestamp casts independent of the host.
+# AQE coalesces and splits shuffle partitions at run time, so joins on a hot key are cut into several tasks. Forced
+# splitting does so also where a later step could have reused the partitioning (two joins on one key, say), which AQE would
+# leave whole; Spark adds a shuffle in just those cases. The method limit keeps generated code small enough for the JVM to
+# compile: rules over a few dozen columns make methods that HotSpot would interpret. UTC makes text-to-timestamp casts
+# independent of the host. Operators never change a session.
 DEFAULTS = {
     FORCE_SKEW_SPLIT: "true",
     METHOD_LIMIT: "8000",
@@ -25,21 +28,3 @@ def build_session(app_name: str, settings: dict[str, str] | None = None) -> Spar
     for key, value in {**DEFAULTS, **(settings or {})}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
-
-
-def split_hot_joins(spark: SparkSession) -> None:
-    """Let AQE split a hot join partition also where a later step could have reused the partitioning.
-
-    Without this, two joins on one key (or a join and a window on it) share a shuffle, AQE leaves it whole, and a key
-    with a third of all rows ends up in one task. With it, Spark adds a shuffle in just those cases.
-    """
-    spark.conf.set(FORCE_SKEW_SPLIT, "true")
-
-
-def avoid_huge_methods(spark: SparkSession) -> None:
-    """Keep generated methods small enough for the JVM to compile.
-
-    HotSpot interprets methods above 8000 bytes, and rules over a few dozen columns make such methods when a whole
-    stage is fused. Above this limit Spark generates split code per operator instead, which does get compiled.
-    """
-    spark.conf.set(METHOD_LIMIT, "8000")

@@ -1,12 +1,15 @@
-"""Paged reads as a Spark data source: every page is one input partition and is fetched on an executor.
+"""Paged reads as a Spark data source: a few readers share the pages, each on an executor.
 
 ``spark.read.format("paged")`` takes these options:
 
 * ``transport``: a registered transport name, or ``module:Class``; ``location`` and all other options reach it as given
 * ``page_size`` and ``max_rows``: pages of ``page_size`` rows up to ``max_rows``; the last page may be smaller
+* ``readers`` (4): so many pages are asked for at a time; reader i takes pages i, i + readers, and so on
+* ``page_pause_seconds`` (0): every reader's pause between two pages
 * ``max_retries``: extra attempts after a transient failure, with a growing pause between them
 
-All planned pages are read, in parallel; pages beyond the end of the source are empty. With the schema
+A reader stops at its first page that isn't full, so at most one request of each goes past the end. Transports have to
+apply the range options (``filter_column``, ``filter_start``, ``filter_end``) before they count rows. With the schema
 ``value string``, JSON rows arrive as their JSON text; with other string columns, nested values do.
 """
 
@@ -23,8 +26,6 @@ from urllib.parse import urlencode
 from urllib.request import urlopen
 
 import pyarrow as pa
-import pyarrow.parquet as pq
-from pyarrow import fs
 from pyspark import cloudpickle
 from pyspark.sql import SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
@@ -33,10 +34,16 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 TRANSIENT_STATUS = (429, 500, 502, 503, 504)
 LONGEST_PAUSE = 60
 LINE_SCHEMA_NAMES = ["value"]
+READERS = 4
 
 
 class TransientError(Exception):
-    """A failure that another attempt may not meet. ``status`` is the source's status code, if it has one."""
+    """A failure that another attempt may not meet. ``status`` is the source's status code, if it has one.
+
+    Classes reach the workers by value, so failures are told by ``may_pass`` and not by their class.
+    """
+
+    may_pass = True
 
     def __init__(self, message: str, status: int | None = None):
         super().__init__(message)
@@ -44,7 +51,7 @@ class TransientError(Exception):
 
 
 def is_transient(error: Exception) -> bool:
-    if isinstance(error, TransientError):
+    if getattr(error, "may_pass", False):
         return error.status is None or error.status in TRANSIENT_STATUS
     return isinstance(error, (ConnectionError, TimeoutError))
 
@@ -62,72 +69,18 @@ def with_retries(
             pause(min(LONGEST_PAUSE, 2**attempt))
 
 
-def plan_pages(page_size: int, max_rows: int) -> list[tuple[int, int]]:
-    """(offset, limit) of every page."""
-    if page_size <= 0 or max_rows <= 0:
-        raise ValueError("page_size and max_rows must be positive")
-    return [(offset, min(page_size, max_rows - offset)) for offset in range(0, max_rows, page_size)]
-
-
-class ParquetTransport:
-    """Serves rows of a Parquet file or folder by position. Only the row groups that hold the page are read."""
-
-    def __init__(self, options: Mapping[str, str]):
-        self.location = options["location"]
-
-    def _files(self) -> Iterator[pq.ParquetFile]:
-        if "://" in self.location:
-            file_system, path = fs.FileSystem.from_uri(self.location)
-        else:
-            file_system, path = fs.LocalFileSystem(), self.location
-        paths = [path]
-        if file_system.get_file_info(path).type == fs.FileType.Directory:
-            inside = file_system.get_file_info(fs.FileSelector(path, recursive=True))
-            paths = sorted(info.path for info in inside if info.path.endswith(".parquet"))
-        for found in paths:
-            yield pq.ParquetFile(file_system.open_input_file(found))
-
-    def fetch(self, offset: int, limit: int) -> Iterator[pa.RecordBatch]:
-        first = 0
-        for file in self._files():
-            for group in range(file.num_row_groups):
-                rows = file.metadata.row_group(group).num_rows
-                start, end = max(offset, first), min(offset + limit, first + rows)
-                if start < end:
-                    yield from file.read_row_group(group).slice(start - first, end - start).to_batches()
-                first += rows
-                if first >= offset + limit:
-                    return
-
-
-class JsonLinesTransport:
-    """Serves lines of one JSON-lines file by position."""
-
-    def __init__(self, options: Mapping[str, str]):
-        self.location = options["location"].removeprefix("file://")
-
-    def fetch(self, offset: int, limit: int) -> Iterator[Mapping[str, Any]]:
-        with open(self.location, encoding="utf-8") as lines:
-            position = 0
-            for line in lines:
-                if not line.strip():
-                    continue
-                if position >= offset + limit:
-                    return
-                if position >= offset:
-                    yield json.loads(line)
-                position += 1
-
-
 class HttpTransport:
-    """Pages of a JSON-over-HTTP source that understands ``$limit``, ``$offset`` and a ``$where`` range."""
+    """Pages of a JSON-over-HTTP source that understands ``$limit``, ``$offset``, ``$order`` and a ``$where`` range.
+
+    Pages are only stable in a fixed order: option ``order`` (by default the row identifier ``:id``).
+    """
 
     def __init__(self, options: Mapping[str, str], opener: Callable[..., Any] = urlopen):
         self.options = options
         self.opener = opener
 
     def _url(self, offset: int, limit: int) -> str:
-        parameters = {"$limit": limit, "$offset": offset}
+        parameters = {"$limit": limit, "$offset": offset, "$order": self.options.get("order", ":id")}
         if "filter_column" in self.options:
             parameters["$where"] = "{filter_column} between '{filter_start}' and '{filter_end}'".format(**self.options)
         return "{}?{}".format(self.options["endpoint"], urlencode(parameters))
@@ -144,8 +97,6 @@ class HttpTransport:
 
 
 TRANSPORTS: dict[str, type] = {
-    "parquet": ParquetTransport,
-    "jsonl": JsonLinesTransport,
     "soda": HttpTransport,
 }
 
@@ -164,7 +115,7 @@ def _transport(options: Mapping[str, str]) -> Any:
         return TRANSPORTS[name](options)
     module, _, attribute = name.partition(":")
     if not attribute:
-        raise ValueError("Unknown paged transport: {}".format(name))
+        raise ValueError("No transport is registered as {!r}; use module:Class for your own".format(name))
     return getattr(importlib.import_module(module), attribute)(options)
 
 
@@ -181,27 +132,39 @@ def _values(row: Mapping[str, Any], names: list[str]) -> tuple:
     return tuple(values)
 
 
-class Page(InputPartition):
-    def __init__(self, offset: int, limit: int):
-        self.offset = offset
-        self.limit = limit
+class Share(InputPartition):
+    """The pages of one reader."""
+
+    def __init__(self, first: int):
+        self.first = first
 
 
 class PagedReader(DataSourceReader):
     def __init__(self, schema, options: Mapping[str, str]):
         self.names = schema.fieldNames()
         self.options = dict(options)
-        self.pages = plan_pages(int(options["page_size"]), int(options["max_rows"]))
+        self.page_size, self.max_rows = int(options["page_size"]), int(options["max_rows"])
+        if self.page_size <= 0 or self.max_rows <= 0:
+            raise ValueError("page_size and max_rows must be above 0")
+        self.readers = max(1, int(options.get("readers", READERS)))
+        self.pause = float(options.get("page_pause_seconds", 0))
         self.max_retries = int(options.get("max_retries", 3))
 
-    def partitions(self) -> list[Page]:
-        return [Page(offset, limit) for offset, limit in self.pages]
+    def partitions(self) -> list[Share]:
+        pages = -(-self.max_rows // self.page_size)
+        return [Share(number) for number in range(min(self.readers, pages))]
 
-    def read(self, page: Page) -> Iterator[Any]:
+    def read(self, share: Share) -> Iterator[Any]:
         transport = _transport(self.options)
-        fetched = with_retries(lambda: list(transport.fetch(page.offset, page.limit)), self.max_retries)
-        for item in fetched:
-            yield item.select(self.names) if isinstance(item, pa.RecordBatch) else _values(item, self.names)
+        for offset in range(share.first * self.page_size, self.max_rows, self.readers * self.page_size):
+            if self.pause and offset >= self.readers * self.page_size:
+                time.sleep(self.pause)
+            limit, found = min(self.page_size, self.max_rows - offset), 0
+            for item in with_retries(lambda: list(transport.fetch(offset, limit)), self.max_retries):
+                found += item.num_rows if isinstance(item, pa.RecordBatch) else 1
+                yield item.select(self.names) if isinstance(item, pa.RecordBatch) else _values(item, self.names)
+            if found < limit:
+                return
 
 
 class PagedSource(DataSource):

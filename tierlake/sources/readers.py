@@ -6,26 +6,23 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tierlake.config import SourceConfig
 from tierlake.sources import paged
-from tierlake.sources.storage import between
+from tierlake.sources.storage import CORRUPT, between
 
 LINE_SCHEMA = "value string"
 
 
 def is_lines(source: SourceConfig) -> bool:
     """Does the source deliver JSON lines in one column?"""
-    return source.type == "api" and source.provider != "parquet" and "schema" not in source.options
+    return source.type == "api" and "schema" not in source.options
 
 
 def read_pages(spark: SparkSession, source: SourceConfig) -> DataFrame:
     """All pages of a paged source; ``provider`` names the transport, which also gets the configured range.
 
-    Without a ``schema`` the rows come as JSON lines in one column, to be landed as they are; Parquet brings its own.
+    Without a ``schema`` the rows come as JSON lines in one column, to be landed as they are.
     """
     paged.register(spark)
-    if is_lines(source):
-        schema = LINE_SCHEMA
-    else:
-        schema = source.options.get("schema") or spark.read.parquet(source.options["location"]).schema
+    schema = source.options.get("schema", LINE_SCHEMA)
     options = {key: str(value) for key, value in source.options.items() if key != "schema"}
     if source.filter:
         options.update({"filter_{}".format(key): str(source.filter[key]) for key in ("column", "start", "end")})
@@ -45,7 +42,10 @@ def read_pages(spark: SparkSession, source: SourceConfig) -> DataFrame:
 
 
 def read_files(spark: SparkSession, source: SourceConfig) -> DataFrame:
-    """A drop folder of CSV, JSON-lines or Parquet files; ``schema_mode: declared`` takes ``schema`` as given."""
+    """A drop folder of CSV, JSON-lines or Parquet files; ``schema_mode: declared`` takes ``schema`` as given.
+
+    JSON lines are read as they are. The folder is a ``location``, or ``bucket`` and ``prefix`` below ``root``.
+    """
     options = source.options
     kind = options.get("format", "parquet")
     if kind not in ("csv", "jsonl", "json", "parquet"):
@@ -54,10 +54,19 @@ def read_files(spark: SparkSession, source: SourceConfig) -> DataFrame:
     if kind == "csv":
         reader = reader.option("header", "true")
     if kind in ("json", "jsonl"):
-        reader = reader.option("primitivesAsString", "true")
+        reader = reader.option("primitivesAsString", "true").option("columnNameOfCorruptRecord", CORRUPT)
     if options.get("schema_mode", "infer") == "declared":
-        reader = reader.schema(options["schema"])
-    return reader.load(options["location"])
+        keeps = kind in ("csv", "parquet") or CORRUPT in options["schema"]
+        reader = reader.schema(options["schema"] if keeps else "{}, {} string".format(options["schema"], CORRUPT))
+    return reader.load(file_location(source))
+
+
+def file_location(source: SourceConfig) -> str:
+    """Folder of a file source."""
+    options = source.options
+    if "location" in options:
+        return options["location"]
+    return "{}{}/{}".format(options.get("root", ""), options["bucket"], str(options["prefix"]).strip("/"))
 
 
 def read_table(spark: SparkSession, source: SourceConfig, after: object = None) -> DataFrame:
@@ -70,20 +79,25 @@ def read_table(spark: SparkSession, source: SourceConfig, after: object = None)
         frame = spark.read.table(options["table"])
     last = options.get("after") if after is None else after
     if options.get("incremental_column") and last is not None:
-        frame = frame.filter(F.col(options["incremental_column"]) > F.lit(last))
+        column = options["incremental_column"]
+        frame = frame.filter(F.col(column) > F.lit(last).cast(frame.schema[column].dataType))
     return frame
 
 
-def read_source(spark: SparkSession, source: SourceConfig) -> DataFrame:
-    """Rows of the source inside its configured range."""
+def read_source(spark: SparkSession, source: SourceConfig, after: object = None) -> DataFrame:
+    """Rows of the source inside its configured range; of a table only those after ``after``, if given.
+
+    A paged source's range goes to its transport, which applies it before rows are counted. Rows that land as JSON text are
+    not filtered again.
+    """
     if source.type == "api":
         frame = read_pages(spark, source)
     elif source.type == "file":
         frame = read_files(spark, source)
     elif source.type == "table":
-        frame = read_table(spark, source)
+        frame = read_table(spark, source, after)
     else:
         raise ValueError("Sources of type {} are read as a stream".format(source.type))
     if source.filter and source.filter["column"] in frame.columns:
         frame = between(frame, source.filter["column"], source.filter["start"], source.filter["end"])
-    return frame if source.max_rows is None or source.type == "api" else frame.limit(source.max_rows)
+    return frame

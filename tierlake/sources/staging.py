@@ -8,11 +8,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 SETTING = "spark.checkpoint.dir"
 _local_roots: dict[str, str] = {}
+_scopes: list[list[str]] = []
 
 
 def staging_root(spark: SparkSession) -> str:
@@ -41,11 +44,30 @@ def stage(frame: DataFrame, label: str) -> DataFrame:
     """Write the frame to a fresh staged table and read it back with the same schema."""
     spark = frame.sparkSession
     path = new_folder(spark, label)
+    for scope in _scopes:
+        scope.append(path)
     frame.write.parquet(path)
     return spark.read.schema(frame.schema).parquet(path)
 
 
+def _delete(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+@contextmanager
+def staged_for_now(spark: SparkSession) -> Iterator[None]:
+    """Delete what is staged inside when leaving. Results that read it must be written by then."""
+    scope: list[str] = []
+    _scopes.append(scope)
+    try:
+        yield
+    finally:
+        _scopes[:] = [other for other in _scopes if other is not scope]
+        for path in scope:
+            _delete(spark, path)
+
+
 def drop_staged(spark: SparkSession) -> None:
     """Delete everything this application staged. Call it when its results are written."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(_application_folder(spark))
-    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    _delete(spark, _application_folder(spark))

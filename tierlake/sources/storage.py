@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable
 from dataclasses import dataclass
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
-
-from tierlake.sources.staging import stage
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 # The batch folder name and the time format of a batch id.
 BATCH_COLUMN = "ingestion_timestamp"
@@ -20,12 +20,11 @@ def batch_path(base: str, batch_id: str, name: str = BATCH_COLUMN) -> str:
 
 
 def reject_prefix(tech_prefix: str) -> str:
-    """The reject folder sits beside the tech folder: the first ``tech`` path segment becomes ``reject``."""
-    segments = tech_prefix.strip("/").split("/")
-    if "tech" not in segments:
-        raise ValueError("TECH prefix must contain a tech path segment")
-    segments[segments.index("tech")] = "reject"
-    return "/".join(segments)
+    """Default folder of rejected rows: the TECH folder with its first level named ``tech`` called ``reject`` instead."""
+    found, count = re.subn(r"(?:(?<=/)|^)tech(?=/|$)", "reject", tech_prefix.strip("/"), count=1)
+    if not count:
+        raise ValueError("No level of silver.tech.prefix is named tech: set silver.reject")
+    return found
 
 
 @dataclass(frozen=True)
@@ -40,6 +39,7 @@ class Layout:
     func_location: tuple[str, str]
     gold_location: tuple[str, str] | None
     monitoring_location: tuple[str, str]
+    reject_location: tuple[str, str] | None = None
 
     def _join(self, location: tuple[str, str]) -> str:
         root = self.root if self.root.endswith("/") else self.root + "/"
@@ -59,7 +59,7 @@ class Layout:
 
     @property
     def reject(self) -> str:
-        return self._join((self.tech_location[0], reject_prefix(self.tech_location[1])))
+        return self._join(self.reject_location or (self.tech_location[0], reject_prefix(self.tech_location[1])))
 
     @property
     def func(self) -> str:
@@ -79,69 +79,72 @@ class Layout:
         return "{}/{}".format(self.gold, path)
 
 
-def _file_system(spark: SparkSession, path: str):
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
+def _files(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame | None:
+    """Paths of the files below a folder, None if there is no such folder. Contents aren't read."""
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern)
+    try:
+        return reader.load(path).select("path")
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    file_system, hadoop_path = _file_system(spark, path)
-    return file_system.exists(hadoop_path)
+    """Is there a file below the path?"""
+    found = _files(spark, path)
+    return found is not None and not found.isEmpty()
 
 
-def batch_ids(spark: SparkSession, base: str, name: str = BATCH_COLUMN) -> list[str]:
-    """Batch ids below a dataset, oldest first.
+def has_parquet(spark: SparkSession, path: str) -> bool:
+    """Is there a Parquet file anywhere below the path?"""
+    found = _files(spark, path, "*.parquet")
+    return found is not None and not found.isEmpty()
 
-    Only folder names one level down are listed, so the cost follows the number of batches and not the number of
-    files, and ids made of digits stay text.
-    """
-    file_system, hadoop_path = _file_system(spark, base)
-    if not file_system.exists(hadoop_path):
-        raise ValueError("Path does not exist: {}".format(base))
-    start = "{}=".format(name)
-    folders = (status.getPath().getName() for status in file_system.listStatus(hadoop_path) if status.isDirectory())
-    return sorted(folder[len(start):] for folder in folders if folder.startswith(start))
 
+def batch_ids(spark: SparkSession, base: str, name: str = BATCH_COLUMN) -> list[str]:
+    """Batch ids below a dataset in text order, from the names of its files' folders; ids made of digits stay text.
 
-def merged_schema(spark: SparkSession, base: str) -> T.StructType:
-    """The columns of all batches together. One file per batch is looked at, as a batch has one schema."""
-    samples = []
-    for batch_id in batch_ids(spark, base):
-        file_system, folder = _file_system(spark, batch_path(base, batch_id))
-        names = (status.getPath().toString() for status in file_system.listStatus(folder))
-        samples += [name for name in names if name.endswith(".parquet")][:1]
-    return spark.read.option("mergeSchema", "true").parquet(*samples).schema
+    The work list of a pipeline comes from its ledger; this is for data that others wrote.
+    """
+    found = _files(spark, base)
+    if found is None:
+        raise ValueError("There is no dataset at {}".format(base))
+    folder = F.regexp_extract("path", "/{}=([^/]+)/".format(re.escape(name)), 1)
+    return sorted(row[0] for row in found.select(folder).distinct().collect() if row[0])
 
 
 def latest_batch(spark: SparkSession, base: str, name: str = BATCH_COLUMN) -> str:
     """The greatest batch id in text order."""
     found = batch_ids(spark, base, name)
     if not found:
-        raise ValueError("No {} partition found under {}".format(name, base))
+        raise ValueError("{} holds no batch folder {}=...".format(base, name))
     return found[-1]
 
 
-def has_parquet(spark: SparkSession, path: str) -> bool:
-    """Is there a Parquet file anywhere below the path? The listing stops at the first one."""
-    file_system, hadoop_path = _file_system(spark, path)
-    if not file_system.exists(hadoop_path):
-        return False
-    files = file_system.listFiles(hadoop_path, True)
-    while files.hasNext():
-        if files.next().getPath().getName().endswith(".parquet"):
-            return True
-    return False
+def merged_schema(spark: SparkSession, *paths: str) -> T.StructType:
+    """The columns of all files together; batch folders can hold files of different columns."""
+    fields = spark.read.option("mergeSchema", "true").parquet(*paths).schema.fields
+    return T.StructType([field for field in fields if field.name != BATCH_COLUMN])
+
+
+CORRUPT = "_corrupt_record"
+
+
+def text_schema(columns: Iterable[str]) -> str:
+    """The columns as text, and one for lines that are no JSON."""
+    return ", ".join("`{}` string".format(name) for name in [*(c for c in columns if c != CORRUPT), CORRUPT])
 
 
 def read_jsonl(spark: SparkSession, path: str, columns: Iterable[str] | None = None) -> DataFrame:
-    """JSON lines with every scalar as text and nested values kept.
+    """JSON lines with every scalar as text and nested values kept; lines that are no JSON are in ``_corrupt_record``.
 
     With ``columns`` the schema is taken as given (all text) and the extra pass over the files that inference needs
-    is saved; nested values then arrive as their JSON text.
+    is saved; nested values then arrive as their JSON text, and fields that aren't listed stay in Bronze only.
     """
-    reader = spark.read.option("primitivesAsString", "true")
+    reader = spark.read.option("primitivesAsString", "true").option("columnNameOfCorruptRecord", CORRUPT)
     if columns is not None:
-        reader = reader.schema(", ".join("`{}` string".format(name) for name in columns))
+        reader = reader.schema(text_schema(columns))
     return reader.json(path)
 
 
@@ -161,34 +164,6 @@ def between(frame: DataFrame, column: str, start: Any, end: Any) -> DataFrame:
     return frame.filter(F.col(column).between(F.lit(start), F.lit(end)))
 
 
-def slice_rows(
-    frame: DataFrame, order: list[str | Column], offset: int, limit: int, deep_offset: int = 1_000_000
-) -> DataFrame:
-    """Rows ``offset .. offset + limit`` in a given order (``limit`` 1..5000, as for a served page).
-
-    Near the start this is a top-k, which needs no full sort. From ``deep_offset`` on a top-k would pull everything
-    before the page through one task; the frame is then range-sorted into a stored table instead, the partitions that
-    hold the page follow from their row counts, and only those are read.
-    """
-    if not 1 <= limit <= 5000:
-        raise ValueError("limit must lie between 1 and 5000")
-    if offset < 0:
-        raise ValueError("offset must not be negative")
-    if offset < deep_offset:
-        return frame.orderBy(*order).offset(offset).limit(limit)
-    part = "__part"
-    stored = stage(frame.orderBy(*order).withColumn(part, F.spark_partition_id()), "sorted")
-    before, wanted, skipped = 0, [], 0
-    for number, rows in sorted(map(tuple, stored.groupBy(part).count().collect())):
-        if before < offset + limit and before + rows > offset:
-            if not wanted:
-                skipped = before
-            wanted.append(number)
-        before += rows
-    page = stored.filter(F.col(part).isin(wanted)).drop(part)
-    return page.orderBy(*order).offset(offset - skipped).limit(limit)
-
-
 def limit_files(frame: DataFrame, partitions: int | None) -> DataFrame:
     """Cap the number of output files.
 

@@ -2,19 +2,25 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
+from dataclasses import replace
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
 from tierlake.operators.quality import ColumnRule, evaluate
-from tierlake.sources.storage import batch_path
+from tierlake.sources.staging import stage, staged_for_now
+from tierlake.sources.storage import CORRUPT, batch_path, text_schema
 
 
 def text_stream(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFrame:
-    """JSON lines below ``path`` as they arrive; all columns are text, nested values their JSON text."""
-    schema = ", ".join("`{}` string".format(name) for name in columns)
-    frame = spark.readStream.schema(schema).option("recursiveFileLookup", "true").json(path)
+    """JSON lines below ``path`` as they arrive; all columns are text, nested values their JSON text.
+
+    Lines that are no JSON are in ``_corrupt_record``.
+    """
+    reader = spark.readStream.schema(text_schema(columns)).option("columnNameOfCorruptRecord", CORRUPT)
+    frame = reader.option("recursiveFileLookup", "true").json(path)
     return frame.withColumns({"_source_file": F.col("_metadata.file_path"), "_raw_loaded_at": F.current_timestamp()})
 
 
@@ -28,16 +34,20 @@ def start_quality_stream(
 ) -> StreamingQuery:
     """Check what is new, write TECH and REJECT, and stop.
 
-    Every micro-batch has its own batch folder named after its number, and a replay after a failure overwrites it, so
+    A micro-batch is read and evaluated once, into a staged table. Every micro-batch has its own batch folder named after its number, and a replay after a failure overwrites it, so
     each row lands once.
     """
 
     def write(batch: DataFrame, epoch: int) -> None:
         batch_id = "stream-{:020d}".format(epoch)
-        evaluated = evaluate(batch, rules, **options)
-        for rows, base in ((evaluated.valid(), tech), (evaluated.rejected(), reject)):
-            if not rows.isEmpty():
-                rows.write.mode("overwrite").parquet(batch_path(base, batch_id))
+        counted = Observation("quality-{}".format(uuid.uuid4().hex))
+        with staged_for_now(batch.sparkSession):
+            evaluated = evaluate(batch, rules, observation=counted, **options)
+            evaluated = replace(evaluated, frame=stage(evaluated.frame, "evaluated"))
+            if counted.get["valid_rows"]:
+                evaluated.valid().write.mode("overwrite").parquet(batch_path(tech, batch_id))
+            if counted.get["rejected_rows"]:
+                evaluated.rejected().write.mode("overwrite").parquet(batch_path(reject, batch_id))
 
     return (
         frame.writeStream.foreachBatch(write)
