@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import uuid
+
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tierlake.sources.staging import stage
@@ -10,10 +12,12 @@ from tierlake.sources.staging import stage
 MAX_ROUNDS = 60
 
 
-def _state(edges: DataFrame) -> tuple[int, int]:
-    """Row count and an order-free checksum."""
-    row = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("node", "root").cast("decimal(38,0)"))).first()
-    return row[0], row[1] or 0
+def _staged(edges: DataFrame) -> tuple[DataFrame, tuple[int, int]]:
+    """The stored edges with their count and an order-free checksum, taken as they are written."""
+    state = Observation("edges-{}".format(uuid.uuid4().hex))
+    hashed = F.sum(F.xxhash64("node", "root").cast("decimal(38,0)")).alias("hash")
+    stored = stage(edges.observe(state, F.count(F.lit(1)).alias("rows"), hashed), "edges")
+    return stored, (state.get["rows"], state.get["hash"] or 0)
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -24,21 +28,19 @@ def components(links: DataFrame) -> DataFrame:
     ``min`` before the shuffle, and its rows are joined with one row. Loops and repeated links don't matter.
     """
     edges = links.filter("a != b").select(F.greatest("a", "b").alias("node"), F.least("a", "b").alias("root")).distinct()
-    edges = stage(edges, "edges")
-    before = _state(edges)
+    edges, before = _staged(edges)
     for _ in range(MAX_ROUNDS):
         both = edges.select(F.col("root").alias("u"), F.col("node").alias("v")).unionByName(
             edges.select(F.col("node").alias("u"), F.col("root").alias("v"))
         )
         lowest = both.groupBy("u").agg(F.min(F.least("u", "v")).alias("m"))
-        large = both.filter("v > u").join(lowest, "u").select(F.col("v").alias("node"), F.col("m").alias("root")).distinct()
+        large = both.filter("v > u").join(lowest, "u").select(F.col("v").alias("node"), F.col("m").alias("root"))
         least = large.groupBy("node").agg(F.min("root").alias("m"))
         small = large.join(least, "node")
         edges = small.select("node", F.col("m").alias("root")).unionByName(
             small.filter("root != m").select(F.col("root").alias("node"), F.col("m").alias("root"))
         )
-        edges = stage(edges.distinct(), "edges")
-        after = _state(edges)
+        edges, after = _staged(edges.distinct())
         if after == before:
             return edges
         before = after

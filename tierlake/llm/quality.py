@@ -105,14 +105,24 @@ def fit(counts: np.ndarray, labels: np.ndarray, prior: float, dimensions: int, n
         empty = np.zeros((0, 1), dtype=np.float32)
         return Model(np.ones(counts.shape[1], np.float32), np.zeros((counts.shape[1], 1), np.float32), empty, labels, prior, neighbours)
     idf = np.log((1 + labels.size) / (1 + (counts > 0).sum(axis=0))).astype(np.float32) + np.float32(0.1)
-    matrix = _unit(_weights(counts) * idf)
-    values, left = np.linalg.eigh((matrix @ matrix.T).astype(np.float64))
-    top = np.argsort(values)[::-1][: min(dimensions, labels.size)]
-    top = top[values[top] > 1e-9]
-    projection = (matrix.T @ (left[:, top] / np.sqrt(values[top]))).astype(np.float32)
+    matrix = _weights(counts)
+    matrix *= idf
+    matrix /= np.maximum(np.sqrt(np.einsum("ij,ij->i", matrix, matrix))[:, None], 1e-9)
+    projection = _leading(matrix, min(dimensions, *matrix.shape))
     return Model(idf, projection, _unit(matrix @ projection), labels.astype(np.float32), prior, neighbours)
 
 
+def _leading(matrix: np.ndarray, dimensions: int, rounds: int = 10) -> np.ndarray:
+    """Leading right singular vectors by subspace iteration, which needs no more than a few columns beside the matrix."""
+    start = np.random.default_rng(0).standard_normal((matrix.shape[1], min(dimensions + 8, *matrix.shape)), dtype=np.float32)
+    basis = np.linalg.qr(start)[0]
+    for _ in range(rounds):
+        basis = np.linalg.qr(matrix.T @ (matrix @ basis))[0]
+    _, values, turn = np.linalg.svd(matrix @ basis, full_matrices=False)
+    kept = values[:dimensions] > 1e-6
+    return np.ascontiguousarray((basis @ turn.T)[:, :dimensions][:, kept], dtype=np.float32)
+
+
 def _counted(terms: int):
     def counted(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -153,7 +163,7 @@ def train(
     rows = rows.join(F.broadcast(chosen), "row_id").select("row_id", "label", "body").dropDuplicates(["row_id"])
     found = rows.select("label", "body").mapInArrow(_counted(terms), "label int, counts binary").collect()
     found.sort(key=lambda r: (r["label"], r["counts"]))
-    counts = np.array([np.frombuffer(r["counts"], dtype="<u2") for r in found], dtype=np.int64).reshape(len(found), terms)
+    counts = np.frombuffer(b"".join(r["counts"] for r in found), dtype="<u2").reshape(len(found), terms)
     return fit(counts, np.array([r["label"] for r in found], dtype=np.int64), 0.5 if prior is None else prior, dimensions, neighbours)
 
 
