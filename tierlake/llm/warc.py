@@ -4,7 +4,7 @@ Writing: pages whose payload another page has as well become revisits of the one
 found on digests, and only pages that may be revisits are shuffled. Records go to files of at most ``RECORDS_PER_FILE`` records
 through Spark's writer, so archives can lie in any store.
 
-Reading: whole files are parsed in parallel. Records that are segments (a first record with a segment number, continuations
+Reading: whole files are parsed in parallel, and records that are whole are decoded at once. Records that are segments (a first record with a segment number, continuations
 that name it as their origin) are grouped by the origin, ordered by number, checked for gaps and against the stated total
 length, joined, and the chunked transfer coding is undone. A group is one page's block.
 """
@@ -25,7 +25,7 @@ from tierlake.sources.staging import new_folder, stage
 REVISIT_BYTES = 1000
 RECORDS_PER_FILE = 500
 _NO_KEY = -(2**63)
-_PARSED = "origin string, number int, total long, kind string, page_id long, refers_to long, digest string, block binary, problem string"
+_SEGMENT = "origin string, number int, total long, block binary"
 _PAGES = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, payload binary, problem string"
 
 
@@ -86,65 +86,80 @@ def write_archives(
     writer.text(folder)
 
 
-def _parse(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    schema = pa.schema(
-        [("origin", pa.string()), ("number", pa.int32()), ("total", pa.int64()), ("kind", pa.string()), ("page_id", pa.int64()),
-         ("refers_to", pa.int64()), ("digest", pa.string()), ("block", pa.binary()), ("problem", pa.string())]
-    )
-    number = lambda headers, name: int(headers[name]) if name in headers else None
-    for batch in batches:
-        for content in batch.column(0):
-            archive = content.as_buffer().to_pybytes()
-            rows: list[tuple] = []
-            size = 0
-            try:
-                for headers, block in read_records(archive):
-                    kind = headers.get("warc-type")
-                    if kind not in ("response", "revisit", "continuation"):
-                        continue
-                    origin = headers.get("warc-segment-origin-id") or headers.get("warc-record-id")
-                    digest = headers.get("warc-payload-digest", "").removeprefix("sha1:")
-                    rows.append(
-                        (origin, number(headers, "warc-segment-number"), number(headers, "warc-segment-total-length"), kind,
-                         number(headers, "x-page-id"), number(headers, "x-refers-to-page-id"), digest, block, None)
-                    )
-                    size += len(block)
-                    if size > 4_000_000:
-                        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), schema.types, strict=True)], schema=schema)
-                        rows, size = [], 0
-            except Damaged as error:
-                rows.append((None, None, None, None, None, None, None, None, str(error)))
-            if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), schema.types, strict=True)], schema=schema)
+def _decoded(kind: str, digest: str, block: bytes) -> tuple[int | None, bytes | None, str | None]:
+    """Payload length, payload and problem of a record whose block is whole; a revisit has no payload."""
+    try:
+        payload, stated = payload_of(block)
+        if kind == "revisit":
+            return stated, None, None
+        if digest and sha1(payload) != digest:
+            raise Damaged("The payload doesn't have its digest")
+        return len(payload), payload, None
+    except Damaged as error:
+        return None, None, str(error)
+
+
+def _batch(rows: list[tuple], schema: str) -> pa.RecordBatch:
+    kinds = {"long": pa.int64(), "int": pa.int32(), "string": pa.string(), "binary": pa.binary()}
+    fields = [part.split(" ") for part in schema.split(", ")]
+    columns = [pa.array(c, kinds[k]) for c, (_, k) in zip(zip(*rows, strict=True), fields, strict=True)]
+    rows.clear()
+    return pa.RecordBatch.from_arrays(columns, names=[n for n, _ in fields])
 
 
-def _decode(with_payload: bool):
-    def decode(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.binary(), pa.string()]
-        names = [part.split(" ")[0] for part in _PAGES.split(", ")]
+def _parse(with_payload: bool):
+    def parse(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        schema, none = "{}, {}".format(_PAGES, _SEGMENT), (None,) * 4
+        number = lambda headers, name: int(headers[name]) if name in headers else None
+        for batch in batches:
+            for content in batch.column(0):
+                rows: list[tuple] = []
+                size = 0
+                try:
+                    for headers, block in read_records(content.as_buffer().to_pybytes()):
+                        kind = headers.get("warc-type")
+                        if kind not in ("response", "revisit", "continuation"):
+                            continue
+                        digest = headers.get("warc-payload-digest", "").removeprefix("sha1:")
+                        about = (number(headers, "x-page-id"), number(headers, "x-refers-to-page-id"))
+                        nth = number(headers, "warc-segment-number")
+                        if nth is None:
+                            length, payload, problem = _decoded(kind, digest, block)
+                            rows.append((about[0], length, digest, kind, about[1], payload if with_payload else None, problem, *none))
+                            size += len(payload or b"") if with_payload else 200
+                        else:
+                            origin = headers.get("warc-segment-origin-id") or headers.get("warc-record-id")
+                            total = number(headers, "warc-segment-total-length")
+                            rows.append((about[0], None, digest, kind, None, None, None, origin, nth, total, block))
+                            size += len(block)
+                        if size > 4_000_000:
+                            yield _batch(rows, schema)
+                            size = 0
+                except Damaged as error:
+                    rows.append((None,) * 6 + (str(error), *none))
+                if rows:
+                    yield _batch(rows, schema)
+
+    return parse
+
+
+def _join(with_payload: bool):
+    def join(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for kind, page_id, refers_to, digest, blocks, total, problem in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                payload, size = None, None
+            for kind, page_id, digest, blocks, total, problem in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                length, payload = None, None
                 if problem is None:
                     block = b"".join(blocks)
-                    try:
-                        if total is not None and total != len(block):
-                            raise Damaged("The segments have {} bytes instead of {}".format(len(block), total))
-                        payload, stated = payload_of(block)
-                        if kind == "revisit":
-                            payload, size = None, stated
-                        else:
-                            size = len(payload)
-                            if digest and sha1(payload) != digest:
-                                raise Damaged("The payload doesn't have its digest")
-                    except Damaged as error:
-                        payload, problem = None, str(error)
-                rows.append((page_id, size, digest, kind, refers_to, payload if with_payload else None, problem))
+                    if total == len(block):
+                        length, payload, problem = _decoded(kind, digest, block)
+                    else:
+                        problem = "The segments have {} bytes instead of {}".format(len(block), total)
+                rows.append((page_id, length, digest, kind, None, payload if with_payload else None, problem))
             if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names=names)
+                yield _batch(rows, _PAGES)
 
-    return decode
+    return join
 
 
 def read_archives(spark: SparkSession, folder: str, with_payload: bool = True) -> DataFrame:
@@ -157,13 +172,12 @@ def read_archives(spark: SparkSession, folder: str, with_payload: bool = True) -
     """
     files = spark.read.format("binaryFile").schema("path string, modificationTime timestamp, length long, content binary")
     files = files.option("pathGlobFilter", "*.txt").load(folder)
-    parsed = stage(files.filter("length > 0").select("content").mapInArrow(_parse, _PARSED), "records")
-    whole = parsed.filter("number is null").select(
-        "kind", "page_id", "refers_to", "digest", F.array("block").alias("blocks"), F.lit(None).cast("long").alias("total"), "problem"
-    )
+    parse = files.filter("length > 0").select("content").mapInArrow(_parse(with_payload), "{}, {}".format(_PAGES, _SEGMENT))
+    parsed = stage(parse, "records")
+    whole = parsed.filter("number is null").drop("origin", "number", "total", "block")
     first = lambda name: F.max(F.when(F.col("number") == 1, F.col(name))).alias(name)
     groups = parsed.filter("number is not null").groupBy("origin").agg(
-        first("kind"), first("page_id"), first("digest"), F.max("total").alias("total"),
+        first("record_type"), first("page_id"), first("payload_digest"), F.max("total").alias("total"),
         F.array_sort(F.collect_set(F.struct("number", "block"))).alias("segments"),
         F.count_if(F.col("number") == 1).alias("copies"),
     )
@@ -171,10 +185,10 @@ def read_archives(spark: SparkSession, folder: str, with_payload: bool = True) -
     problem = F.when(F.col("copies") == 0, F.lit("No first segment")).when(gaps, F.lit("Segments are missing or contradict each other"))
     problem = problem.when(F.col("total").isNull(), F.lit("The last segment is missing"))
     joined = groups.select(
-        "kind", "page_id", F.lit(None).cast("long").alias("refers_to"), "digest", F.expr("transform(segments, s -> s.block)").alias("blocks"),
-        "total", problem.alias("problem"), F.explode(F.expr("sequence(1, greatest(1, copies))")).alias("copy"),
+        "record_type", "page_id", "payload_digest", F.expr("transform(segments, s -> s.block)").alias("blocks"), "total",
+        problem.alias("problem"), F.explode(F.expr("sequence(1, greatest(1, copies))")).alias("copy"),
     ).drop("copy")
-    return whole.unionByName(joined).mapInArrow(_decode(with_payload), _PAGES)
+    return whole.unionByName(joined.mapInArrow(_join(with_payload), _PAGES))
 
 
 def roundtrip(pages: DataFrame, folder: str | None = None, **options) -> DataFrame:
