@@ -13,6 +13,7 @@ from test_copies import plain_components
 from test_passages import plain_hits
 from tierlake.llm.quality import score_quality, train
 from tierlake.llm.registered import ORACLES, QUERIES
+from tierlake.sources.staging import stage
 
 FOLDER = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not Path(FOLDER).exists(), reason="test tables are not here")
@@ -42,7 +43,7 @@ def test_pipeline_stages_keep_what_they_should(spark):
     scores = score_quality(docs, train(docs, spark.read.parquet(FOLDER + "/labels.parquet"))).collect()
     items = [tuple(r) for r in spark.read.parquet(FOLDER + "/benchmark.parquet").select("item_id", "text").collect()]
     for name, function in corpus_pipeline.STAGES[:-1]:
-        after = function(spark, docs, FOLDER)
+        after = stage(function(spark, docs, FOLDER), name)
         assert after.columns == docs.columns
         found = sorted(r["doc_id"] for r in after.collect())
         if name == "quality":
@@ -60,7 +61,7 @@ def test_pipeline_stages_keep_what_they_should(spark):
             clean = {k for k, _, n, _ in plain_hits(kept, items) if not n}
             kept = [(k, t) for k, t in kept if k in clean]
         assert found == sorted(k for k, _ in kept), name
-        docs = docs.join(after.select("doc_id"), "doc_id", "left_semi").select(docs.columns)
+        docs = after
     assert 0 < len(kept) < 200
     mixed = corpus_pipeline.STAGES[-1][1](spark, docs, FOLDER).collect()
     assert {r["doc_id"] for r in mixed} <= {k for k, _ in kept} and len(mixed) > len(kept) / 2

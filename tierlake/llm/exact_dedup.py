@@ -244,5 +244,6 @@ def keep_first(docs: DataFrame, key: str, groups: DataFrame, filter_bits: int =
     marked = mark_probable(docs.withColumn("__own", F.coalesce(F.col(key).cast("long"), none)), F.col("__own"), named.select("__row"), filter_bits, "__named")
     asked = marked.filter("__named").join(named, F.col("__own") == F.col("__row"), "left")
     kept = asked.filter(F.col("__keep").isNull()).select(columns)
-    first = asked.filter("__keep = __own").select(columns).dropDuplicates([key])
+    # by __own, not by the key: Spark 4.1 can fail on unions of equally partitioned frames
+    first = asked.filter("__keep = __own").dropDuplicates(["__own"]).select(columns)
     return marked.filter("not __named").select(columns).unionByName(kept).unionByName(first)

@@ -126,6 +126,8 @@ def mix_sources(
     cut = tried.filter("not whole").withColumn("doc_key", inside("passes"))
     order = W.partitionBy("group", "block").orderBy("doc_key", "n_tokens").rowsBetween(W.unboundedPreceding, W.currentRow)
     cut = cut.withColumn("upto", F.sum("n_tokens").over(order)).filter("upto <= room")
+    # the sum hides how the rows are partitioned: Spark 4.1 can fail on unions of equally partitioned frames
+    cut = cut.withColumn("block", F.col("block") + F.lit(0))
     columns = ["doc_id", "source", "group", "block", "n_tokens", F.col("passes").alias("epoch")]
     part = tried.filter("whole").select(columns).unionByName(cut.select(columns))
     full = dealt.filter("passes > 0").withColumn("epoch", F.explode(F.expr("sequence(0L, passes - 1)")))

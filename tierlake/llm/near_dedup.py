@@ -12,8 +12,10 @@ least ``need(n, m)`` columns, so they differ in at most ``d`` entries, and ``d``
    compared with the bound. Rows already in the largest group of links needn't be multiplied once all others have been.
 3. Links (a spanning forest of them) are joined to components.
 
-Row blocks above ``TILE_SHINGLES`` entries are cut into tiles that share two pivots; then rows outside the block's largest
-group are multiplied with every tile. So memory is bounded and no link is lost, whatever the size of a block.
+Row blocks above ``TILE_SHINGLES`` entries are first divided by prefixes: linked rows share one of the columns that come
+first in any fixed order, and the order puts the block's heaviest columns (shared passages) last. What is still above the
+limit is cut into tiles that share two pivots; then rows outside the block's largest group are multiplied with every tile.
+So memory is bounded and no link is lost, whatever the size of a block.
 """
 
 from __future__ import annotations
@@ -33,6 +35,7 @@ from tierlake.sources.staging import stage
 
 SEND_SHINGLES = 1 << 21
 TILE_SHINGLES = 1 << 21
+HEAVY_COLUMNS = 1 << 20  # columns whose weight the order knows; the order is for speed only
 _SENT = "owner int, row_id long, n long, a long, b long, blocks binary, rows binary"
 _MET = "row_id long, n long, a long, b long"
 _SETS = "root long, tile int, tiles int, probe boolean, row_id long, columns binary"
@@ -126,6 +129,18 @@ def _rows(size: int, schema: str, **columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(arrays, names=[n for n, _ in fields])
 
 
+def _packets(value: np.ndarray, centre: np.ndarray, a: np.ndarray, b: np.ndarray, owners: int) -> Iterator[pa.RecordBatch]:
+    """Pairs found by a sender, and its sorted values with a row for each, cut among the owners."""
+    if a.size:
+        yield _rows(a.size, _SENT, owner=(a % owners).astype(np.int32), a=a, b=b)
+    owner = ((value >> np.uint64(32)) * np.uint64(owners)) >> np.uint64(32)
+    bounds = np.searchsorted(owner, np.arange(owners + 1))
+    some = np.flatnonzero(np.diff(bounds))
+    spans = [(bounds[o], bounds[o + 1]) for o in some]
+    blocks, rows = [value[i:j].tobytes() for i, j in spans], [centre[i:j].tobytes() for i, j in spans]
+    yield _rows(some.size, _SENT, owner=some.astype(np.int32), blocks=blocks, rows=rows)
+
+
 def _send(owners: int, size: int, percent: int, limit: int):
     def send(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []  # ids, sizes, values in row order
@@ -134,22 +149,9 @@ def _send(owners: int, size: int, percent: int, limit: int):
             ids, sizes, values = (np.concatenate(part) for part in zip(*held, strict=True))
             held.clear()
             rows = np.repeat(np.arange(ids.size), sizes)
-            # equal sets of this sender: one of them speaks for all
             row, value = block_values(rows, values, sizes, percent)
             value, centre, a, b = _stars(value, ids[row])
-            if a.size:
-                yield _rows(a.size, _SENT, owner=(a % owners).astype(np.int32), a=a, b=b)
-            owner = ((value >> np.uint64(32)) * np.uint64(owners)) >> np.uint64(32)
-            bounds = np.searchsorted(owner, np.arange(owners + 1))
-            some = np.flatnonzero(np.diff(bounds))
-            spans = [(bounds[o], bounds[o + 1]) for o in some]
-            yield _rows(
-                some.size,
-                _SENT,
-                owner=some.astype(np.int32),
-                blocks=[value[i:j].tobytes() for i, j in spans],
-                rows=[centre[i:j].tobytes() for i, j in spans],
-            )
+            yield from _packets(value, centre, a, b, owners)
 
         count = 0
         for batch in batches:
@@ -323,20 +325,21 @@ def near_groups(
     inside = stars.select(F.col("node").alias("row_id"), "root").unionByName(
         stars.select(F.col("root").alias("row_id"), "root").distinct()
     )
-    inside = stage(inside.join(sizes.groupBy("row_id").agg(F.max("n").alias("n")), "row_id"), "row-blocks")
-    blocks = inside.groupBy("root").agg(F.sum("n").alias("volume"), F.min("row_id").alias("low"), F.max("row_id").alias("high"))
-    blocks = blocks.withColumn("tiles", F.ceil(F.col("volume") / F.lit(tile_shingles)).cast("int"))
-    placed = inside.join(blocks.select("root", "tiles", "low", "high"), "root").withColumn(
-        "tile", F.expr("cast(pmod(xxhash64(row_id), greatest(tiles, 1)) as int)")
-    )
-    placed = stage(placed.select("row_id", "root", "n", "tiles", "tile", F.expr("row_id in (low, high)").alias("pivot")), "tiles")
+    known = sizes.groupBy("row_id").agg(F.max("n").alias("n"))
+    placed = _place(inside.join(known, "row_id"), tile_shingles)
 
     wanted = mark_probable(rows, F.col("row_id"), placed.select("row_id"), filter_bits, "probable").filter("probable")
     bodies = wanted.select("row_id", "body").dropDuplicates(["row_id"]).join(placed, "row_id")
     bodies = bodies.select("root", "tile", "tiles", F.lit(False).alias("probe"), "row_id", "body")
-    sets = stage(bodies.mapInArrow(_sets(words), _SETS), "sets").join(placed.select("row_id", "pivot"), "row_id")
-    own = sets.filter("tiles <= 1 or not pivot").drop("pivot")
-    pivots = sets.filter("tiles > 1 and pivot").drop("pivot").withColumn("tile", F.explode(F.expr("sequence(0, tiles - 1)")))
+    sets = stage(bodies.mapInArrow(_sets(words), _SETS), "sets")
+    if not placed.filter("tiles > 1").isEmpty():
+        parts = _divide(sets.filter("tiles > 1"), percent, owners or shuffle_width(docs)).join(known, "row_id")
+        placed = placed.filter("tiles <= 1").unionByName(_place(parts, tile_shingles))
+    sets = sets.select("probe", "row_id", "columns").join(placed.drop("n"), "row_id")
+    sets = sets.select("root", "tile", "tiles", "probe", "row_id", "columns", "pivot")
+    # a pivot goes to every tile; one frame, as Spark 4.1 can fail on unions of equally partitioned frames
+    spread = F.explode(F.expr("if(tiles > 1 and pivot, sequence(0, tiles - 1), array(tile))"))
+    own = sets.withColumn("tile", spread).drop("pivot")
     total = placed.agg(F.sum("n")).first()[0] or 0
     groups = max(1, int(total // tile_shingles) + 1, shuffle_width(docs))
     block = F.when(F.col("tiles") <= 1, F.pmod(F.xxhash64("root"), F.lit(groups))).otherwise(F.xxhash64("root", "tile"))
@@ -345,9 +348,8 @@ def near_groups(
         named = frame.withColumn("block", block).select("block", "root", "tile", "tiles", "probe", "row_id", "columns")
         return named.groupBy("block").applyInArrow(_multiply(percent), _LINKS)
 
-    links = stage(multiplied(own.unionByName(pivots)), "links")
-    large = blocks.filter("tiles > 1").select("root", "tiles")
-    if not large.isEmpty():
+    links = stage(multiplied(own), "links")
+    if not placed.filter("tiles > 1").isEmpty():
         links = links.unionByName(stage(multiplied(_across(sets, placed, links, tile_shingles)), "links"))
     linked = components(links)
     named = linked.select(F.col("node").alias("row_id"), F.col("root").alias("component"))
@@ -356,6 +358,64 @@ def near_groups(
     )
 
 
+def _place(inside: DataFrame, tile_shingles: int) -> DataFrame:
+    """Rows of row blocks (``row_id``, ``root``, ``n``) with their block's number of tiles, their tile, and who is a pivot."""
+    inside = stage(inside.select("row_id", "root", "n"), "row-blocks")
+    blocks = inside.groupBy("root").agg(F.sum("n").alias("volume"), F.min("row_id").alias("low"), F.max("row_id").alias("high"))
+    blocks = blocks.withColumn("tiles", F.ceil(F.col("volume") / F.lit(tile_shingles)).cast("int"))
+    tile = F.expr("cast(pmod(xxhash64(row_id), greatest(tiles, 1)) as int)").alias("tile")
+    placed = inside.join(blocks.select("root", "tiles", "low", "high"), "root")
+    return stage(placed.select("row_id", "root", "n", "tiles", tile, F.expr("row_id in (low, high)").alias("pivot")), "tiles")
+
+
+def _counts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Columns of a batch and how many of its rows have them."""
+    for batch in batches:
+        values = np.frombuffer(b"".join(batch.column(0).to_pylist()), dtype=np.uint64)
+        column, count = np.unique(values, return_counts=True)
+        yield pa.RecordBatch.from_arrays([pa.array(column.view(np.int64)), pa.array(count)], names=["column", "n"])
+
+
+def _divide(sets: DataFrame, percent: int, owners: int) -> DataFrame:
+    """Parts (``row_id``, ``root``) of row blocks: rows that share a column of their prefixes stay together.
+
+    Columns are counted exactly. The counts that are broadcast are those of the heaviest ``HEAVY_COLUMNS`` at most; columns
+    without one come first in the order.
+    """
+    counted = sets.select("columns").mapInArrow(_counts, "column long, n long")
+    weights = stage(counted.groupBy("column").agg(F.sum("n").alias("n")).filter("n > 1"), "weights")
+    least, held = 1_000_000, 0
+    for row in weights.groupBy(F.least("n", F.lit(least)).alias("n")).count().orderBy(F.desc("n")).toLocalIterator():
+        held += row["count"]
+        if held > HEAVY_COLUMNS:
+            break
+        least = row["n"]
+    heavy = weights.filter(F.col("n") >= least).toArrow()  # at most HEAVY_COLUMNS rows
+    column, weight = (heavy.column(name).to_numpy() for name in ("column", "n"))
+    order = np.argsort(column.view(np.uint64))
+    shared = sets.sparkSession.sparkContext.broadcast((column[order].view(np.uint64), weight[order]))
+
+    def prefixes(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        column, weight = shared.value
+        for batch in batches:
+            ids, roots = np.asarray(batch.column(0)), np.asarray(batch.column(1)).view(np.uint64)
+            parts = [np.frombuffer(c, dtype=np.uint64) for c in batch.column(2).to_pylist()]
+            sizes = np.array([p.size for p in parts])
+            rows, values = np.repeat(np.arange(sizes.size), sizes), np.concatenate(parts)
+            at = np.minimum(np.searchsorted(column, values), max(column.size - 1, 0))
+            heavy = np.where(column[at] == values, weight[at], 0) if column.size else np.zeros(values.size, np.int64)
+            order = np.lexsort((values, heavy, rows))
+            reach = sizes - need(sizes, -(-percent * sizes // 100), percent) + 1
+            nth = np.arange(values.size) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+            first = order[nth < reach[rows]]
+            value, centre, a, b = _stars(mix(values[first] ^ mix(roots)[rows[first]]), ids[rows[first]])
+            yield from _packets(value, centre, a, b, owners)
+
+    met = sets.select("row_id", "root", "columns").mapInArrow(prefixes, _SENT).groupBy("owner").applyInArrow(_meet, _MET)
+    stars = components(stage(met, "met").select("a", "b"))
+    return stars.select(F.col("node").alias("row_id"), "root").unionByName(stars.select(F.col("root").alias("row_id"), "root").distinct())
+
+
 def _across(sets: DataFrame, placed: DataFrame, links: DataFrame, tile_shingles: int) -> DataFrame:
     """Rows of tiled blocks outside their block's largest group, each with every tile of the block."""
     tiled = placed.filter("tiles > 1")
@@ -365,13 +425,12 @@ def _across(sets: DataFrame, placed: DataFrame, links: DataFrame, tile_shingles:
     largest = counts.groupBy("root").agg(F.max_by("part", F.struct("rows", "part")).alias("largest"))
     rest = grouped.join(largest, "root").filter("part != largest").select("row_id", "root", "n")
     volume = rest.groupBy("root").agg(F.ceil(F.sum("n") / F.lit(tile_shingles)).cast("int").alias("chunks"))
-    columns = ["root", "tile", "tiles", "probe", "row_id", "columns"]
-    all_rows = sets.filter("tiles > 1").join(volume, "root")
-    tile_rows = all_rows.withColumn("chunk", F.explode(F.expr("sequence(0, chunks - 1)")))
-    tile_rows = tile_rows.withColumn("tile", F.expr("tile * chunks + chunk")).select(columns)
-    asked = all_rows.join(rest.select("row_id"), "row_id").withColumn("chunk", F.expr("cast(pmod(xxhash64(row_id, 7L), chunks) as int)"))
-    asked = asked.withColumn("tile", F.explode(F.expr("transform(sequence(0, tiles - 1), t -> t * chunks + chunk)")))
-    return tile_rows.unionByName(asked.withColumn("probe", F.lit(True)).select(columns))
+    all_rows = sets.filter("tiles > 1").join(volume, "root").join(rest.select("row_id", F.lit(True).alias("asked")), "row_id", "left")
+    all_rows = all_rows.withColumn("chunk", F.expr("cast(pmod(xxhash64(row_id, 7L), chunks) as int)"))
+    own = "transform(sequence(0, chunks - 1), c -> struct(tile * chunks + c as tile, false as probe))"
+    everywhere = "transform(sequence(0, tiles - 1), t -> struct(t * chunks + chunk as tile, true as probe))"
+    at = F.explode(F.expr("if(asked, concat({0}, {1}), {0})".format(own, everywhere))).alias("at")
+    return all_rows.select("root", "tiles", "row_id", "columns", at).select("root", "at.tile", "tiles", "at.probe", "row_id", "columns")
 
 
 def drop_near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
