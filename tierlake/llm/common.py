@@ -166,6 +166,15 @@ def mark_probable(frame: DataFrame, key: Column, keys: DataFrame, bits: int, nam
     return found.withColumn(name, bit).drop("__at", "__slot", "__bits")
 
 
+def in_draw(key: Column, total: Column, wanted: int) -> Column:
+    """A deterministic draw of about ``4 * wanted`` of ``total`` rows by key hash (all, if there are fewer).
+
+    It is taken before the exact choice of ``wanted`` rows, so what meets in one task doesn't grow with the input.
+    """
+    share = F.least(F.lit(1.0), F.lit(4.0 * wanted) / total)
+    return F.pmod(F.xxhash64(key, F.lit(17)), F.lit(1 << 30)) < share * F.lit(float(1 << 30))
+
+
 def shuffle_width(frame: DataFrame) -> int:
     """The session's number of shuffle partitions."""
     return int(frame.sparkSession.conf.get("spark.sql.shuffle.partitions"))

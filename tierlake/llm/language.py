@@ -17,6 +17,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tierlake.llm.common import in_draw
+
 SAMPLE_ROWS = 48
 SAMPLE_CHARS = 16_000
 PIECE = 1024
@@ -139,6 +141,8 @@ def learn_samples(docs: DataFrame, key: str, text: str, label: str, rows: int, c
     """Normalised sample per language: at most ``rows`` rows not held out, chosen by key hash, and ``chars`` characters."""
     known = docs.select(F.col(key).cast("long").alias("row_id"), F.col(text).cast("string").alias("body"), F.col(label).cast("string").alias("label"))
     known = known.filter(F.col("label").isNotNull() & F.col("body").rlike("\\p{L}") & ~held_out(F.col("row_id")))
+    totals = known.groupBy("label").agg(F.count(F.lit(1)).alias("total"))  # a row per language, as the driver's samples
+    known = known.join(F.broadcast(totals), "label").filter(in_draw(F.col("row_id"), F.col("total"), rows))
     order = W.partitionBy("label").orderBy(F.xxhash64("row_id"), "row_id", "body")
     chosen = known.withColumn("nth", F.row_number().over(order)).filter(F.col("nth") <= rows)
     share = max(1, 4 * chars // rows)

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tierlake.llm.common import text_slices, word_hashes, word_spans
+from tierlake.llm.common import in_draw, text_slices, word_hashes, word_spans
 from tierlake.llm.language import held_out
 from tierlake.sources.staging import stage
 
@@ -156,7 +156,9 @@ def train(
     order = W.partitionBy("label").orderBy(F.xxhash64("row_id"), "row_id")
     marks = stage(marks.join(known, "row_id", "left_semi"), "marks")
     prior = marks.agg(F.avg("label")).first()[0]
-    chosen = marks.withColumn("nth", F.row_number().over(order)).filter(F.col("nth") <= sample_rows)
+    totals = marks.groupBy("label").agg(F.count(F.lit(1)).alias("total"))  # two rows
+    drawn = marks.join(F.broadcast(totals), "label").filter(in_draw(F.col("row_id"), F.col("total"), sample_rows))
+    chosen = drawn.withColumn("nth", F.row_number().over(order)).filter(F.col("nth") <= sample_rows)
     chosen = stage(chosen.select("row_id", "label"), "labelled")
     # at most 2 * sample_rows rows
     rows = docs.select(F.col(key).cast("long").alias("row_id"), F.col(text).cast("string").alias("body"))
