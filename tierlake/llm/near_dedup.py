@@ -12,10 +12,10 @@ least ``need(n, m)`` columns, so they differ in at most ``d`` entries, and ``d``
    compared with the bound. Rows already in the largest group of links needn't be multiplied once all others have been.
 3. Links (a spanning forest of them) are joined to components.
 
-Row blocks above ``TILE_SHINGLES`` entries are first divided by prefixes: linked rows share one of the columns that come
-first in any fixed order, and the order puts the block's heaviest columns (shared passages) last. What is still above the
-limit is cut into tiles that share two pivots; then rows outside the block's largest group are multiplied with every tile.
-So memory is bounded and no link is lost, whatever the size of a block.
+Row blocks above ``TILE_SHINGLES`` entries are first divided by size: linked rows lie in one size band or in two neighbouring
+ones, so a row goes to two parts at most. What is still above the limit is cut into tiles that share two pivots; then rows
+outside the part's largest group are multiplied with every tile. So memory is bounded and no link is lost, whatever the
+size of a block.
 """
 
 from __future__ import annotations
@@ -34,8 +34,7 @@ from tierlake.llm.exact_dedup import FILTER_BITS, keep_first
 from tierlake.sources.staging import stage
 
 SEND_SHINGLES = 1 << 21
-TILE_SHINGLES = 1 << 21
-HEAVY_COLUMNS = 1 << 20  # columns whose weight the order knows; the order is for speed only
+TILE_SHINGLES = 3 << 20
 _SENT = "owner int, row_id long, n long, a long, b long, blocks binary, rows binary"
 _MET = "row_id long, n long, a long, b long"
 _SETS = "root long, tile int, tiles int, probe boolean, row_id long, columns binary"
@@ -333,7 +332,7 @@ def near_groups(
     bodies = bodies.select("root", "tile", "tiles", F.lit(False).alias("probe"), "row_id", "body")
     sets = stage(bodies.mapInArrow(_sets(words), _SETS), "sets")
     if not placed.filter("tiles > 1").isEmpty():
-        parts = _divide(sets.filter("tiles > 1"), percent, owners or shuffle_width(docs)).join(known, "row_id")
+        parts = _by_size(placed.filter("tiles > 1").select("row_id", "root", "n"), percent)
         placed = placed.filter("tiles <= 1").unionByName(_place(parts, tile_shingles))
     sets = sets.select("probe", "row_id", "columns").join(placed.drop("n"), "row_id")
     sets = sets.select("root", "tile", "tiles", "probe", "row_id", "columns", "pivot")
@@ -368,52 +367,12 @@ def _place(inside: DataFrame, tile_shingles: int) -> DataFrame:
     return stage(placed.select("row_id", "root", "n", "tiles", tile, F.expr("row_id in (low, high)").alias("pivot")), "tiles")
 
 
-def _counts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Columns of a batch and how many of its rows have them."""
-    for batch in batches:
-        values = np.frombuffer(b"".join(batch.column(0).to_pylist()), dtype=np.uint64)
-        column, count = np.unique(values, return_counts=True)
-        yield pa.RecordBatch.from_arrays([pa.array(column.view(np.int64)), pa.array(count)], names=["column", "n"])
-
-
-def _divide(sets: DataFrame, percent: int, owners: int) -> DataFrame:
-    """Parts (``row_id``, ``root``) of row blocks: rows that share a column of their prefixes stay together.
-
-    Columns are counted exactly. The counts that are broadcast are those of the heaviest ``HEAVY_COLUMNS`` at most; columns
-    without one come first in the order.
-    """
-    counted = sets.select("columns").mapInArrow(_counts, "column long, n long")
-    weights = stage(counted.groupBy("column").agg(F.sum("n").alias("n")).filter("n > 1"), "weights")
-    least, held = 1_000_000, 0
-    for row in weights.groupBy(F.least("n", F.lit(least)).alias("n")).count().orderBy(F.desc("n")).toLocalIterator():
-        held += row["count"]
-        if held > HEAVY_COLUMNS:
-            break
-        least = row["n"]
-    heavy = weights.filter(F.col("n") >= least).toArrow()  # at most HEAVY_COLUMNS rows
-    column, weight = (heavy.column(name).to_numpy() for name in ("column", "n"))
-    order = np.argsort(column.view(np.uint64))
-    shared = sets.sparkSession.sparkContext.broadcast((column[order].view(np.uint64), weight[order]))
-
-    def prefixes(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        column, weight = shared.value
-        for batch in batches:
-            ids, roots = np.asarray(batch.column(0)), np.asarray(batch.column(1)).view(np.uint64)
-            parts = [np.frombuffer(c, dtype=np.uint64) for c in batch.column(2).to_pylist()]
-            sizes = np.array([p.size for p in parts])
-            rows, values = np.repeat(np.arange(sizes.size), sizes), np.concatenate(parts)
-            at = np.minimum(np.searchsorted(column, values), max(column.size - 1, 0))
-            heavy = np.where(column[at] == values, weight[at], 0) if column.size else np.zeros(values.size, np.int64)
-            order = np.lexsort((values, heavy, rows))
-            reach = sizes - need(sizes, -(-percent * sizes // 100), percent) + 1
-            nth = np.arange(values.size) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-            first = order[nth < reach[rows]]
-            value, centre, a, b = _stars(mix(values[first] ^ mix(roots)[rows[first]]), ids[rows[first]])
-            yield from _packets(value, centre, a, b, owners)
-
-    met = sets.select("row_id", "root", "columns").mapInArrow(prefixes, _SENT).groupBy("owner").applyInArrow(_meet, _MET)
-    stars = components(stage(met, "met").select("a", "b"))
-    return stars.select(F.col("node").alias("row_id"), "root").unionByName(stars.select(F.col("root").alias("row_id"), "root").distinct())
+def _by_size(inside: DataFrame, percent: int) -> DataFrame:
+    """Parts of row blocks: each row with those of its own size band and of the band below."""
+    low = [int(n) for n in bands(percent)[0]]
+    band = F.size(F.filter(F.lit(low), lambda n: n <= F.col("n")))
+    parts = inside.withColumn("band", F.explode(F.array(band, band - 1)))
+    return parts.select("row_id", F.xxhash64("root", "band").alias("root"), "n")
 
 
 def _across(sets: DataFrame, placed: DataFrame, links: DataFrame, tile_shingles: int) -> DataFrame:
@@ -425,7 +384,8 @@ def _across(sets: DataFrame, placed: DataFrame, links: DataFrame, tile_shingles:
     largest = counts.groupBy("root").agg(F.max_by("part", F.struct("rows", "part")).alias("largest"))
     rest = grouped.join(largest, "root").filter("part != largest").select("row_id", "root", "n")
     volume = rest.groupBy("root").agg(F.ceil(F.sum("n") / F.lit(tile_shingles)).cast("int").alias("chunks"))
-    all_rows = sets.filter("tiles > 1").join(volume, "root").join(rest.select("row_id", F.lit(True).alias("asked")), "row_id", "left")
+    asked = rest.select("row_id", "root", F.lit(True).alias("asked"))
+    all_rows = sets.filter("tiles > 1").join(volume, "root").join(asked, ["row_id", "root"], "left")
     all_rows = all_rows.withColumn("chunk", F.expr("cast(pmod(xxhash64(row_id, 7L), chunks) as int)"))
     own = "transform(sequence(0, chunks - 1), c -> struct(tile * chunks + c as tile, false as probe))"
     everywhere = "transform(sequence(0, tiles - 1), t -> struct(t * chunks + chunk as tile, true as probe))"
