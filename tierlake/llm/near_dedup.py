@@ -34,7 +34,7 @@ from tierlake.llm.exact_dedup import FILTER_BITS, keep_first
 from tierlake.sources.staging import stage
 
 SEND_SHINGLES = 1 << 21
-TILE_SHINGLES = 3 << 20
+TILE_SHINGLES = 1 << 21
 _SENT = "owner int, row_id long, n long, a long, b long, blocks binary, rows binary"
 _MET = "row_id long, n long, a long, b long"
 _SETS = "root long, tile int, tiles int, probe boolean, row_id long, columns binary"
@@ -340,7 +340,7 @@ def near_groups(
     spread = F.explode(F.expr("if(tiles > 1 and pivot, sequence(0, tiles - 1), array(tile))"))
     own = sets.withColumn("tile", spread).drop("pivot")
     total = placed.agg(F.sum("n")).first()[0] or 0
-    groups = max(1, int(total // tile_shingles) + 1, shuffle_width(docs))
+    groups = max(8 * int(total // tile_shingles) + 1, shuffle_width(docs))  # so that large blocks seldom meet in one
     block = F.when(F.col("tiles") <= 1, F.pmod(F.xxhash64("root"), F.lit(groups))).otherwise(F.xxhash64("root", "tile"))
 
     def multiplied(frame: DataFrame) -> DataFrame:
