@@ -67,6 +67,17 @@ def test_contaminated_documents_go(spark, case):
     assert sorted(r["doc_id"] for r in kept.collect()) == sorted(k for k, _, n, _ in plain_hits(docs, items) if k is not None and not n)
 
 
+@pytest.mark.parametrize("options", [{}, {"broadcast_grams": 0, "filter_bits": 64}])
+def test_clean_documents_stay_whatever_their_key(spark, case, options):
+    docs, items = case
+    docs = docs + [(None, None), (None, "clean"), (93, "another text of key 93"), (-(2**63), "smallest key"), (-(2**63), items[0][1])]
+    frame = spark.createDataFrame([(k, t, "x") for k, t in docs], "doc_id long, text string, found string").repartition(3)
+    kept = drop_contaminated(frame, spark.createDataFrame(items, "item_id long, text string"), **options)
+    wanted = [(k, t) for k, t in docs if not plain_hits([(k, t)], items)[0][2]]
+    assert {(None, "clean"), (93, "another text of key 93"), (-(2**63), "smallest key")} <= set(wanted)
+    assert sorted(((r["doc_id"], r["text"]) for r in kept.collect()), key=str) == sorted(wanted, key=str)
+
+
 def test_empty_tables(spark, odd_docs, no_docs):
     none = spark.createDataFrame([], "item_id long, text string")
     assert benchmark_hits(no_docs, none).collect() == []

@@ -27,7 +27,6 @@ UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 WINDOW = 10
 GRAM = 5
 BROADCAST_GRAMS = 1_000_000
-NO_KEY = -(2**63)
 
 
 def words_of(text: Column) -> Column:
@@ -36,6 +35,12 @@ def words_of(text: Column) -> Column:
     return F.array_remove(F.split(lowered, BREAK), "")
 
 
+def row_place(key: Column, text: Column) -> Column:
+    """Identity of a row: a digest of its key (null apart from all others) and its whole text (null as empty)."""
+    parts = (F.coalesce(key.cast("long").cast("string"), F.lit("")), F.lit(":"), F.coalesce(text.cast("string"), F.lit("")))
+    return F.unhex(F.sha2(F.concat(*parts), 256))
+
+
 def _gram(words: str, position: str, size: int) -> Column:
     """Hash of ``size`` words from a 0-based position on."""
     return F.xxhash64(*[F.expr("get({}, {} + {})".format(words, position, i)) for i in range(size)])
@@ -50,7 +55,17 @@ def item_windows(items: DataFrame, key: str, text: str, window: int, gram: int)
     return passages.groupBy("passage", "size").agg(F.collect_set("item").alias("items")).withColumn("width", F.least("size", F.lit(gram)))
 
 
-def benchmark_hits(
+def benchmark_hits(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    """One row per document: ``row_id``, ``n_words``, ``n_hit`` (words inside an occurring window) and ``items`` (sorted keys).
+
+    Null texts and texts without words have no hits, and such items no windows. Repeated rows get the same result each; rows
+    that share a key, or have none, are judged by their own text. A null item key counts hits but isn't listed. Empty tables
+    give no rows or no hits. Other columns are ignored. Options are those of ``placed_hits``.
+    """
+    return placed_hits(docs, items, key, text, **options).drop("place")
+
+
+def placed_hits(
     docs: DataFrame,
     items: DataFrame,
     key: str = "doc_id",
@@ -62,14 +77,9 @@ def benchmark_hits(
     broadcast_grams: int = BROADCAST_GRAMS,
     filter_bits: int = FILTER_BITS,
 ) -> DataFrame:
-    """One row per document: ``row_id``, ``n_words``, ``n_hit`` (words inside an occurring window) and ``items`` (sorted keys).
-
-    Null texts and texts without words have no hits, and such items no windows. Repeated rows get the same result each; rows
-    that share a key, or have none, are judged by their own text. A null item key counts hits but isn't listed. Empty tables
-    give no rows or no hits. Other columns are ignored.
-    """
+    """The rows of ``benchmark_hits`` with ``place``, each row's identity by key and text (see ``row_place``)."""
     rows = docs.select(F.col(key).cast("long").alias("row_id"), F.col(text).cast("string").alias("body"))
-    rows = rows.withColumn("place", F.coalesce("row_id", F.lit(NO_KEY)))
+    rows = rows.withColumn("place", row_place(F.col("row_id"), F.col("body")))
     windows = stage(item_windows(items, item_key, item_text, window, gram).withColumn("window_id", F.xxhash64("passage")), "windows")
     widths = [r["width"] for r in windows.select("width").distinct().collect()]  # at most ``gram`` values
     offsets = windows.withColumn("offset", F.explode(F.expr("sequence(0, size - width)")))
@@ -105,6 +115,7 @@ def benchmark_hits(
 
     marked = mark_probable(rows, F.col("place"), found.select("place"), filter_bits, "probable")
     clean = marked.filter("not probable").select(
+        "place",
         "row_id",
         F.regexp_count(F.coalesce("body", F.lit("")), F.lit(WORD)).cast("long").alias("n_words"),
         F.lit(0).cast("long").alias("n_hit"),
@@ -112,13 +123,14 @@ def benchmark_hits(
     )
     asked = marked.filter("probable").select("row_id", "place", words_of(F.col("body")).alias("words")).join(found, "place", "left")
     occurring = "filter(coalesce(found, array()), f -> slice(words, f.start + 1, f.size) = f.passage)"
-    asked = asked.select("row_id", F.size("words").cast("long").alias("n_words"), F.expr("array_sort({})".format(occurring)).alias("found"))
+    asked = asked.select("place", "row_id", F.size("words").cast("long").alias("n_words"), F.expr("array_sort({})".format(occurring)).alias("found"))
     union = (
         "aggregate(found, named_struct('hit', 0L, 'upto', 0L), (a, f) -> named_struct("
         "'hit', a.hit + greatest(0L, f.start + f.size - greatest(a.upto, cast(f.start as long))), "
         "'upto', greatest(a.upto, cast(f.start + f.size as long)))).hit"
     )
     hits = asked.select(
+        "place",
         "row_id",
         "n_words",
         F.expr(union).alias("n_hit"),
@@ -128,11 +140,11 @@ def benchmark_hits(
 
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", filter_bits: int = FILTER_BITS, **options) -> DataFrame:
-    """The documents without any benchmark window, columns as they were; rows without a key are judged by all keyless texts."""
-    hits = benchmark_hits(docs, items, key, text, filter_bits=filter_bits, **options).filter("n_hit > 0")
-    hit = stage(hits.select(F.coalesce("row_id", F.lit(NO_KEY)).alias("__row")).distinct(), "contaminated")
+    """The documents without any benchmark window, columns as they were; every row is judged by its own text, whatever its key."""
+    hits = placed_hits(docs, items, key, text, filter_bits=filter_bits, **options).filter("n_hit > 0")
+    hit = stage(hits.select(F.col("place").alias("__row")).distinct(), "contaminated")
     columns = columns_of(docs)
-    own = docs.withColumn("__own", F.coalesce(F.col(key).cast("long"), F.lit(NO_KEY)))
+    own = docs.withColumn("__own", row_place(F.col(key), F.col(text)))
     marked = mark_probable(own, F.col("__own"), hit, filter_bits, "__hit")
     asked = marked.filter("__hit").join(hit, F.col("__own") == F.col("__row"), "left_anti")
     return marked.filter("not __hit").select(columns).unionByName(asked.select(columns))
