@@ -53,6 +53,60 @@ def test_every_notice_is_found_whole_and_with_small_changes(spark):
     assert not found
 
 
+def test_licences_that_share_words_are_told_apart(spark):
+    gnu = (
+        "{} is free software{} you can redistribute it and/or modify it under the terms of the GNU {}General Public License as "
+        "published by the Free Software Foundation, either version {} of the License, or (at your option) any later version. "
+        "It is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY."
+    )
+    bsd = (
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
+        "following conditions are met: * Redistributions of source code must retain the above copyright notice, this list of "
+        "conditions and the following disclaimer. * Redistributions in binary form must reproduce the above copyright notice, this "
+        "list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution. "
+    )
+    third = (
+        "* Neither the name of Example Inc. nor the names of its contributors may be used to endorse or promote products derived "
+        "from this software without specific prior written permission. "
+    )
+    adverts = (
+        "All advertising materials mentioning features or use of this software must display the following acknowledgement: This "
+        "product includes software developed by Example Inc. "
+    )
+    granted = "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted{} "
+    as_is = 'THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE.'
+    notice = ", provided that the above copyright notice and this permission notice appear in all copies."
+    mit = next(t for n, t in NOTICES if n == "MIT" and len(t) > 100)
+    texts = [
+        ({"GPL-2.0"}, gnu.format("This program", ";", "", "2")),
+        ({"GPL-3.0"}, gnu.format("Foo", ":", "", "3")),
+        ({"LGPL-2.0"}, gnu.format("This library", ";", "Library ", "2")),
+        ({"LGPL-2.1"}, gnu.format("This library", ";", "Lesser ", "2.1")),
+        ({"LGPL-3.0"}, gnu.format("Foo", ":", "Lesser ", "3")),
+        ({"AGPL-3.0"}, gnu.format("This program", ":", "Affero ", "3")),
+        ({"AGPL-3.0", "GPL-3.0"}, gnu.format("This program", ":", "Affero ", "3") + gnu.format("This program", ":", "", "3")),
+        ({"GPL-2.0"}, "This work is licensed under the GNU General Public License, version 2."),
+        ({"LGPL-3.0"}, "GNU LESSER GENERAL PUBLIC LICENSE Version 3, 29 June 2007"),
+        ({"BSD-2-Clause"}, bsd + as_is),
+        ({"BSD-3-Clause"}, bsd + third + as_is),
+        ({"BSD-3-Clause"}, bsd.replace("* ", "1. ") + third.replace("* ", "3. ") + as_is),
+        ({"BSD-4-Clause"}, bsd + adverts + third + as_is),
+        ({"BSD-2-Clause", "BSD-3-Clause"}, bsd + as_is + " filler" * 300 + " " + bsd + third),
+        ({"ISC"}, granted.format(notice) + as_is),
+        ({"0BSD"}, granted.format(".") + as_is),
+        ({"MIT"}, mit + " The above copyright notice and this permission notice shall be included. " + as_is),
+        ({"MIT-0"}, mit.split(", subject to")[0] + ". " + as_is),
+        ({"CC-BY-NC-SA-4.0"}, "Licensed under CC BY-NC-SA 4.0."),
+        ({"EPL-2.0"}, "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is available at x"),
+        ({"BSL-1.0"}, "Distributed under the Boost Software License, Version 1.0. (See accompanying file LICENSE_1_0.txt)"),
+    ]
+    frame = spark.createDataFrame([(i, "before it " * (7 * i) + t + " after it" * 30) for i, (_, t) in enumerate(texts)], "doc_id long, text string")
+    found = [set() for _ in texts]
+    for r in scan_licenses(frame).collect():
+        found[r["row_id"]].add(r["license"])
+    assert found == [names for names, _ in texts]
+
+
 def test_licences_of_odd_documents(odd_docs, no_docs):
     assert scan_licenses(odd_docs).collect() == [] and scan_licenses(no_docs).collect() == []
     found = scan_licenses(odd_docs, notices=[("x", "one")], words=5).select("row_id").collect()
