@@ -98,7 +98,7 @@ def test_key_only_versions_need_no_window(spark):
 
 
 def test_unknown_type_is_refused(spark):
-    with pytest.raises(ValueError, match="Unsupported SCD type"):
+    with pytest.raises(ValueError, match="type is 1 or 2"):
         build_dimension(spark.range(1).withColumnRenamed("id", "k"), Dimension("d", ("k",), "sk", columns("k"), scd_type=3))
 
 

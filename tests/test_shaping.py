@@ -49,7 +49,7 @@ def test_enrichment_keeps_null_groups_with_null_metrics(spark):
 
 
 def test_unknown_aggregate_is_refused(spark):
-    with pytest.raises(ValueError, match="Unsupported aggregate"):
+    with pytest.raises(ValueError, match="No such metric function"):
         enrich(spark.range(1), [Enrichment(("id",), (Metric("m", "median", "id"),))])
 
 
@@ -132,7 +132,7 @@ def test_history_keeps_versions(spark):
 def test_no_configuration_changes_nothing_and_unknown_strategy_fails(spark):
     frame = spark.range(3)
     assert deduplicate(frame, None) is frame
-    with pytest.raises(ValueError, match="Unsupported dedup mode"):
+    with pytest.raises(ValueError, match="No such deduplication strategy"):
         deduplicate(frame, Dedup(("id",), "latest"))
 
 
