@@ -21,13 +21,13 @@ pytestmark = pytest.mark.skipif(not Path(FOLDER).exists(), reason="test tables a
 
 def test_all_are_registered():
     assert set(QUERIES) <= set(queries()) and set(ORACLES) <= set(oracle_sql()) and "pipeline" in queries()
-    assert sorted({int(n[2:].split("_")[0]) for n in QUERIES}) == list(range(1, 11))
+    assert sorted({int(n[2:].split("_")[0]) for n in QUERIES}) == list(range(1, 14))
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_rows_equal_sql(spark, name):
     database = duckdb.connect()
-    for table in ("documents", "benchmark", "pages"):
+    for table in ("documents", "benchmark", "pages", "embeddings"):
         database.execute("create view {0} as select * from read_parquet('{1}/{0}.parquet')".format(table, FOLDER))
     found, wanted = QUERIES[name](spark, FOLDER), database.sql(ORACLES[name])
     columns = sorted(found.columns)

@@ -7,11 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tierlake.llm.centroids import cluster_vectors
 from tierlake.llm.chat_format import format_conversations, read_conversations
 from tierlake.llm.decontaminate import benchmark_hits
 from tierlake.llm.exact_dedup import exact_groups
 from tierlake.llm.language import predict_language
 from tierlake.llm.license_scan import scan_licenses
+from tierlake.llm.main_text import extract_main_text
+from tierlake.llm.merkle import proofs, verify
 from tierlake.llm.mixing import mix_sources
 from tierlake.llm.near_dedup import near_groups
 from tierlake.llm.quality import score_quality, train
@@ -212,3 +215,106 @@ def op10_warc(spark: SparkSession, folder: str) -> DataFrame:
     """All pages written to WARC archives and read back."""
     pages = roundtrip(_table(spark, folder, "pages"))
     return pages.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def _lloyd_sql(rounds: int = 3, clusters: int = 16) -> str:
+    """Lloyd's rounds over all pairs of vectors and centroids; a pair's distance and centroid number are one integer."""
+    assigned = """a{n} AS MATERIALIZED (
+      SELECT rid, any_value(vec_id) AS vec_id, any_value(c) AS c, min(far * 32 + cluster) AS best FROM (
+        SELECT rid, vec_id, c, cluster,
+               list_sum(list_transform(list_zip(c, centre), lambda p: (p[1] - p[2]) * (p[1] - p[2])))::BIGINT AS far
+        FROM v, c{n}) GROUP BY rid)"""
+    moved = """s{n} AS (
+      SELECT cluster, list((s - ((s % n) + n) % n) // n ORDER BY i) AS centre
+      FROM (SELECT best % 32 AS cluster, i, sum(c[i])::BIGINT AS s, count(*) AS n FROM a{n}, range(1, 65) t(i) GROUP BY ALL) GROUP BY cluster),
+    c{next} AS MATERIALIZED (SELECT cluster, coalesce(s{n}.centre, c{n}.centre) AS centre FROM c{n} LEFT JOIN s{n} USING (cluster))"""
+    steps = [part.format(n=n, next=n + 1) for n in range(rounds) for part in (assigned, moved)]
+    return """
+    WITH v AS MATERIALIZED (
+      SELECT row_number() OVER () AS rid, vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS c
+      FROM embeddings
+      WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    c0 AS MATERIALIZED (
+      SELECT row_number() OVER (ORDER BY sha256('1:' || coalesce(vec_id::VARCHAR, '')), c) - 1 AS cluster, c AS centre
+      FROM v QUALIFY cluster < {clusters}),
+    {steps},
+    {last}
+    SELECT vec_id, cluster::INTEGER AS cluster, distance, sum(distance) OVER (PARTITION BY cluster)::BIGINT AS cluster_inertia,
+           sum(distance) OVER ()::BIGINT AS inertia, sha256(array_to_string(centre, ',')) AS centroid_sha256
+    FROM (SELECT vec_id, best % 32 AS cluster, best // 32 AS distance FROM a{rounds}) JOIN c{rounds} USING (cluster)""".format(
+        steps=",\n    ".join(steps), last=assigned.format(n=rounds), rounds=rounds, clusters=clusters
+    )
+
+
+@_query("op11_centroid_clustering", _lloyd_sql())
+def op11_centroid_clustering(spark: SparkSession, folder: str) -> DataFrame:
+    """Clusters of all vectors after three rounds from sixteen drawn vectors."""
+    return cluster_vectors(_table(spark, folder, "embeddings")).withColumnRenamed("row_id", "vec_id")
+
+
+@_query("op12_html_extraction")
+def op12_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    """Main texts of all pages."""
+    return extract_main_text(_table(spark, folder, "pages")).withColumnRenamed("row_id", "page_id")
+
+
+@_query(
+    "op13_merkle_manifest",
+    r"""
+    WITH RECURSIVE told AS (
+      SELECT row_number() OVER () AS rid, *,
+        CASE WHEN 1 & list_reduce(list_concat([4294967295::BIGINT], list_transform(string_split(doc_id::VARCHAR, ''), lambda ch: ascii(ch)::BIGINT)),
+          lambda crc, byte: list_reduce([xor(crc, byte), 0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[],
+            lambda x, bit: xor(x >> 1, 3988292384 * (x & 1)))) = 1
+          THEN replace(text, chr(10), '') ELSE text END AS other FROM documents),
+    parts AS (
+      SELECT *, coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+        || coalesce(strlen(lang) || ':' || lang, '-') || coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-') AS front FROM told),
+    leaves AS (
+      SELECT rid, doc_id, coalesce('s' || source, 'n') AS tree, sha256(front || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+             sha256(front || coalesce(strlen(other) || ':' || other, '-')) AS other_leaf FROM parts),
+    placed AS (
+      SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf, rid) - 1 AS pos,
+             count(*) OVER (PARTITION BY tree) AS n FROM leaves),
+    nodes(tree, lvl, pos, digest, n) AS (
+      SELECT tree, 0::BIGINT, pos, leaf, n FROM placed
+      UNION ALL
+      SELECT tree, lvl + 1, pos // 3, sha256(string_agg(digest, '' ORDER BY pos)), (max(n) + 2) // 3
+      FROM nodes WHERE n > 1 GROUP BY tree, lvl, pos // 3),
+    subroots AS (SELECT tree, digest, row_number() OVER (ORDER BY tree) - 1 AS pos, count(*) OVER () AS n FROM nodes WHERE n = 1),
+    tops(lvl, pos, digest, n) AS (
+      SELECT 0::BIGINT, pos, digest, n FROM subroots
+      UNION ALL
+      SELECT lvl + 1, pos // 3, sha256(string_agg(digest, '' ORDER BY pos)), (max(n) + 2) // 3
+      FROM tops WHERE n > 1 GROUP BY lvl, pos // 3),
+    sides AS (
+      SELECT a.tree, a.lvl, a.pos, coalesce(string_agg(b.digest, '' ORDER BY b.pos) FILTER (b.pos < a.pos), '') AS before,
+             coalesce(string_agg(b.digest, '' ORDER BY b.pos) FILTER (b.pos > a.pos), '') AS behind
+      FROM nodes a JOIN nodes b ON a.tree = b.tree AND a.lvl = b.lvl AND a.pos // 3 = b.pos // 3 GROUP BY ALL),
+    top_sides AS (
+      SELECT a.lvl, a.pos, coalesce(string_agg(b.digest, '' ORDER BY b.pos) FILTER (b.pos < a.pos), '') AS before,
+             coalesce(string_agg(b.digest, '' ORDER BY b.pos) FILTER (b.pos > a.pos), '') AS behind
+      FROM tops a JOIN tops b ON a.lvl = b.lvl AND a.pos // 3 = b.pos // 3 GROUP BY ALL),
+    walk(rid, tree, lvl, pos, n, folded, proof) AS (
+      SELECT rid, tree, 0::BIGINT, pos, n, other_leaf, '' FROM placed
+      UNION ALL
+      SELECT rid, tree, lvl + 1, pos // 3, (n + 2) // 3, sha256(before || folded || behind), proof || before || behind
+      FROM walk JOIN sides USING (tree, lvl, pos) WHERE n > 1),
+    climb(rid, lvl, pos, n, folded, proof) AS (
+      SELECT rid, 0::BIGINT, subroots.pos, subroots.n, folded, proof FROM walk JOIN subroots USING (tree) WHERE walk.n = 1
+      UNION ALL
+      SELECT rid, lvl + 1, pos // 3, (n + 2) // 3, sha256(before || folded || behind), proof || before || behind
+      FROM climb JOIN top_sides USING (lvl, pos) WHERE n > 1)
+    SELECT doc_id, leaf, subroots.digest AS subroot, r.digest AS root, sha256(proof) AS proof_sha256, folded AS folded_root,
+           folded = r.digest AS verified
+    FROM placed JOIN climb USING (rid) JOIN subroots USING (tree), (SELECT digest FROM tops WHERE n = 1) r WHERE climb.n = 1""",
+)
+def op13_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    """Proofs of all documents; where 2 divides the key's checksum, they are held against texts without line ends."""
+    docs = _table(spark, folder, "documents")
+    checksum = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    other = F.when(checksum % 2 == 0, F.translate("text", "\n", "")).otherwise(F.col("text"))
+    checked = verify(proofs(docs, "doc_id", "source", ["doc_id", "source", "lang", "n_chars", "text"], other))
+    told = {"leaf": "leaf", "subroot": "subroot", "root": "root", "proof": "proof_sha256", "folded": "folded_root"}
+    digests = [F.lower(F.hex(name)).alias(new) for name, new in told.items()]
+    return checked.select(F.col("row_id").alias("doc_id"), *digests, "verified")
