@@ -743,25 +743,27 @@ def dim_scd2_time_tracked(spark: SparkSession, folder: str) -> DataFrame:
 
 @registered(
     """
-    with hashed as (select user_id % 10 as grp, user_id, event_type, ts as valid_from, sha256(event_type) as hash_data from events),
+    with hashed as (select user_id // 20 as grp, user_id, event_type, ts as valid_from, sha256(event_type) as hash_data from events),
     firsts as (select grp, user_id, event_type, min(valid_from) as valid_from, hash_data from hashed group by all),
     followed as (select *, lead(valid_from) over (partition by grp, user_id order by valid_from, hash_data) as after from firsts),
     known as (select *, after - interval 1 microsecond as valid_to,
         sha256(concat_ws('||', grp, user_id, hash_data)) as user_sk from followed),
-    asked as (select c_custkey % 10 as grp, c_custkey, timestamp '2024-01-16 00:00:00' as moment from customer where c_custkey <= 40)
+    asked as (select c_custkey, c_custkey // 200 as grp, timestamp '2024-01-01' + to_hours(c_custkey * 7 % 720) as moment from customer)
     select c_custkey, asked.grp as grp, moment, user_sk from asked left join known
     on asked.grp = known.grp and moment >= valid_from and (valid_to is null or moment <= valid_to)
     """
 )
 def fact_asof_part_key(spark: SparkSession, folder: str) -> DataFrame:
-    """A join on part of the business key finds every member valid at the time, with hundreds of versions per joined key."""
-    events = table(spark, folder, "events").select((F.col("user_id") % 10).alias("grp"), "user_id", "event_type", "ts")
+    """A join on part of the business key finds every member valid at the time: groups of 20 users, asked by all customers."""
+    events = table(spark, folder, "events").select(F.expr("user_id div 20").alias("grp"), "user_id", "event_type", "ts")
     by_group = Dimension(
         "dim_user", ("grp", "user_id"), "user_sk", columns("grp", "user_id", "event_type", "ts"), scd_type=2, valid_from="ts",
         tracked=("event_type",),
     )
-    facts = table(spark, folder, "customer").filter("c_custkey <= 40").select(
-        "c_custkey", (F.col("c_custkey") % 10).alias("grp"), F.expr("timestamp_ntz'2024-01-16 00:00:00'").alias("moment")
+    facts = table(spark, folder, "customer").select(
+        "c_custkey",
+        F.expr("c_custkey div 200").alias("grp"),
+        F.expr("timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, cast(c_custkey * 7 % 720 as int))").alias("moment"),
     )
     join = DimensionJoin("dim_user", ("grp",), ("grp",), effective_at="moment", fan_out=True)
     tables = {"dim_user": stage(build_dimension(events, by_group), "dim")}
