@@ -11,6 +11,7 @@ from tierlake.plans import jobs
 from tierlake.plans.jobs import run_all
 from tierlake.plans.layers import bronze_to_raw, func_to_gold, ingest, raw_to_tech, tech_to_func
 from tierlake.sources.catalog import mirror
+from tierlake.sources.versions import read_current
 from tierlake.sources.storage import batch_ids, path_exists
 from tierlake.streaming.quality_stream import start_quality_stream, text_stream
 from tierlake.operators.quality import ColumnRule
@@ -104,12 +105,12 @@ def test_two_batches_end_to_end(spark, root, tmp_path):
     drop(tmp_path / "drop", "one.jsonl", ROWS)
     outcome = run_all(spark, config, "20240101T000000Z")
     assert outcome["func_to_gold"] == "success"
-    func = {row["id"]: row for row in spark.read.parquet(config.layout.func).collect()}
+    func = {row["id"]: row for row in read_current(spark, config.layout.func).collect()}
     assert set(func) == {1, 2} and func[1]["amount"] == 6.0 and func[2]["amount"] == 0.0
     assert func[1]["shop_sales"] == 2, "metrics are computed before the de-duplication"
     reject = spark.read.parquet(config.layout.reject)
     assert {row["rejected_fields"] for row in reject.collect()} == {"id", "amount"}
-    fact = spark.read.parquet(config.layout.gold_table("facts/fact_sale"))
+    fact = read_current(spark, config.layout.gold_table("facts/fact_sale"))
     assert fact.count() == 2 and fact.filter("shop_key is null").count() == 0
     assert "gold.fact_sale" in outcome["catalog"] and "monitoring.gold_fact_sale_events" in outcome["catalog"]
     assert spark.table("silver.reject_sales").filter("ingestion_timestamp = '20240101T000000Z'").count() == 2
@@ -117,7 +118,7 @@ def test_two_batches_end_to_end(spark, root, tmp_path):
     drop(tmp_path / "drop", "one.jsonl", [{"id": 9, "shop": "c", "amount": 1, "at": "2024-01-02T10:00:00", "new": "x"}])
     run_all(spark, config, "20240102T000000Z")
     assert batch_ids(spark, config.layout.tech) == ["20240101T000000Z", "20240102T000000Z"]
-    assert [row["id"] for row in spark.read.parquet(config.layout.func).collect()] == [9]
+    assert [row["id"] for row in read_current(spark, config.layout.func).collect()] == [9]
     assert spark.table("silver.tech_sales").count() == 4 and "new" in spark.table("silver.tech_sales").columns
     assert events(spark, config, "tech") == [("started", 0), ("success", 3), ("started", 0), ("success", 1)]
     gold = spark.read.parquet(config.layout.monitoring + "/gold/facts/fact_sale")
@@ -130,7 +131,7 @@ def test_all_batches_scope_reads_every_batch(spark, root, tmp_path):
     run_all(spark, config, "20240101T000000Z", with_catalog=False)
     drop(tmp_path / "drop", "one.jsonl", [{"id": 1, "shop": "z", "amount": 1, "at": "2024-01-02T10:00:00"}])
     run_all(spark, config, "20240102T000000Z", with_catalog=False)
-    assert {row["id"]: row["shop"] for row in spark.read.parquet(config.layout.func).collect()} == {1: "z", 2: "b"}
+    assert {row["id"]: row["shop"] for row in read_current(spark, config.layout.func).collect()} == {1: "z", 2: "b"}
 
 
 def test_empty_and_rejected_batches_stop_the_chain(spark, root, tmp_path):
@@ -173,7 +174,7 @@ def test_history_appends_only_new_versions_when_asked(spark, root, tmp_path):
         for batch in ("20240101T000000Z", "20240102T000000Z"):
             for step in (ingest, bronze_to_raw, raw_to_tech, tech_to_func):
                 step(spark, config, batch)
-        assert spark.read.parquet(config.layout.func).count() == expected
+        assert read_current(spark, config.layout.func).count() == expected
 
 
 def test_failures_are_recorded_and_raised(spark, root, tmp_path):
@@ -194,7 +195,7 @@ def test_gold_writes_even_without_rows(spark, root, tmp_path):
     config = configuration(root, tmp_path / "drop")
     spark.createDataFrame([], "id int, shop string, amount double, sold_at timestamp").write.parquet(config.layout.func)
     assert [result.status for result in func_to_gold(spark, config)] == ["no_data", "no_data"]
-    assert spark.read.parquet(config.layout.gold_table("dimensions/dim_shop")).count() == 0
+    assert read_current(spark, config.layout.gold_table("dimensions/dim_shop")).count() == 0
     assert "gold.dim_shop" in mirror(spark, config)
 
 
@@ -220,8 +221,8 @@ def test_a_landed_batch_is_finished_by_the_next_run(spark, root, tmp_path):
     ingest(spark, config)  # the run ends here
     drop(tmp_path / "drop", "two.jsonl", ROWS[2:3])
     assert run_all(spark, config, with_catalog=False)["func_to_gold"] == "success"
-    assert {row["id"] for row in spark.read.parquet(config.layout.func).collect()} == {1, 2}
-    assert spark.read.parquet(config.layout.gold_table("facts/fact_sale")).count() == 2
+    assert {row["id"] for row in read_current(spark, config.layout.func).collect()} == {1, 2}
+    assert read_current(spark, config.layout.gold_table("facts/fact_sale")).count() == 2
 
 
 def test_a_failure_in_the_middle_is_made_good(spark, root, tmp_path, monkeypatch):
@@ -237,7 +238,7 @@ def test_a_failure_in_the_middle_is_made_good(spark, root, tmp_path, monkeypatch
             run_all(spark, config, "20240101T000000Z", with_catalog=False)
     drop(tmp_path / "drop", "one.jsonl", [{"id": 7, "shop": "c", "amount": 1, "at": "2024-01-02T10:00:00"}])
     run_all(spark, config, "20240102T000000Z", with_catalog=False)
-    assert {row["id"] for row in spark.read.parquet(config.layout.func).collect()} == {1, 2, 7}
+    assert {row["id"] for row in read_current(spark, config.layout.func).collect()} == {1, 2, 7}
     assert spark.read.parquet(config.layout.raw).count() == 6 and spark.read.parquet(config.layout.tech).count() == 4
 
 
@@ -250,7 +251,7 @@ def test_malformed_lines_reach_reject(spark, root, tmp_path):
         (tmp_path / "drop" / "bad.jsonl").write_text("{bad line\n")
         run_all(spark, config, with_catalog=False)
         reject = spark.read.parquet(config.layout.reject).collect()
-        assert [row["_corrupt_record"] for row in reject] == ["{bad line"] and spark.read.parquet(config.layout.func).count() == 1
+        assert [row["_corrupt_record"] for row in reject] == ["{bad line"] and read_current(spark, config.layout.func).count() == 1
 
 
 def test_a_batch_is_read_and_checked_once(spark, root, tmp_path):

@@ -36,6 +36,7 @@ from tierlake.sources.storage import (
     write_jsonl,
     write_parquet,
 )
+from tierlake.sources.versions import current_path, replace_dataset
 from tierlake.streaming.landing import land_events
 
 
@@ -55,6 +56,13 @@ def _counted(frame: DataFrame) -> tuple[DataFrame, Observation]:
     return frame.observe(observation, F.count(F.lit(1)).alias("rows")), observation
 
 
+def _replace_counted(frame: DataFrame, path: str) -> tuple[int, str]:
+    """Rows and folder of the dataset's new version."""
+    counted, observation = _counted(frame)
+    folder = replace_dataset(counted, path)
+    return observation.get["rows"], folder
+
+
 def _write_counted(frame: DataFrame, path: str, mode: str) -> int:
     counted, observation = _counted(frame)
     write_parquet(counted, path, mode)
@@ -214,36 +222,43 @@ def tech_to_func(
         "dedup_strategy": config.strategy,
     }
     with monitored(spark, config, locate, **about) as facts:
-        rows = 0
+        rows, written = 0, current_path(spark, layout.func)
         paths = facts["input_path"].split(",")
         tech = spark.read.schema(merged_schema(spark, *paths)).parquet(*paths).drop(BATCH_COLUMN)
         if not tech.isEmpty():
             existing = None
-            if config.against_existing and config.func_mode == "append" and path_exists(spark, layout.func):
-                existing = spark.read.parquet(layout.func)
-            func = shape(tech, config, existing)
-            rows = _write_counted(limit_files(func, config.func_partitions), layout.func, config.func_mode)
+            if config.against_existing and config.func_mode == "append" and path_exists(spark, written):
+                existing = spark.read.parquet(written)
+            func = limit_files(shape(tech, config, existing), config.func_partitions)
+            if config.func_mode == "overwrite":
+                rows, written = _replace_counted(func, layout.func)
+            else:
+                rows = _write_counted(func, written, config.func_mode)
         facts.update(row_count=rows, status="success" if rows else "no_data")
         for name in sorted(batches) if batches else [facts["batch_id"]]:
             note(spark, config, name, "tech_to_func", rows, facts["status"])
-    return StepResult(facts["status"], layout.func, rows, facts["batch_id"])
+    return StepResult(facts["status"], written, rows, facts["batch_id"])
 
 
 def func_to_gold(spark: SparkSession, config: PipelineConfig, slots: int | None = None) -> list[StepResult]:
-    """FUNC to all dimensions, then all facts. Facts join the dimensions as written, which are read back."""
+    """FUNC to all dimensions, then all facts, each as a new version. Facts join the dimensions as written, which are read back.
+
+    All are built from the version of FUNC that is the newest when the step begins.
+    """
     layout = config.layout
     tables, results = {}, []
+    source = current_path(spark, layout.func)
     by_name = {dimension.name: dimension for dimension in config.dimensions}
 
     def write(kind: str, item: Any, build: Any) -> str:
         path = layout.gold_table(item.location)
         about = {"dataset_type": kind, "dataset_name": item.name, "input_path": layout.func, "output_path": path}
         with monitored(spark, config, layer="gold", **about) as facts:
-            frame = build(spark.read.parquet(layout.func))
-            rows = _write_counted(limit_files(frame, config.gold_partitions), path, "overwrite")
+            func = spark.read.parquet(source)
+            rows, written = _replace_counted(limit_files(build(func), config.gold_partitions), path)
             facts.update(row_count=rows, status="success" if rows else "no_data")
-        results.append(StepResult(facts["status"], path, rows))
-        return path
+        results.append(StepResult(facts["status"], written, rows))
+        return written
 
     for dimension in config.dimensions:
         path = write("dimension", dimension, lambda func: build_dimension(func, dimension, slots))

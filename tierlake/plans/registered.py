@@ -28,6 +28,7 @@ from tierlake.sources.paged import TransientError
 from tierlake.sources.readers import read_files, read_source
 from tierlake.sources.staging import new_folder, stage
 from tierlake.sources.storage import batch_path, between, has_parquet, latest_batch, read_bronze, write_jsonl
+from tierlake.sources.versions import read_current, replace_dataset
 from tierlake.streaming.quality_stream import start_quality_stream, text_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -1121,11 +1122,23 @@ def pipeline_all(spark: SparkSession, folder: str) -> DataFrame:
     ingest(spark, config)
     write_jsonl(dirty.filter("pmod(xxhash64(event_id), 3) <> 0"), drop + "/second")
     run_all(spark, config, with_catalog=False)
-    func = spark.read.parquet(config.layout.func)
-    fact = spark.read.parquet(config.layout.gold_table("fact_event"))
+    func = read_current(spark, config.layout.func)
+    fact = read_current(spark, config.layout.gold_table("fact_event"))
     return func.join(fact.select("event_id").distinct(), "event_id", "left_semi").select("event_id", "user_id", "ts", "value", "visitor", "kind")
 
 
+@registered("select event_type as kind, count(*) as n, min(ts) as first_at, max(ts) as last_at from events group by all")
+def replaced_versions(spark: SparkSession, folder: str) -> DataFrame:
+    """A dataset replaced twice, the second time from its own rows and while a reader still holds the version before."""
+    path = new_folder(spark, "versioned")
+    events = table(spark, folder, "events").select(F.col("event_type").alias("kind"), "ts")
+    replace_dataset(events.filter("kind in ('click', 'view')"), path)
+    held = read_current(spark, path)
+    replace_dataset(held.unionByName(events.filter("kind not in ('click', 'view')")), path)
+    rows = read_current(spark, path)
+    return rows.groupBy("kind").agg(F.count(F.lit(1)).alias("n"), F.min("ts").alias("first_at"), F.max("ts").alias("last_at"))
+
+
 def _malformed(spark: SparkSession, folder: str, mode: str) -> DataFrame:
     """Every eleventh event's line is broken; landed as an event stream and moved to RAW."""
     drop = new_folder(spark, "drop")
