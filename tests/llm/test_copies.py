@@ -53,6 +53,31 @@ def test_copies_are_dropped_and_columns_kept(odd_docs):
     assert sorted(str(r["doc_id"]) for r in kept.collect()) == sorted(map(str, [1, 3, 4, 6, 7, 8, 9, None, 11, 12]))
 
 
+CLASHING = "doc_id long, text string, __own long, __row string, __keep string, __at long, __bits long, row string, own string, named string, key string"
+
+
+def test_stages_judge_rows_and_not_keys(spark):
+    """A key that repeats with another text, near copies without a key, and columns named like helpers."""
+    long_text = " ".join("w{}".format(n) for n in range(60))
+
+    def kept(drop, rows):
+        frame = spark.createDataFrame([(*r, 1, "x", "y", 2, 3, "z", "p", "q", "s") for r in rows], CLASHING)
+        result = drop(frame)
+        assert result.columns == frame.columns
+        return sorted(((r["doc_id"], r["text"]) for r in result.collect()), key=str)
+
+    assert kept(drop_copies, [(1, "A x"), (5, "A x"), (5, "B y")]) == [(1, "A x"), (5, "B y")]
+    assert kept(drop_copies, [(None, "A x"), (None, "A  x"), (5, "B y"), (None, "B y"), (5, "B y")])[0] == (5, "B y")
+    assert len(kept(drop_copies, [(None, "A x"), (None, "A  x"), (5, "B y"), (None, "B y"), (5, "B y")])) == 2
+    rows = [(1, long_text), (5, long_text + " z"), (5, "a text of its own with many more words than five")]
+    assert kept(drop_near_copies, rows) == [rows[0], rows[2]]
+    rows = [(None, long_text), (None, long_text + " z"), (None, None), (None, ""), (7, None)]
+    found = kept(drop_near_copies, rows)
+    assert len(found) == 4 and sum(t in (long_text, long_text + " z") for _, t in found) == 1
+    rows = [(9, long_text), (None, long_text + " z"), (4, "other"), (4, "words")]
+    assert kept(drop_near_copies, rows) == sorted([rows[0], rows[2], rows[3]], key=str)
+
+
 def plain_components(docs, size, percent):
     sets = {k: set(plain_shingles(t, size)) for k, t in docs if k is not None}
     parent = {k: k for k in sets}

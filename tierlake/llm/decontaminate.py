@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tierlake.llm.common import mark_probable
-from tierlake.llm.exact_dedup import FILTER_BITS, columns_of
+from tierlake.llm.exact_dedup import FILTER_BITS, unpacked, whole_rows
 from tierlake.sources.staging import stage
 
 BREAK = "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
@@ -142,9 +142,8 @@ def placed_hits(
 def drop_contaminated(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", filter_bits: int = FILTER_BITS, **options) -> DataFrame:
     """The documents without any benchmark window, columns as they were; every row is judged by its own text, whatever its key."""
     hits = placed_hits(docs, items, key, text, filter_bits=filter_bits, **options).filter("n_hit > 0")
-    hit = stage(hits.select(F.col("place").alias("__row")).distinct(), "contaminated")
-    columns = columns_of(docs)
-    own = docs.withColumn("__own", row_place(F.col(key), F.col(text)))
-    marked = mark_probable(own, F.col("__own"), hit, filter_bits, "__hit")
-    asked = marked.filter("__hit").join(hit, F.col("__own") == F.col("__row"), "left_anti")
-    return marked.filter("not __hit").select(columns).unionByName(asked.select(columns))
+    hit = stage(hits.select("place").distinct(), "contaminated")
+    rows = whole_rows(docs, own=row_place(F.col(key), F.col(text)))
+    marked = mark_probable(rows, F.col("own"), hit, filter_bits, "probable")
+    asked = marked.filter("probable").join(hit, F.col("own") == F.col("place"), "left_anti")
+    return unpacked(marked.filter("not probable").select("row").unionByName(asked.select("row")))

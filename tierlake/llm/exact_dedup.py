@@ -209,22 +209,32 @@ def exact_groups(
     )
 
 
+def whole_rows(docs: DataFrame, **helpers: Column) -> DataFrame:
+    """The rows as one column ``row`` beside ``helpers``, whose names can't clash with the rows' own; see ``unpacked``."""
+    return docs.select(F.struct(*columns_of(docs)).alias("row"), *[column.alias(name) for name, column in helpers.items()])
+
+
+def unpacked(packed: DataFrame) -> DataFrame:
+    """The rows as they were."""
+    return packed.select(*[F.col("row").getField(f.name).alias(f.name) for f in packed.schema["row"].dataType.fields])
+
+
 def drop_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", filter_bits: int = FILTER_BITS) -> DataFrame:
     """The documents without exact copies, columns as they were; of equal texts the smallest key stays.
 
-    Rows that repeat the kept key are reduced to one of them. Rows without a key stay only if no equal text has one, and
-    then one of them stays.
+    Every row is judged by its own text, so a key that repeats with another text loses nothing. Rows that repeat the kept
+    key and text are reduced to one of them. Of equal texts without any key one stays; one with a key goes before.
     """
     groups = exact_groups(docs, key, text, filter_bits=filter_bits).filter("group_size > 1")
-    groups = stage(groups.select("row_id", "keep_id", "digest"), "copies")
-    keyed = keep_first(docs.filter(F.col(key).isNotNull()), key, groups.filter("row_id is not null"), filter_bits)
-    kept = groups.groupBy(F.col("digest").alias("__digest")).agg(F.min("keep_id").alias("__keep"))
+    kept = stage(groups.groupBy("digest").agg(F.min("keep_id").alias("keep")), "copies")
     digest = F.unhex(F.sha2(normalised(F.col(text)), 256))
-    keyless = docs.filter(F.col(key).isNull()).withColumn("__own", digest).join(kept, F.col("__own") == F.col("__digest"), "left")
-    columns = columns_of(docs)
-    alone = keyless.filter("__digest is null").select(columns)
-    first = keyless.filter("__digest is not null and __keep is null").dropDuplicates(["__digest"]).select(columns)
-    return keyed.unionByName(alone).unionByName(first)
+    rows = whole_rows(docs, own=F.col(key), mark=digest)
+    marked = mark_probable(rows, F.col("mark"), kept.select("digest"), filter_bits, "suspect")
+    asked = marked.filter("suspect").join(kept, F.col("mark") == F.col("digest"), "left")
+    # by digest, not by the mark: Spark 4.1 can fail on unions of equally partitioned frames
+    first = asked.filter("digest is not null and own <=> keep").dropDuplicates(["digest"])
+    alone = asked.filter("digest is null")
+    return unpacked(marked.filter("not suspect").select("row").unionByName(alone.select("row")).unionByName(first.select("row")))
 
 
 def columns_of(frame: DataFrame) -> list[Column]:
@@ -232,18 +242,14 @@ def columns_of(frame: DataFrame) -> list[Column]:
     return [F.col("`{}`".format(c.replace("`", "``"))) for c in frame.columns]
 
 
-def keep_first(docs: DataFrame, key: str, groups: DataFrame, filter_bits: int = FILTER_BITS) -> DataFrame:
-    """Of ``docs`` drop rows that ``groups`` (``row_id``, ``keep_id``) sends to another row; one row per kept key stays.
-
-    Only rows that ``groups`` may name are shuffled. Rows it doesn't name stay as they are.
+def keep_first(rows: DataFrame, groups: DataFrame, filter_bits: int = FILTER_BITS) -> DataFrame:
+    """Of ``rows`` (``row``, ``own``: see ``whole_rows``) drop those whose ``own`` ``groups`` (``row_id``, ``keep_id``) sends
+    to another one; one row per kept ``own`` stays. Only rows that ``groups`` may name are shuffled, the others stay.
     """
-    columns = columns_of(docs)
-    none = F.lit(-(2**63))
-    named = groups.select(F.coalesce("row_id", none).alias("__row"), F.coalesce("keep_id", none).alias("__keep"))
-    named = named.groupBy("__row").agg(F.min("__keep").alias("__keep"))
-    marked = mark_probable(docs.withColumn("__own", F.coalesce(F.col(key).cast("long"), none)), F.col("__own"), named.select("__row"), filter_bits, "__named")
-    asked = marked.filter("__named").join(named, F.col("__own") == F.col("__row"), "left")
-    kept = asked.filter(F.col("__keep").isNull()).select(columns)
-    # by __own, not by the key: Spark 4.1 can fail on unions of equally partitioned frames
-    first = asked.filter("__keep = __own").dropDuplicates(["__own"]).select(columns)
-    return marked.filter("not __named").select(columns).unionByName(kept).unionByName(first)
+    named = groups.groupBy("row_id").agg(F.min("keep_id").alias("keep"))
+    marked = mark_probable(rows, F.col("own"), named.select("row_id"), filter_bits, "named")
+    asked = marked.filter("named").join(named, F.col("own") == F.col("row_id"), "left")
+    kept = asked.filter("keep is null").select("row")
+    # by row_id, not by own: Spark 4.1 can fail on unions of equally partitioned frames
+    first = asked.filter("keep = own").dropDuplicates(["row_id"]).select("row")
+    return unpacked(marked.filter("not named").select("row").unionByName(kept).unionByName(first))

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from tierlake.llm.common import distinct_sorted, mark_probable, mix, packed, shingles, shuffle_width, text_slices
 from tierlake.llm.components import components
-from tierlake.llm.exact_dedup import FILTER_BITS, keep_first
+from tierlake.llm.exact_dedup import FILTER_BITS, keep_first, whole_rows
 from tierlake.sources.staging import stage
 
 SEND_SHINGLES = 1 << 21
@@ -393,8 +393,32 @@ def _across(sets: DataFrame, placed: DataFrame, links: DataFrame, tile_shingles:
     return all_rows.select("root", "tiles", "row_id", "columns", at).select("root", "at.tile", "tiles", "at.probe", "row_id", "columns")
 
 
+#: Identities of rows without a key of their own begin here, behind all keys.
+FIRST_MADE = 1 << 62
+
+
+def _identified(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """The rows (``row``) with their text and an identity: the key, if it is there and has one text only, else one that is
+    made of key and text."""
+    of_text = F.xxhash64(F.coalesce(F.col(text), F.lit("")))
+    keyed = docs.select(F.col(key).cast("long").alias("repeated"), of_text.alias("hash")).filter("repeated is not null")
+    texts = keyed.groupBy("repeated").agg(F.min("hash").alias("low"), F.max("hash").alias("high"))
+    repeated = stage(texts.filter("low != high").select("repeated"), "repeated-keys")
+    rows = whole_rows(docs, key=F.col(key).cast("long"), body=F.col(text), hash=of_text)
+    made = F.lit(FIRST_MADE) + F.shiftrightunsigned(F.xxhash64(F.coalesce(F.col("key"), F.lit(-1)), F.col("hash")), 2)
+    own = F.when(F.col("key").isNull() | F.col("repeated").isNotNull(), made).otherwise(F.col("key"))
+    return rows.join(repeated, F.col("key") == F.col("repeated"), "left").select("row", "body", own.alias("own"))
+
+
 def drop_near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """The documents with one of each group of near copies, columns as they were; the smallest key of a group stays."""
-    groups = near_groups(docs, key, text, **options).filter("row_id is not null and component_id != row_id")
-    groups = groups.select("row_id", F.col("component_id").alias("keep_id"))
-    return keep_first(docs, key, stage(groups, "near-copies"), options.get("filter_bits", FILTER_BITS))
+    """The documents with one of each group of near copies, columns as they were; the smallest key of a group stays.
+
+    Every row is judged by its own text. A row without a key, or with a key that repeats with another text, is told by key
+    and text (64 hashed bits); it takes part in groups like any other, and stays only if no row of its group has a key of
+    its own. Of rows with equal key and text in a group, one stays. Null texts and texts without words stay.
+    """
+    rows = _identified(docs, key, text)
+    groups = near_groups(rows.select("own", "body"), "own", "body", **options).filter("row_id != component_id")
+    groups = stage(groups.select("row_id", F.col("component_id").alias("keep_id")), "near-copies")
+    kept = groups.select(F.col("keep_id").alias("row_id"), "keep_id").distinct()
+    return keep_first(rows.select("row", "own"), groups.unionByName(kept), options.get("filter_bits", FILTER_BITS))
