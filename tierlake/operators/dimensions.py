@@ -108,17 +108,33 @@ def _changed(
     return compared.filter(changed).select(*[quoted(name) for name in hashed.columns])
 
 
+def _timed(dimension: Dimension, names: Sequence[str]) -> list[str]:
+    """The names with that of the time column as it is in a version."""
+    return ["valid_from" if name == dimension.valid_from else name for name in names]
+
+
+def version_keys(dimension: Dimension) -> list[str]:
+    """The business key's columns in a version."""
+    return _timed(dimension, dimension.business_key)
+
+
+def version_rows(frame: DataFrame, dimension: Dimension) -> DataFrame:
+    """The rows that versions are made of: the configured columns, the time named ``valid_from``."""
+    return members(frame, dimension).withColumnRenamed(dimension.valid_from, "valid_from")
+
+
 def versions(frame: DataFrame, dimension: Dimension, slots: int | None = None) -> DataFrame:
+    """Type 2 from the rows of a frame; see ``build_versions``."""
+    return build_versions(version_rows(frame, dimension), dimension, slots)
+
+
+def build_versions(rows: DataFrame, dimension: Dimension, slots: int | None = None) -> DataFrame:
     """Type 2: one row per version, valid from its time until one microsecond before the next version.
 
     The last version of a key has no end and is current. Versions with one and the same start are ordered by hash; all
     but the last of them end before they start. A NULL start sorts last and has no end either.
     """
-    rows = members(frame, dimension).withColumnRenamed(dimension.valid_from, "valid_from")
-    keys = ["valid_from" if name == dimension.valid_from else name for name in dimension.business_key]
-    tracked = [
-        "valid_from" if name == dimension.valid_from else name for name in (dimension.tracked or dimension.business_key)
-    ]
+    keys, tracked = version_keys(dimension), _timed(dimension, dimension.tracked or dimension.business_key)
     if dimension.detect == "changes":
         found = _changed(rows, keys, tracked, dimension.null_token, slots)
     else:

@@ -28,6 +28,7 @@ from tierlake.sources.paged import TransientError
 from tierlake.sources.readers import read_files, read_source
 from tierlake.sources.staging import new_folder, stage
 from tierlake.sources.storage import batch_path, between, has_parquet, latest_batch, read_bronze, write_jsonl
+from tierlake.plans.merge import merge_dimension, read_dimension
 from tierlake.sources.versions import read_current, replace_dataset
 from tierlake.streaming.quality_stream import start_quality_stream, text_stream
 
@@ -557,6 +558,17 @@ def dim_scd2(spark: SparkSession, folder: str) -> DataFrame:
     return build_dimension(table(spark, folder, "events"), USER_TYPE)
 
 
+@registered("with {} select * from user_versions".format(USER_VERSIONS))
+def dim_scd2_merged(spark: SparkSession, folder: str) -> DataFrame:
+    """Three batches of events, the middle of the time first and the newest before the oldest, merged one after the other."""
+    path = new_folder(spark, "merged")
+    third = F.floor(F.dayofmonth("ts") / 11)
+    events = table(spark, folder, "events")
+    for part in (1, 2, 0):
+        merge_dimension(events.filter(third == part), USER_TYPE, path, 8)
+    return read_dimension(spark, path)
+
+
 @registered("with {} select * from user_versions".format(USER_VERSIONS))
 def dim_scd2_hot_keys(spark: SparkSession, folder: str) -> DataFrame:
     return build_dimension(table(spark, folder, "events"), USER_TYPE, MANY_SLOTS)
