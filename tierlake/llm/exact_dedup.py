@@ -231,10 +231,9 @@ def drop_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", filter
     rows = whole_rows(docs, own=F.col(key), mark=digest)
     marked = mark_probable(rows, F.col("mark"), kept.select("digest"), filter_bits, "suspect")
     asked = marked.filter("suspect").join(kept, F.col("mark") == F.col("digest"), "left")
-    # by digest, not by the mark: Spark 4.1 can fail on unions of equally partitioned frames
-    first = asked.filter("digest is not null and own <=> keep").dropDuplicates(["digest"])
-    alone = asked.filter("digest is null")
-    return unpacked(marked.filter("not suspect").select("row").unionByName(alone.select("row")).unionByName(first.select("row")))
+    # texts marked in vain have no copy, so that one row of each mark is all of them
+    first = asked.filter("digest is null or own <=> keep").dropDuplicates(["mark"]).select("row")
+    return unpacked(marked.filter("not suspect").select("row").unionByName(first))
 
 
 def columns_of(frame: DataFrame) -> list[Column]:
