@@ -1,12 +1,13 @@
 """Near duplicates: a blocked sparse product of the document by n-gram incidence matrix.
 
 Rows of the matrix are documents, columns the hashed word n-grams. Two rows of n and m entries are linked if they share at
-least ``need(n, m)`` columns, so they differ in at most ``d`` entries, and ``d`` follows from the sizes alone.
+least ``need(n, m)`` columns, which follows from the sizes alone.
 
-1. Column blocks. Cut the columns into more than ``d`` blocks by hash range: linked rows agree wholly on at least one block.
-   Every row sends a 64-bit value of each of its blocks to an owner; rows that agree on one become neighbours of the one
-   with the smallest key (a star, never all pairs), and connected neighbours form a row block. A passage shared by many
-   documents fills no whole column block of theirs, so it doesn't draw them together.
+1. Candidates. All rows order their columns alike, by how often the columns occur, rarest first; linked rows then have one of
+   the first ``n - need + 1`` of each in common (about a fifth of a row at 0.8). A row sends these columns only, to owners by
+   hash; rows that share one become neighbours of the one with the smallest key (a star, never all pairs), and connected
+   neighbours form a row block. A passage shared by many documents is common, so it comes last and draws none together.
+   Any common order is right; this one is of counts over all documents in ``COUNT_CELLS`` hashed cells, whose size is fixed.
 2. Product. Rows of one row block are multiplied with each other. A row's rarest columns come first: partners they don't
    reach, or whose size is out of range, stay below the bound and are discarded; for the rest overlaps are added up and
    compared with the bound. Rows already in the largest group of links needn't be multiplied once all others have been.
@@ -25,6 +26,7 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -35,7 +37,11 @@ from tierlake.sources.staging import stage
 
 SEND_SHINGLES = 1 << 21
 TILE_SHINGLES = 1 << 21
-_SENT = "owner int, row_id long, n long, a long, b long, blocks binary, rows binary"
+COUNT_CELLS = 1 << 22
+CELL_RUN = 1 << 14
+COUNT_FAN_IN = 512
+_COUNTS = "run long, part long, counts binary"
+_SENT = "owner int, row_id long, n long, a long, b long, blocks binary, rows binary, places binary"
 _MET = "row_id long, n long, a long, b long"
 _SETS = "root long, tile int, tiles int, probe boolean, row_id long, columns binary"
 _LINKS = "a long, b long"
@@ -47,64 +53,75 @@ def need(n: np.ndarray, m: np.ndarray, percent: int) -> np.ndarray:
 
 
 @cache
-def bands(percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Size bands: lowest size, most differing entries of a pair whose smaller row is in the band, number of column blocks.
-
-    A linked pair lies in one band or in two neighbouring ones.
-    """
+def bands(percent: int) -> np.ndarray:
+    """Lowest sizes of the size bands: a linked pair lies in one band or in two neighbouring ones."""
     low = [1]
     while low[-1] < 1 << 40:
         low.append(low[-1] * 100 // percent + 1)
-    low = np.array(low)
-    small = low[1:] - 1
-    both = small + small * 100 // percent
-    differ = (100 - percent) * both // (100 + percent)
-    blocks = differ + 1 + -(-8 * (differ + 1) // 100) + 2
-    return low[:-1], differ, blocks
-
-
-def block_values(rows: np.ndarray, values: np.ndarray, sizes: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """(row, 64-bit value of a column block) of sorted sets: what linked rows have at least one of in common."""
-    low, differ, blocks = bands(percent)
-    own = np.searchsorted(low, sizes, side="right") - 1
-    start = np.cumsum(sizes) - sizes
-    found_rows, found = [], []
-    filled = np.flatnonzero(sizes > 0)
-    sums = np.concatenate([[np.uint64(0)], np.cumsum(mix(values), dtype=np.uint64)])
-    # the whole set: equal sets meet
-    whole = sums[start + sizes] - sums[start]
-    found_rows.append(filled)
-    found.append(mix(whole[filled] + np.uint64(0x51ED270B)))
-    for band in (own, own - 1):
-        cut = np.where((band >= 0) & (sizes > 0), blocks[band], 0)
-        cut[differ[band] == 0] = 0
-        used = cut[rows] > 0
-        if not used.any():
-            continue
-        row, value = rows[used], values[used]
-        position = np.flatnonzero(used)
-        part = ((value >> np.uint64(32)) * cut[row].astype(np.uint64)) >> np.uint64(32)
-        fresh = np.ones(row.size, dtype=bool)
-        fresh[1:] = (row[1:] != row[:-1]) | (part[1:] != part[:-1])
-        first = np.flatnonzero(fresh)
-        length = np.diff(first, append=row.size)
-        block_row, block_part = row[first], part[first]
-        begin = position[first]
-        total = sums[begin + length] - sums[begin]
-        allowed = cut - differ[band] - 1
-        strong = np.bincount(block_row[length > 1], minlength=sizes.size)
-        some = np.bincount(block_row, minlength=sizes.size)
-        takes_single = cut - strong > allowed
-        takes_empty = (cut - some > allowed) & (cut > 0)
-        sent = (length > 1) | takes_single[block_row]
-        salt = band.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-        found_rows.append(block_row[sent])
-        found.append(mix(total[sent] + mix(block_part[sent] + salt[block_row[sent]])))
-        for one in np.flatnonzero(takes_empty):
-            absent = np.setdiff1d(np.arange(cut[one], dtype=np.uint64), block_part[block_row == one])
-            found_rows.append(np.full(absent.size, one))
-            found.append(mix(mix(absent + salt[one])))
-    return np.concatenate(found_rows), np.concatenate(found)
+    return np.array(low[:-1])
+
+
+def _cells(values: np.ndarray, cells: int) -> np.ndarray:
+    """The cell in which a column is counted."""
+    return ((mix(values) >> np.uint64(32)) % np.uint64(cells)).astype(np.int64)
+
+
+def block_values(
+    rows: np.ndarray, values: np.ndarray, sizes: np.ndarray, percent: int, levels: np.ndarray | None = None
+) -> tuple[np.ndarray, np.ndarray]:
+    """(row, column) of the rarest columns of sorted sets: what linked rows have at least one of in common.
+
+    ``levels``: how common the columns of each cell are; without it columns are ordered by their hash alone.
+    """
+    rank = np.zeros(values.size, dtype=np.uint8) if levels is None else levels[_cells(values, levels.size)]
+    order = np.lexsort((values, rank, rows))
+    sent = np.where(sizes > 0, sizes - need(sizes, -(-percent * sizes // 100), percent) + 1, 0)
+    position = np.arange(values.size) - (np.cumsum(sizes) - sizes)[rows]
+    order = order[position < sent[rows]]
+    return rows[order], values[order]
+
+
+def _count(size: int, cells: int):
+    """Every task's counts of columns, in runs of ``CELL_RUN`` cells; each byte of the counts apart, as most are zero."""
+
+    def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = np.zeros(cells, dtype=np.uint64)
+        for batch in batches:
+            for _, offsets, content in text_slices(batch.column(0)):
+                _, values = distinct_sorted(*shingles(offsets, content, size))
+                table += np.bincount(_cells(values, cells), minlength=cells).astype(np.uint64)
+        runs = table.reshape(-1, min(cells, CELL_RUN))
+        some = np.flatnonzero(runs.any(axis=1))
+        part = TaskContext.get().partitionId() // COUNT_FAN_IN
+        yield _rows(some.size, _COUNTS, run=some, part=np.full(some.size, part), counts=[_planes(runs[i]) for i in some])
+
+    return count
+
+
+def _planes(counts: np.ndarray) -> bytes:
+    return np.ascontiguousarray(counts.view(np.uint8).reshape(-1, 8).T).tobytes()
+
+
+def _counts(planes: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(planes, dtype=np.uint8).reshape(8, -1).T).view(np.uint64).ravel()
+
+
+def _add(table: pa.Table) -> pa.Table:
+    """The sum of one run's counts."""
+    total = sum(_counts(planes.as_py()) for planes in table.column("counts"))
+    return pa.Table.from_batches([_rows(1, _COUNTS, run=[table.column("run")[0].as_py()], part=[0], counts=[_planes(total)])])
+
+
+def column_levels(bodies: DataFrame, size: int, cells: int) -> np.ndarray:
+    """How common the columns of each cell are, over all texts of ``bodies`` (one column): a byte for each of ``cells``."""
+    counted = bodies.mapInArrow(_count(size, cells), _COUNTS).groupBy("run", "part").applyInArrow(_add, _COUNTS)
+    summed = counted.groupBy("run").applyInArrow(_add, _COUNTS)
+    width = min(cells, CELL_RUN)
+    levels = np.zeros(cells, dtype=np.uint8)
+    for row in summed.select("run", "counts").toLocalIterator():
+        steps = np.log2(1.0 + _counts(bytes(row["counts"])).astype(float)) * 8
+        levels[row["run"] * width : (row["run"] + 1) * width] = np.minimum(steps, 255).astype(np.uint8)
+    return levels
 
 
 def _stars(values: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -129,18 +146,25 @@ def _rows(size: int, schema: str, **columns) -> pa.RecordBatch:
 
 
 def _packets(value: np.ndarray, centre: np.ndarray, a: np.ndarray, b: np.ndarray, owners: int) -> Iterator[pa.RecordBatch]:
-    """Pairs found by a sender, and its sorted values with a row for each, cut among the owners."""
+    """Pairs found by a sender, and its sorted values with a row for each (a place in a list of rows), cut among the owners."""
     if a.size:
         yield _rows(a.size, _SENT, owner=(a % owners).astype(np.int32), a=a, b=b)
     owner = ((value >> np.uint64(32)) * np.uint64(owners)) >> np.uint64(32)
     bounds = np.searchsorted(owner, np.arange(owners + 1))
     some = np.flatnonzero(np.diff(bounds))
     spans = [(bounds[o], bounds[o + 1]) for o in some]
-    blocks, rows = [value[i:j].tobytes() for i, j in spans], [centre[i:j].tobytes() for i, j in spans]
-    yield _rows(some.size, _SENT, owner=some.astype(np.int32), blocks=blocks, rows=rows)
+    named = [np.unique(centre[i:j], return_inverse=True) for i, j in spans]
+    yield _rows(
+        some.size,
+        _SENT,
+        owner=some.astype(np.int32),
+        blocks=[value[i:j].tobytes() for i, j in spans],
+        rows=[ids.tobytes() for ids, _ in named],
+        places=[at.astype(np.uint16 if ids.size <= 1 << 16 else np.uint32).tobytes() for ids, at in named],
+    )
 
 
-def _send(owners: int, size: int, percent: int, limit: int):
+def _send(owners: int, size: int, percent: int, limit: int, levels: np.ndarray):
     def send(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []  # ids, sizes, values in row order
 
@@ -148,7 +172,7 @@ def _send(owners: int, size: int, percent: int, limit: int):
             ids, sizes, values = (np.concatenate(part) for part in zip(*held, strict=True))
             held.clear()
             rows = np.repeat(np.arange(ids.size), sizes)
-            row, value = block_values(rows, values, sizes, percent)
+            row, value = block_values(rows, values, sizes, percent, levels)
             value, centre, a, b = _stars(value, ids[row])
             yield from _packets(value, centre, a, b, owners)
 
@@ -175,13 +199,16 @@ def _send(owners: int, size: int, percent: int, limit: int):
 
 
 def _meet(table: pa.Table) -> pa.Table:
-    """One owner: pass documents and pairs on, and pair what agrees on a column block."""
+    """One owner: pass documents and pairs on, and pair what shares a column."""
     kept = table.select(["row_id", "n", "a", "b"]).filter(table.column("blocks").is_null())
     packets = table.filter(table.column("blocks").is_valid())
     values = [np.frombuffer(p, dtype=np.uint64) for p in packets.column("blocks").to_pylist()]
-    ids = [np.frombuffer(p, dtype=np.int64) for p in packets.column("rows").to_pylist()]
     if not values:
         return kept
+    ids = []
+    for rows, places in zip(packets.column("rows").to_pylist(), packets.column("places").to_pylist(), strict=True):
+        rows = np.frombuffer(rows, dtype=np.int64)
+        ids.append(rows[np.frombuffer(places, dtype=np.uint16 if rows.size <= 1 << 16 else np.uint32)])
     _, _, a, b = _stars(np.concatenate(values), np.concatenate(ids))
     return pa.concat_tables([kept.cast(pa.Table.from_batches([_rows(0, _MET)]).schema), pa.Table.from_batches([_rows(a.size, _MET, a=a, b=b)])])
 
@@ -308,6 +335,7 @@ def near_groups(
     send_shingles: int = SEND_SHINGLES,
     tile_shingles: int = TILE_SHINGLES,
     filter_bits: int = FILTER_BITS,
+    count_cells: int = COUNT_CELLS,
 ) -> DataFrame:
     """One row per document: ``row_id``, ``n_shingles`` (distinct word n-grams) and ``component_id``.
 
@@ -317,7 +345,8 @@ def near_groups(
     without a key can't be named by a link: it is returned with its size and a null component. An empty table gives no rows.
     """
     rows = docs.select(F.col(key).cast("long").alias("row_id"), F.col(text).cast("string").alias("body"))
-    send = _send(owners or shuffle_width(docs), words, percent, send_shingles)
+    levels = column_levels(rows.select("body"), words, count_cells)
+    send = _send(owners or shuffle_width(docs), words, percent, send_shingles, levels)
     met = stage(rows.mapInArrow(send, _SENT).groupBy("owner").applyInArrow(_meet, _MET), "met")
     sizes = met.filter("a is null").select("row_id", "n")
     stars = components(met.filter("a is not null").select("a", "b"))
@@ -369,7 +398,7 @@ def _place(inside: DataFrame, tile_shingles: int) -> DataFrame:
 
 def _by_size(inside: DataFrame, percent: int) -> DataFrame:
     """Parts of row blocks: each row with those of its own size band and of the band below."""
-    low = [int(n) for n in bands(percent)[0]]
+    low = [int(n) for n in bands(percent)]
     band = F.size(F.filter(F.lit(low), lambda n: n <= F.col("n")))
     parts = inside.withColumn("band", F.explode(F.array(band, band - 1)))
     return parts.select("row_id", F.xxhash64("root", "band").alias("root"), "n")
