@@ -5,7 +5,7 @@ from __future__ import annotations
 import hashlib
 import random
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 from test_packed import plain_shingles
 from tierlake.llm.components import components
 from tierlake.llm.exact_dedup import drop_copies, exact_groups
-from tierlake.llm.near_dedup import block_values, drop_near_copies, link_rows, near_groups, need
+from tierlake.llm.common import shingles
+from tierlake.llm.near_dedup import CELL_BITS, COMMON, _cells, block_values, common_columns, drop_near_copies, link_rows, near_groups, need
 
 
 def plain_groups(docs):
@@ -128,7 +129,11 @@ def near_corpus():
 
 
 @pytest.mark.parametrize(
-    ("words", "percent", "options"), [(4, 85, {}), (5, 80, {"tile_shingles": 600, "send_shingles": 300, "owners": 3, "filter_bits": 64})]
+    ("words", "percent", "options"), [
+        (4, 85, {}),
+        (5, 80, {"tile_shingles": 600, "send_shingles": 300, "owners": 3, "filter_bits": 64}),
+        (5, 80, {"send_shingles": 300, "owners": 40, "table_bits": 10}),
+    ],
 )
 def test_components_equal_brute_force(spark, near_corpus, words, percent, options):
     frame = spark.createDataFrame(near_corpus, "doc_id long, text string").repartition(5)
@@ -157,6 +162,28 @@ def test_linked_sets_meet_on_a_column_block():
     assert met > 100
 
 
+def test_common_columns_are_counted_over_all_texts(spark):
+    texts = ["x{} y{} ".format(i // 2, i // 2) + ("p q r s t" if i % 3 else "") for i in range(90)] + [None, "", " "]
+    frame = spark.createDataFrame([(t,) for t in texts], "body string").repartition(6)
+    counts = Counter(g for t in texts for g in set(plain_shingles(t, 2)))
+    hashed = {}
+    for gram in counts:
+        data = " ".join(gram).encode() if isinstance(gram, tuple) else gram.encode()
+        _, value = shingles(np.array([0, len(data)]), np.frombuffer(data, dtype=np.uint8), 2)
+        hashed[gram] = value
+    for owners, limit in ((1, 7), (500, 1 << 20)):
+        tables = dict(common_columns(frame, 2, owners, limit, 24))
+        assert set(tables) == {n for n in COMMON if n <= max(counts.values())}
+        for gram, value in hashed.items():
+            for least, bits in tables.items():
+                at = int(_cells(value)[0]) >> (CELL_BITS - (bits.size * 8).bit_length() + 1)
+                marked = bool(bits[at >> 3] >> (at & 7) & 1)
+                assert marked or counts[gram] < least
+        assert all(8 * b.size >= 8 * sum(c >= n for c in counts.values()) for n, b in tables.items())
+    few = common_columns(frame, 2, 1, 1 << 20, 8)
+    assert few and few[0][0] > 2 and all(8 * bits.size <= 1 << 8 for _, bits in few)
+
+
 def test_product_links_are_complete():
     rng = random.Random(5)
     for _ in range(40):

@@ -7,7 +7,8 @@ least ``need(n, m)`` columns, which follows from the sizes alone.
    the first ``n - need + 1`` of each in common (about a fifth of a row at 0.8). A row sends these columns only, to owners by
    hash; rows that share one become neighbours of the one with the smallest key (a star, never all pairs), and connected
    neighbours form a row block. A passage shared by many documents is common, so it comes last and draws none together.
-   Any common order is right; this one is of counts over all documents in ``COUNT_CELLS`` hashed cells, whose size is fixed.
+   Any common order is right; this one is of counts over all documents, exchanged as Golomb-coded lists of fingerprints and
+   returned as bit tables of bounded size.
 2. Product. Rows of one row block are multiplied with each other. A row's rarest columns come first: partners they don't
    reach, or whose size is out of range, stay below the bound and are discarded; for the rest overlaps are added up and
    compared with the bound. Rows already in the largest group of links needn't be multiplied once all others have been.
@@ -26,21 +27,23 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tierlake.llm.common import distinct_sorted, mark_probable, mix, packed, shingles, shuffle_width, text_slices
 from tierlake.llm.components import components
-from tierlake.llm.exact_dedup import FILTER_BITS, keep_first, whole_rows
+from tierlake.llm.exact_dedup import FILTER_BITS, golomb_decode, golomb_encode, keep_first, whole_rows
 from tierlake.sources.staging import stage
 
 SEND_SHINGLES = 1 << 21
 TILE_SHINGLES = 1 << 21
-COUNT_CELLS = 1 << 22
-CELL_RUN = 1 << 14
-COUNT_FAN_IN = 512
-_COUNTS = "run long, part long, counts binary"
+CELL_BITS = 36
+TABLE_BITS = 28
+COMMON = [2, 4, 16, 64, 256, 1024]
+Tables = tuple[tuple[int, np.ndarray], ...]
+_LISTS = "run long, cells binary, more binary"
+_RUNS = "run long, least long, n long, cells binary"
+_BITS = "run long, bits binary"
 _SENT = "owner int, row_id long, n long, a long, b long, blocks binary, rows binary, places binary"
 _MET = "row_id long, n long, a long, b long"
 _SETS = "root long, tile int, tiles int, probe boolean, row_id long, columns binary"
@@ -61,67 +64,124 @@ def bands(percent: int) -> np.ndarray:
     return np.array(low[:-1])
 
 
-def _cells(values: np.ndarray, cells: int) -> np.ndarray:
-    """The cell in which a column is counted."""
-    return ((mix(values) >> np.uint64(32)) % np.uint64(cells)).astype(np.int64)
+def _cells(values: np.ndarray) -> np.ndarray:
+    """The fingerprint of ``CELL_BITS`` bits by which a column is counted."""
+    return mix(values) >> np.uint64(64 - CELL_BITS)
 
 
 def block_values(
-    rows: np.ndarray, values: np.ndarray, sizes: np.ndarray, percent: int, levels: np.ndarray | None = None
+    rows: np.ndarray, values: np.ndarray, sizes: np.ndarray, percent: int, tables: Tables = ()
 ) -> tuple[np.ndarray, np.ndarray]:
     """(row, column) of the rarest columns of sorted sets: what linked rows have at least one of in common.
 
-    ``levels``: how common the columns of each cell are; without it columns are ordered by their hash alone.
+    ``tables`` are those of ``common_columns``; without them columns are ordered by their hash alone. A column that surely
+    occurs once takes its place among the rarest and is left out.
     """
-    rank = np.zeros(values.size, dtype=np.uint8) if levels is None else levels[_cells(values, levels.size)]
+    cells = _cells(values)
+    rank = np.zeros(values.size, dtype=np.uint8)
+    for _, bits in tables:
+        at = cells >> np.uint64(CELL_BITS - (bits.size * 8).bit_length() + 1)
+        rank += (bits[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & np.uint8(1)
     order = np.lexsort((values, rank, rows))
     sent = np.where(sizes > 0, sizes - need(sizes, -(-percent * sizes // 100), percent) + 1, 0)
     position = np.arange(values.size) - (np.cumsum(sizes) - sizes)[rows]
     order = order[position < sent[rows]]
+    if tables and tables[0][0] == 2:
+        order = order[rank[order] > 0]
     return rows[order], values[order]
 
 
-def _count(size: int, cells: int):
-    """Every task's counts of columns, in runs of ``CELL_RUN`` cells; each byte of the counts apart, as most are zero."""
+def _count(size: int, run_bits: int, limit: int):
+    """Lists of the columns of about ``limit`` entries: Golomb-coded fingerprints, cut by range, and counts above one."""
+
+    def lists(held: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        cells, counts = np.unique(np.concatenate(held), return_counts=True)
+        held.clear()
+        bounds = np.searchsorted(cells >> np.uint64(CELL_BITS - run_bits), np.arange((1 << run_bits) + 1))
+        some = np.flatnonzero(np.diff(bounds))
+        inside = cells & np.uint64((1 << (CELL_BITS - run_bits)) - 1)
+        packets, more = [], []
+        for run in some:
+            part = slice(bounds[run], bounds[run + 1])
+            packets.append(golomb_encode(inside[part]))
+            at = np.flatnonzero(counts[part] > 1)
+            more.append(np.stack([at, counts[part][at]]).astype(np.int64).tobytes())
+        yield _rows(some.size, _LISTS, run=some, cells=packets, more=more)
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = np.zeros(cells, dtype=np.uint64)
+        held, total = [], 0
         for batch in batches:
             for _, offsets, content in text_slices(batch.column(0)):
                 _, values = distinct_sorted(*shingles(offsets, content, size))
-                table += np.bincount(_cells(values, cells), minlength=cells).astype(np.uint64)
-        runs = table.reshape(-1, min(cells, CELL_RUN))
-        some = np.flatnonzero(runs.any(axis=1))
-        part = TaskContext.get().partitionId() // COUNT_FAN_IN
-        yield _rows(some.size, _COUNTS, run=some, part=np.full(some.size, part), counts=[_planes(runs[i]) for i in some])
+                held.append(_cells(values))
+                total += values.size
+                if total >= limit:
+                    yield from lists(held)
+                    total = 0
+        if held:
+            yield from lists(held)
 
     return count
 
 
-def _planes(counts: np.ndarray) -> bytes:
-    return np.ascontiguousarray(counts.view(np.uint8).reshape(-1, 8).T).tobytes()
+def _common(table: pa.Table) -> pa.Table:
+    """One range of fingerprints: those that occur ``COMMON`` times or more, each threshold a list."""
+    cells, counts = [], []
+    for packet, more in zip(table.column("cells"), table.column("more"), strict=True):
+        cells.append(golomb_decode(packet.as_py()))
+        counts.append(np.ones(cells[-1].size, dtype=np.int64))
+        at, count = np.frombuffer(more.as_py(), dtype=np.int64).reshape(2, -1)
+        counts[-1][at] = count
+    cells, counts = np.concatenate(cells), np.concatenate(counts)
+    order = np.argsort(cells)
+    cells, counts = cells[order], counts[order]
+    first = np.flatnonzero(np.diff(cells, prepend=~cells[:1]) != 0)
+    cells, counts = cells[first], np.add.reduceat(counts, first) if first.size else counts[:0]
+    found = [cells[counts >= least] for least in COMMON]
+    run = table.column("run")[0].as_py()
+    batch = _rows(
+        len(COMMON), _RUNS, run=[run] * len(COMMON), least=COMMON, n=[f.size for f in found], cells=[golomb_encode(f) for f in found]
+    )
+    return pa.Table.from_batches([batch])
+
 
+def _bits(run_bits: int, table_bits: int):
+    """The part of a bit table that a range's fingerprints fill."""
 
-def _counts(planes: bytes) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(planes, dtype=np.uint8).reshape(8, -1).T).view(np.uint64).ravel()
+    def bits(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            filled = []
+            for packet in batch.column("cells"):
+                marks = np.zeros(1 << (table_bits - run_bits), dtype=np.uint8)
+                marks[golomb_decode(packet.as_py()) >> np.uint64(CELL_BITS - table_bits)] = 1
+                filled.append(np.packbits(marks, bitorder="little").tobytes())
+            yield _rows(batch.num_rows, _BITS, run=batch.column("run"), bits=filled)
 
+    return bits
 
-def _add(table: pa.Table) -> pa.Table:
-    """The sum of one run's counts."""
-    total = sum(_counts(planes.as_py()) for planes in table.column("counts"))
-    return pa.Table.from_batches([_rows(1, _COUNTS, run=[table.column("run")[0].as_py()], part=[0], counts=[_planes(total)])])
 
+def common_columns(bodies: DataFrame, size: int, owners: int, limit: int, table_bits: int) -> Tables:
+    """Bit tables of the columns that occur in at least 2, 4, 16, ... of all texts of ``bodies`` (one column).
 
-def column_levels(bodies: DataFrame, size: int, cells: int) -> np.ndarray:
-    """How common the columns of each cell are, over all texts of ``bodies`` (one column): a byte for each of ``cells``."""
-    counted = bodies.mapInArrow(_count(size, cells), _COUNTS).groupBy("run", "part").applyInArrow(_add, _COUNTS)
-    summed = counted.groupBy("run").applyInArrow(_add, _COUNTS)
-    width = min(cells, CELL_RUN)
-    levels = np.zeros(cells, dtype=np.uint8)
-    for row in summed.select("run", "counts").toLocalIterator():
-        steps = np.log2(1.0 + _counts(bytes(row["counts"])).astype(float)) * 8
-        levels[row["run"] * width : (row["run"] + 1) * width] = np.minimum(steps, 255).astype(np.uint8)
-    return levels
+    Columns are counted exactly but for equal fingerprints. A table has eight bits or more for each of its columns; one that
+    would need more than 2 ** ``table_bits`` bits is left out: then columns below the next threshold count as equally rare,
+    which brings more rows together and changes no result. So what is broadcast has a fixed bound.
+    """
+    run_bits = min((8 * owners - 1).bit_length(), table_bits - 3)
+    lists = bodies.mapInArrow(_count(size, run_bits, limit), _LISTS)
+    counted = stage(lists.groupBy("run").applyInArrow(_common, _RUNS), "common-columns")
+    tables = []
+    for row in counted.groupBy("least").agg(F.sum("n").alias("n")).orderBy("least").collect():
+        wanted = max((8 * row["n"]).bit_length(), run_bits + 3)
+        if not row["n"] or wanted > table_bits:
+            continue
+        table = np.zeros(1 << (wanted - 3), dtype=np.uint8)
+        width = 1 << (wanted - 3 - run_bits)
+        parts = counted.filter((F.col("least") == row["least"]) & (F.col("n") > 0)).select("run", "cells")
+        for part in parts.mapInArrow(_bits(run_bits, wanted), _BITS).toLocalIterator():
+            table[part["run"] * width : (part["run"] + 1) * width] = np.frombuffer(bytes(part["bits"]), dtype=np.uint8)
+        tables.append((row["least"], table))
+    return tuple(tables)
 
 
 def _stars(values: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -164,7 +224,7 @@ def _packets(value: np.ndarray, centre: np.ndarray, a: np.ndarray, b: np.ndarray
     )
 
 
-def _send(owners: int, size: int, percent: int, limit: int, levels: np.ndarray):
+def _send(owners: int, size: int, percent: int, limit: int, tables: Tables):
     def send(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []  # ids, sizes, values in row order
 
@@ -172,7 +232,7 @@ def _send(owners: int, size: int, percent: int, limit: int, levels: np.ndarray):
             ids, sizes, values = (np.concatenate(part) for part in zip(*held, strict=True))
             held.clear()
             rows = np.repeat(np.arange(ids.size), sizes)
-            row, value = block_values(rows, values, sizes, percent, levels)
+            row, value = block_values(rows, values, sizes, percent, tables)
             value, centre, a, b = _stars(value, ids[row])
             yield from _packets(value, centre, a, b, owners)
 
@@ -335,7 +395,7 @@ def near_groups(
     send_shingles: int = SEND_SHINGLES,
     tile_shingles: int = TILE_SHINGLES,
     filter_bits: int = FILTER_BITS,
-    count_cells: int = COUNT_CELLS,
+    table_bits: int = TABLE_BITS,
 ) -> DataFrame:
     """One row per document: ``row_id``, ``n_shingles`` (distinct word n-grams) and ``component_id``.
 
@@ -345,8 +405,9 @@ def near_groups(
     without a key can't be named by a link: it is returned with its size and a null component. An empty table gives no rows.
     """
     rows = docs.select(F.col(key).cast("long").alias("row_id"), F.col(text).cast("string").alias("body"))
-    levels = column_levels(rows.select("body"), words, count_cells)
-    send = _send(owners or shuffle_width(docs), words, percent, send_shingles, levels)
+    owners = owners or shuffle_width(docs)
+    tables = common_columns(rows.select("body"), words, owners, send_shingles, table_bits)
+    send = _send(owners, words, percent, send_shingles, tables)
     met = stage(rows.mapInArrow(send, _SENT).groupBy("owner").applyInArrow(_meet, _MET), "met")
     sizes = met.filter("a is null").select("row_id", "n")
     stars = components(met.filter("a is not null").select("a", "b"))
