@@ -16,7 +16,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-SLICE_BYTES = 4_000_000
+SLICE_BYTES = 2_000_000
 SPACE = bytes(b"\x20\x09\x0a\x0b\x0c\x0d")
 #: All ASCII bytes but letters and digits.
 PUNCTUATION = bytes(b for b in range(128) if not chr(b).isalnum())
@@ -55,8 +55,8 @@ def _power_table(base: int, size: int) -> np.ndarray:
     return table[:size]
 
 
-def text_slices(texts: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """(first row, byte offsets starting at 0, bytes) of runs of texts of at most ``limit`` bytes, or of one longer text.
+def text_slices(texts: pa.Array, limit: int = SLICE_BYTES, most: int = 1 << 20) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(first row, byte offsets starting at 0, bytes) of runs of up to ``most`` texts of at most ``limit`` bytes, or of one longer text.
 
     A null counts as an empty text.
     """
@@ -69,7 +69,7 @@ def text_slices(texts: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int
     row = 0
     while row < len(texts):
         end = int(np.searchsorted(offsets, offsets[row] + limit, side="right")) - 1
-        end = min(max(end, row + 1), len(texts))
+        end = min(max(end, row + 1), row + most, len(texts))
         yield row, offsets[row : end + 1] - offsets[row], content[offsets[row] : offsets[end]]
         row = end
 

@@ -28,6 +28,7 @@ NEIGHBOURS = 25
 SHARPNESS = 4.0
 ACCEPT = 0.7
 _SLICE = 2_000_000
+_ROWS = 512  # a row of counts is of fixed size, however short its text
 
 
 #: Upper ends of the ranges into which a text's share of words that repeat the word before falls; a term stands for each.
@@ -126,7 +127,7 @@ def _leading(matrix: np.ndarray, dimensions: int, rounds: int = 10) -> np.ndarra
 def _counted(terms: int):
     def counted(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for first, offsets, content in text_slices(batch.column(1), _SLICE):
+            for first, offsets, content in text_slices(batch.column(1), _SLICE, _ROWS):
                 counts = np.minimum(term_counts(offsets, content, terms), 65535).astype("<u2")
                 part = batch.column(0).slice(first, counts.shape[0])
                 yield pa.RecordBatch.from_arrays([part, pa.array([c.tobytes() for c in counts], pa.binary())], names=["label", "counts"])
@@ -181,7 +182,7 @@ def score_quality(docs: DataFrame, model: Model, key: str = "doc_id", text: str
     def score(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = shared.value
         for batch in batches:
-            scores = [held.score(term_counts(o, c, terms)) for _, o, c in text_slices(batch.column(2), _SLICE)]
+            scores = [held.score(term_counts(o, c, terms)) for _, o, c in text_slices(batch.column(2), _SLICE, _ROWS)]
             values = np.concatenate(scores) if scores else np.empty(0)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(values, pa.float64()), pa.array((values >= accept).astype(np.int32))],
@@ -202,7 +203,7 @@ def drop_low_quality(docs: DataFrame, labels: DataFrame, key: str = "doc_id", te
         model = shared.value
         for batch in batches:
             texts = batch.column(at).cast(pa.large_string())
-            scores = [model.score(term_counts(o, c, model.idf.size)) for _, o, c in text_slices(texts, _SLICE)]
+            scores = [model.score(term_counts(o, c, model.idf.size)) for _, o, c in text_slices(texts, _SLICE, _ROWS)]
             if scores:
                 yield batch.filter(pa.array(np.concatenate(scores) >= reject_below))
 
