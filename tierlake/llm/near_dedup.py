@@ -35,7 +35,7 @@ from tierlake.llm.components import components
 from tierlake.llm.exact_dedup import FILTER_BITS, golomb_decode, golomb_encode, keep_first, whole_rows
 from tierlake.sources.staging import stage
 
-SEND_SHINGLES = 1 << 21
+SEND_SHINGLES = 1 << 20
 TILE_SHINGLES = 1 << 21
 CELL_BITS = 36
 TABLE_BITS = 28
