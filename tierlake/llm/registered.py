@@ -86,10 +86,11 @@ def op4_chat_format(spark: SparkSession, folder: str) -> DataFrame:
     r"""
     WITH RECURSIVE docs AS (
       SELECT doc_id, source, coalesce('s' || source, 'n') AS grp,
-             len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS n_tokens FROM documents),
-    src AS (SELECT grp, sum(n_tokens)::BIGINT AS tokens FROM docs GROUP BY grp HAVING sum(n_tokens) > 0),
+             len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS n_tokens,
+             md5(coalesce(text, '')) AS digest FROM documents),
+    src AS (SELECT grp, sum(n_tokens)::BIGINT AS tokens, count(*) AS n_rows FROM docs GROUP BY grp HAVING sum(n_tokens) > 0),
     lists AS (SELECT list(ln(tokens) - (SELECT max(ln(tokens)) FROM src)) AS ds, list(tokens) AS ts,
-                     0.998::DOUBLE * ln(count(*)) AS target, sum(tokens)::DOUBLE AS total FROM src),
+                     0.9999::DOUBLE * ln(count(*)) AS target, sum(tokens)::DOUBLE AS total FROM src),
     step(i, lo, hi, lo2, hi2) AS (  -- smallest points below the entropy, and within the repetitions
       SELECT 0, 0::BIGINT, 1073741824::BIGINT, 0::BIGINT, 1073741824::BIGINT
       UNION ALL
@@ -107,34 +108,29 @@ def op4_chat_format(spark: SparkSession, folder: str) -> DataFrame:
     exponent AS (
       SELECT greatest(CASE WHEN hi - 1 >= 1073741823 THEN 1073741824 ELSE hi - 1 END, hi2, 0) / 1073741824.0::DOUBLE AS a
       FROM step WHERE i = 32),
-    power AS (SELECT grp, tokens, exp(a * (ln(tokens) - (SELECT max(ln(tokens)) FROM src))) AS p FROM src, exponent),
-    quota AS (SELECT grp, tokens, round((SELECT total FROM lists) * p / (SELECT sum(p) FROM power))::BIGINT AS q FROM power),
-    plan AS (SELECT grp, q // tokens AS passes, q % tokens AS rest, ceil(tokens / 1048576.0)::BIGINT AS blocks FROM quota),
+    power AS (SELECT grp, tokens, n_rows, exp(a * (ln(tokens) - (SELECT max(ln(tokens)) FROM src))) AS p FROM src, exponent),
+    quota AS (SELECT grp, tokens, n_rows, round((SELECT total FROM lists) * p / (SELECT sum(p) FROM power))::BIGINT AS q FROM power),
+    plan AS (
+      SELECT grp, q // tokens AS passes, q % tokens AS rest, ceil(greatest(tokens / 1048576.0, n_rows / 65536.0))::BIGINT AS blocks
+      FROM quota),
     dealt AS (
-      SELECT d.*, passes, rest,
-             ('0x' || substr(md5('0|' || coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT % blocks AS block
+      SELECT d.*, passes, rest, coalesce(doc_id::VARCHAR, '') || '|' || digest AS own,
+             ('0x' || substr(md5('0|' || coalesce(doc_id::VARCHAR, '') || '|' || digest), 1, 8))::BIGINT % blocks AS block
       FROM docs d JOIN plan USING (grp)),
-    sizes AS (SELECT grp, passes, rest, block, sum(n_tokens) AS tokens FROM dealt GROUP BY ALL),
     placed AS (
-      SELECT *, sum(tokens) OVER (PARTITION BY grp ORDER BY md5('0|' || grp || '|' || passes || '|' || block), block
-                                  ROWS UNBOUNDED PRECEDING) AS upto FROM sizes),
-    tried AS (
-      SELECT d.*, upto <= p.rest AS whole, p.rest - upto + p.tokens AS room
-      FROM dealt d JOIN placed p USING (grp, block) WHERE upto - p.tokens < p.rest),
-    cut AS (
-      SELECT *, sum(n_tokens) OVER (PARTITION BY grp, block
-                  ORDER BY md5('0|' || passes || '|' || coalesce(doc_id::VARCHAR, '')), n_tokens ROWS UNBOUNDED PRECEDING) AS used
-      FROM tried WHERE NOT whole),
+      SELECT *, sum(n_tokens) OVER (PARTITION BY grp
+                  ORDER BY md5('0|' || grp || '|' || passes || '|' || block), block, md5('0|' || passes || '|' || own)
+                  ROWS UNBOUNDED PRECEDING) - n_tokens AS before FROM dealt),
     uses AS (
-      SELECT doc_id, source, grp, block, n_tokens, unnest(range(passes)) AS epoch FROM dealt
-      UNION ALL SELECT doc_id, source, grp, block, n_tokens, passes FROM tried WHERE whole
-      UNION ALL SELECT doc_id, source, grp, block, n_tokens, passes FROM cut WHERE used <= room)
+      SELECT doc_id, source, grp, block, n_tokens, own, unnest(range(passes)) AS epoch FROM dealt
+      UNION ALL SELECT doc_id, source, grp, block, n_tokens, own, passes FROM placed
+      WHERE before < rest AND (before + n_tokens <= rest OR 2 * (rest - before) >= n_tokens OR (passes = 0 AND before = 0)))
     SELECT doc_id, source, epoch::INTEGER AS epoch, block, n_tokens, md5('0|' || grp || '|' || epoch || '|' || block) AS mix_key,
-           md5('0|' || epoch || '|' || coalesce(doc_id::VARCHAR, '')) AS doc_key
+           md5('0|' || epoch || '|' || own) AS doc_key
     FROM uses""",
 )
 def op5_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
-    """The mixture of all sources at 99.8 % of the highest entropy, at most four uses of a source, budget: all tokens."""
+    """The mixture of all sources at 99.99 % of the highest entropy, at most four uses of a source, budget: all tokens."""
     return mix_sources(_table(spark, folder, "documents"))
 
 
