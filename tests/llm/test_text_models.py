@@ -12,7 +12,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from tierlake.llm.language import Parser, count_phrases, normalise, predict_language, suffix_automaton
+from tierlake.llm.language import Parser, count_phrases, equal_shares, learn_samples, normalise, predict_language, suffix_automaton
 from tierlake.llm.license_scan import NOTICES, bands_for, scan_licenses
 from tierlake.llm.quality import drop_low_quality, score_quality, train
 from tierlake.llm.token_counts import Counter, count_tokens, merged_length, read_merges
@@ -140,6 +140,30 @@ def test_phrases_are_the_greedy_parse(sample, texts):
     assert found.tolist() == [greedy_phrases(t, sample) for t in clean]
 
 
+def test_large_alphabets_take_little_memory(spark):
+    rng = random.Random(5)
+    letters = [chr(0x4E00 + i) for i in range(2500)]
+    sample = "".join(rng.choice(letters) for _ in range(16_000))
+    parser = Parser(sample)
+    assert parser.table.nbytes + parser.rare.nbytes + parser.rare_target.nbytes + parser.symbols.nbytes < 20_000_000
+    texts = [sample[i : i + 40] + "".join(rng.choice(letters) for _ in range(30)) + "a" + sample[-9:] for i in range(0, 3000, 300)]
+    points, bounds = normalise(texts)
+    assert count_phrases(points, bounds, [parser])[:, 0].tolist() == [greedy_phrases(t, sample) for t in texts]
+
+
+def test_samples_cover_whole_texts_in_equal_shares(spark):
+    assert equal_shares([5, 100, 100], 105) == 50 and equal_shares([3, 4], 100) == 4 and equal_shares([], 5) == 0
+    assert equal_shares([10, 10], 7) == 3
+    opening = "".join("header words all alike " for _ in range(200))
+    rows = [(i, opening + "".join("{} ".format("abcdefgh"[i % 8] * (3 + j % 5)) for j in range(4000)), "xx") for i in range(64)]
+    rows.append((1000, "short", "xx"))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    sample = learn_samples(docs, "doc_id", "text", "lang", 48, 16_000)["xx"]
+    assert 15_900 <= len(sample) <= 16_000
+    assert sample.count("header") * len("header words all alike ") < len(sample) / 2
+    assert sum(c * 3 in sample for c in "abcdefgh") == 8
+
+
 @needs_tables
 def test_language_on_held_out_rows(spark):
     docs = spark.read.parquet(str(FOLDER / "documents.parquet"))

@@ -2,11 +2,14 @@
 
 A suffix automaton per language accepts every substring of its sample. A text is cut into the longest phrases the automaton
 can follow; the language with the fewest phrases per character wins. As a table of transitions the automaton is a scan (a
-missing transition ends a phrase and begins the next at the root), so thousands of pieces of text are parsed in step.
+missing transition ends a phrase and begins the next at the root), so thousands of pieces of text are parsed in step. The
+table has a column for each of a sample's ``COMMON_LETTERS`` most frequent letters; transitions by other letters are looked up
+in a sorted list, so its size doesn't follow the alphabet.
 """
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterable, Iterator
 from functools import cache
 
@@ -18,9 +21,12 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tierlake.llm.common import in_draw
+from tierlake.sources.staging import stage
 
 SAMPLE_ROWS = 48
 SAMPLE_CHARS = 16_000
+SAMPLE_PIECE = 96
+COMMON_LETTERS = 63
 PIECE = 1024
 SLICE_CHARS = 2_000_000
 UNKNOWN = "und"
@@ -82,22 +88,31 @@ class Parser:
 
     def __init__(self, sample: str) -> None:
         moves = suffix_automaton(sample)
-        alphabet = {c: i for i, c in enumerate(sorted(moves[0]), 1)}
-        self.width = len(alphabet) + 1
+        often = Counter(sample)
+        alphabet = {c: i for i, c in enumerate(sorted(moves[0], key=lambda c: (-often[c], c)), 1)}
+        self.width, self.size = min(len(alphabet), COMMON_LETTERS) + 1, len(alphabet) + 1
         self.symbols = np.zeros(0x110000, dtype=np.int32)
         for letter, symbol in alphabet.items():
             self.symbols[ord(letter)] = symbol
         # odd entries: a phrase ends before this letter; a letter the sample lacks is a phrase of its own (the last state)
         alone = len(moves)
-        fresh = np.full(self.width, 2 * alone + 1, dtype=np.int32)
+        self.fresh = np.full(self.size, 2 * alone + 1, dtype=np.int32)
         for letter, state in moves[0].items():
-            fresh[alphabet[letter]] = 2 * state + 1
-        table = np.tile(fresh, (len(moves) + 1, 1))
-        table[0] = fresh - 1
+            self.fresh[alphabet[letter]] = 2 * state + 1
+        table = np.tile(self.fresh[: self.width], (len(moves) + 1, 1))
+        table[0] -= 1
+        rare = []
         for state, row in enumerate(moves):
             for letter, target in row.items():
-                table[state, alphabet[letter]] = 2 * target
+                symbol = alphabet[letter]
+                if symbol < self.width:
+                    table[state, symbol] = 2 * target
+                else:
+                    rare.append((state * self.size + symbol, 2 * target))
         self.table = table.ravel()
+        rare.sort()
+        self.rare = np.array([place for place, _ in rare], dtype=np.int64)
+        self.rare_target = np.array([target for _, target in rare], dtype=np.int32)
 
     def phrases(self, grid: np.ndarray, active: np.ndarray) -> np.ndarray:
         """Phrases of each column of ``grid`` (code points by step; in step t the first ``active[t]`` columns have text)."""
@@ -105,8 +120,19 @@ class Parser:
         state = np.zeros(grid.shape[1], dtype=np.int32)
         for step in range(grid.shape[0]):
             n = active[step]
-            at = (state[:n] >> 1) * self.width + self.symbols[grid[step, :n]]
-            state[:n] = moved = self.table[at]
+            symbol = self.symbols[grid[step, :n]]
+            if self.rare.size:
+                listed = np.flatnonzero(symbol >= self.width)
+                asked = symbol[listed]
+                place = (state[listed] >> 1).astype(np.int64) * self.size + asked
+                at = np.minimum(np.searchsorted(self.rare, place), self.rare.size - 1)
+                target = np.where(self.rare[at] == place, self.rare_target[at], self.fresh[asked])
+                symbol[listed] = 0
+                moved = self.table[(state[:n] >> 1) * self.width + symbol]
+                moved[listed] = target
+            else:
+                moved = self.table[(state[:n] >> 1) * self.width + symbol]
+            state[:n] = moved
             count[:n] += moved & 1
         return count
 
@@ -137,22 +163,50 @@ def held_out(key: Column) -> Column:
     return F.pmod(F.crc32(F.coalesce(key.cast("string"), F.lit("")).cast("binary")), F.lit(4)) == 2
 
 
+def _pieces(body: Column, key: Column, chars: int) -> Column:
+    """Up to about ``chars`` characters of a text: all of a short one, else pieces at hashed places, one in each equal stretch."""
+    count = -(-chars // SAMPLE_PIECE)
+    size = F.char_length(body)
+    place = lambda i: ((i + F.pmod(F.xxhash64(key, i), F.lit(1 << 20)) / float(1 << 20)) * (size - SAMPLE_PIECE) / count).cast("int") + 1
+    order = F.array_sort(F.transform(F.sequence(F.lit(0), F.lit(count - 1)), lambda i: F.struct(F.xxhash64(i, key).alias("h"), i.alias("i"))))
+    drawn = F.transform(order, lambda o: F.substring(body, place(o["i"]), F.lit(SAMPLE_PIECE)))
+    return F.when(size <= count * SAMPLE_PIECE, F.array(body)).otherwise(drawn)
+
+
+def equal_shares(sizes: list[int], total: int) -> int:
+    """The largest share for which all of ``min(size, share)`` together are at most ``total``."""
+    left = total
+    for nth, size in enumerate(sorted(sizes)):
+        share = left // (len(sizes) - nth)
+        if size > share:
+            return share
+        left -= size
+    return max(sizes, default=0)
+
+
 def learn_samples(docs: DataFrame, key: str, text: str, label: str, rows: int, chars: int) -> dict[str, str]:
-    """Normalised sample per language: at most ``rows`` rows not held out, chosen by key hash, and ``chars`` characters."""
+    """Normalised sample per language: at most ``rows`` rows not held out, chosen by key hash, and ``chars`` characters.
+
+    Every row has the same share of the characters (what a short text leaves goes to the others), in pieces of
+    ``SAMPLE_PIECE`` characters from hashed places all over the text.
+    """
     known = docs.select(F.col(key).cast("long").alias("row_id"), F.col(text).cast("string").alias("body"), F.col(label).cast("string").alias("label"))
     known = known.filter(F.col("label").isNotNull() & F.col("body").rlike("\\p{L}") & ~held_out(F.col("row_id")))
-    totals = known.groupBy("label").agg(F.count(F.lit(1)).alias("total"))  # a row per language, as the driver's samples
-    known = known.join(F.broadcast(totals), "label").filter(in_draw(F.col("row_id"), F.col("total"), rows))
+    # a row per language, as the driver's samples; stored, so that the planner knows its size
+    totals = stage(known.groupBy("label").agg(F.count(F.lit(1)).alias("total")), "languages")
+    known = known.join(totals, "label").filter(in_draw(F.col("row_id"), F.col("total"), rows))
     order = W.partitionBy("label").orderBy(F.xxhash64("row_id"), "row_id", "body")
     chosen = known.withColumn("nth", F.row_number().over(order)).filter(F.col("nth") <= rows)
-    share = max(1, 4 * chars // rows)
-    found: dict[str, list[str]] = {}
-    for row in chosen.select("label", "nth", F.substring("body", 1, share).alias("part")).orderBy("label", "nth").collect():
-        found.setdefault(row["label"], []).append(row["part"])
+    pieces = _pieces(F.col("body"), F.coalesce("row_id", F.lit(0)), max(SAMPLE_PIECE, 4 * chars // rows))
+    found: dict[str, list[np.ndarray]] = {}
+    for row in chosen.select("label", "nth", pieces.alias("pieces")).orderBy("label", "nth").collect():
+        points, _ = normalise([" ".join(row["pieces"]) + " "])
+        found.setdefault(row["label"], []).append(points)
     samples = {}
     for name, parts in found.items():
-        points, _ = normalise([p + " " for p in parts])
-        samples[name] = points[:chars].astype("<u4").tobytes().decode("utf-32-le", "replace")
+        share = equal_shares([p.size for p in parts], chars)
+        points = np.concatenate([p[:share] for p in parts])
+        samples[name] = points.astype("<u4").tobytes().decode("utf-32-le", "replace")
     return samples
 
 
@@ -181,7 +235,7 @@ def predict_language(
     The score is the runner-up's phrases over the sum of the winner's and the runner-up's, 1 with a single language. Ties go
     to the name that sorts first. Null texts, texts without letters, and all texts if nothing could be learned are ``und``
     with score 0. Repeated rows get the same result each; null labels aren't learned from; an empty table gives no rows. A
-    worker holds one table of at most ``2 * sample_chars`` states for each language.
+    worker holds one table of at most ``2 * sample_chars`` states and ``COMMON_LETTERS`` + 1 columns for each language.
     """
     samples = learn_samples(docs, key, text, label, sample_rows, sample_chars) if samples is None else samples
     names = sorted(samples)
