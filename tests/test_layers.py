@@ -1,6 +1,8 @@
 from __future__ import annotations
 
+import datetime as dt
 import json
+from collections import Counter
 from pathlib import Path
 
 import pytest
@@ -12,7 +14,7 @@ from tierlake.plans.jobs import run_all
 from tierlake.plans.layers import bronze_to_raw, func_to_gold, ingest, raw_to_tech, tech_to_func
 from tierlake.sources.catalog import mirror
 from tierlake.sources.versions import read_current
-from tierlake.sources.storage import batch_ids, path_exists
+from tierlake.sources.storage import batch_ids, path_exists, read_bronze
 from tierlake.streaming.quality_stream import start_quality_stream, text_stream
 from tierlake.operators.quality import ColumnRule
 
@@ -297,3 +299,26 @@ def test_quality_stream_lands_each_row_once(spark, root, tmp_path):
         stream = text_stream(spark, str(tmp_path / "drop"), ["id", "shop"])
         start_quality_stream(stream, rules, root + "tech", root + "reject", root + "ck").awaitTermination()
     assert spark.read.parquet(root + "tech").count() == 4 and spark.read.parquet(root + "reject").count() == 1
+
+
+def test_a_table_resumes_at_its_last_value(spark, root):
+    """Rows that tie with the last value land once each, however late they come; equal rows are counted."""
+    source = {"type": "table", "table": "growing_rows", "incremental_column": "at"}
+    config = configuration(root, "", source=source)
+    schema = "at timestamp_ntz, id int, text string, `odd name` double"
+    rows = lambda *items: [(dt.datetime(2024, 1, day, 3, 4, 5, 123456), i, text, 0.1) for day, i, text in items]
+    first = rows((1, 1, "a"), (2, 2, None), (2, 3, "c"), (2, 3, "c"))
+    steps = [
+        (first, 4),
+        (first, 0),
+        (first + rows((2, 4, "late"), (2, 3, "c"), (1, 9, "too late")), 2),
+        (first + rows((2, 4, "late"), (2, 3, "c"), (2, 5, "later"), (3, 6, "new")), 2),
+        (first + rows((2, 7, "past the mark"), (3, 6, "new"), (3, 6, "new"), (3, 8, None)), 2),
+    ]
+    landed = []
+    for number, (held, wanted) in enumerate(steps):
+        spark.createDataFrame(held, schema).repartition(3).createOrReplaceTempView("growing_rows")
+        run = ingest(spark, config, "2024010{}T000000Z".format(number + 1))
+        assert run.rows == wanted, number
+        landed += [(r["id"], r["text"]) for r in read_bronze(spark, run.path).collect()] if wanted else []
+    assert Counter(landed) == {("1", "a"): 1, ("2", None): 1, ("3", "c"): 3, ("4", "late"): 1, ("5", "later"): 1, ("6", "new"): 2, ("8", None): 1}

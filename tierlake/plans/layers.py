@@ -13,6 +13,7 @@ from datetime import datetime, timezone
 from typing import Any
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql.types import DataType, StructField, StructType
 
 from tierlake.config import PipelineConfig
 from tierlake.operators.dedup import deduplicate
@@ -20,13 +21,14 @@ from tierlake.operators.dimensions import build_dimension
 from tierlake.operators.facts import build_fact
 from tierlake.operators.quality import evaluate
 from tierlake.operators.transform import apply_commands, project
-from tierlake.plans.ledger import last_value, newest, note
+from tierlake.plans.ledger import landed_up_to, last_value, newest, note
 from tierlake.plans.monitoring import monitored
 from tierlake.sources.readers import is_lines, read_source
 from tierlake.sources.staging import stage, staged_for_now
 from tierlake.sources.storage import (
     BATCH_COLUMN,
     BATCH_FORMAT,
+    LINE_OPTIONS,
     batch_path,
     latest_batch,
     limit_files,
@@ -90,7 +92,16 @@ def _stale(spark: SparkSession, path: str, mode: str) -> bool:
 def _land(spark: SparkSession, config: PipelineConfig, batch_id: str, path: str) -> int:
     """Write one batch of a source that isn't a stream, note it and return its rows."""
     column = config.source.options.get("incremental_column") if config.source.type == "table" else None
-    frame = read_source(spark, config.source, last_value(spark, config) if column else None)
+    after = last_value(spark, config) if column else None
+    batches = landed_up_to(spark, config, after) if after is not None else []
+
+    def seen(kind: DataType) -> DataFrame:
+        """Lines that earlier batches hold of rows at the last value."""
+        lines = spark.read.text([batch_path(config.layout.bronze, name) for name in batches])
+        parsed = F.from_json("value", StructType([StructField(column, kind)]), LINE_OPTIONS)[column]
+        return lines.filter(parsed == F.lit(after).cast(kind)).select("value")
+
+    frame = read_source(spark, config.source, after, seen if batches else None)
     observation = Observation("rows-{}".format(uuid.uuid4().hex))
     measures = [F.count(F.lit(1)).alias("rows")]
     if column:

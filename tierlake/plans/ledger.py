@@ -56,3 +56,9 @@ def last_value(spark: SparkSession, config: PipelineConfig) -> str | None:
     """The value up to which the source's incremental column has been landed."""
     known = notes(spark, config).filter("step = 'ingest' and last_value is not null")
     return known.agg(F.max_by("last_value", "noted_at")).first()[0]
+
+
+def landed_up_to(spark: SparkSession, config: PipelineConfig, value: str) -> list[str]:
+    """Batches whose greatest value of the incremental column is this one: no other batch has rows with it."""
+    known = notes(spark, config).filter((F.col("step") == "ingest") & (F.col("last_value") == value) & (F.col("rows") > 0))
+    return sorted(row[0] for row in known.select("batch_id").distinct().collect())

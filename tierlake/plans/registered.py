@@ -6,13 +6,10 @@ the SQL engine that checks it.
 
 from __future__ import annotations
 
-import glob
-import json
-from collections.abc import Callable, Iterator, Mapping
+from collections.abc import Callable
 from dataclasses import replace
-from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tierlake.config import PipelineConfig, parse_config
 from tierlake.functions.scalars import blank_to_null, fill_null, hash_key, typed_cast
@@ -20,11 +17,11 @@ from tierlake.operators.dedup import Dedup, deduplicate
 from tierlake.operators.dimensions import Dimension, build_dimension
 from tierlake.operators.facts import DimensionJoin, Fact, build_fact, lookup_between, lookup_sorted
 from tierlake.operators.quality import ColumnRule, evaluate, split
+from tierlake.operators.ranking import rank
 from tierlake.operators.transform import Enrichment, Expression, Metric, OutputColumn, apply_commands, project
 from tierlake.plans.jobs import run_all
 from tierlake.plans.layers import StepResult, bronze_to_raw, func_to_gold, ingest, raw_to_tech, tech_to_func
 from tierlake.sources.catalog import mirror
-from tierlake.sources.paged import TransientError
 from tierlake.sources.readers import read_files, read_source
 from tierlake.sources.staging import new_folder, stage
 from tierlake.sources.storage import batch_path, between, has_parquet, latest_batch, read_bronze, write_jsonl
@@ -854,13 +851,21 @@ def page_slice(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "orders").orderBy("o_orderkey").offset(1000).limit(500)
 
 
-@registered("select * from orders order by o_orderkey offset 1000 limit 500")
+@registered(
+    "select * exclude (n) from (select *, row_number() over (order by o_orderkey) - 1 as n from orders) "
+    "where n >= (select count(*) * 9 // 10 from orders) and n < (select count(*) * 9 // 10 from orders) + 500"
+)
 def page_slice_deep(spark: SparkSession, folder: str) -> DataFrame:
-    """The same rows by their number in the order, as a page far into it is best asked for: by the key it begins at."""
-    orders = table(spark, folder, "orders")
-    first = orders.select("o_orderkey").orderBy("o_orderkey").offset(1000).limit(1)
-    start = first.first()
-    return orders.filter(F.col("o_orderkey") >= (start[0] if start else None)).orderBy("o_orderkey").limit(500)
+    """A page nine tenths into the table: only the slots it touches are read and numbered."""
+    ranking = rank(table(spark, folder, "orders"), ["o_orderkey"])
+    return ranking.page(ranking.size * 9 // 10, 500)
+
+
+@registered("select l_orderkey, l_linenumber, l_shipdate, row_number() over (order by l_shipdate, l_orderkey, l_linenumber) - 1 as place from lineitem")
+def rows_numbered(spark: SparkSession, folder: str) -> DataFrame:
+    """Every line's place in the order of shipping."""
+    lines = table(spark, folder, "lineitem").select("l_orderkey", "l_linenumber", "l_shipdate")
+    return rank(lines, ["l_shipdate", "l_orderkey", "l_linenumber"]).numbered("place")
 
 
 @registered(
@@ -870,71 +875,28 @@ def range_scan(spark: SparkSession, folder: str) -> DataFrame:
     return between(table(spark, folder, "events"), "ts", "2024-01-05T00:00:00", "2024-01-11T23:59:59")
 
 
-class StagedPages:
-    """Transport over JSON lines staged as one file per ``stored`` rows; fails once per page if asked to (``flaky``)."""
-
-    failed: set[int] = set()
-
-    def __init__(self, options: Mapping[str, str]) -> None:
-        self.options = options
-
-    def fetch(self, offset: int, limit: int) -> Iterator[Mapping[str, Any]]:
-        if self.options.get("flaky") == "true" and offset not in self.failed:
-            self.failed.add(offset)
-            raise TransientError("busy", 503)
-        size, found = int(self.options["page_size"]), []
-        for name in glob.glob("{}/page={}/*.txt".format(self.options["location"].removeprefix("file:"), offset // size)):
-            with open(name, encoding="utf-8") as lines:
-                found += [json.loads(line) for line in lines]
-        yield from sorted(found, key=lambda row: row["o_orderkey"])[:limit]
-
-
-def _paged(spark: SparkSession, folder: str, most: int, low: int | None = None, high: int | None = None, **options: str) -> PipelineConfig:
-    """A paged source over the orders of a key range, which a transport applies before it counts rows."""
-    orders = table(spark, folder, "orders")
-    size = 500
-    if low is not None:
-        options["filter"] = {"column": "o_orderkey", "start": str(low), "end": str(high)}
-        orders = orders.filter(F.col("o_orderkey").between(low, high))
-    path = new_folder(spark, "pages")
-    rank = F.row_number().over(Window.orderBy("o_orderkey")) - 1
-    paged = orders.withColumn("page", F.floor(rank / size)).withColumn("line", F.to_json(F.struct(*orders.columns)))
-    paged.select("page", "line").repartition("page").write.partitionBy("page").text(path)
-    source = {"type": "api", "provider": "tierlake.plans.registered:StagedPages", "location": path,
-              "pagination": {"page_size": size, "max_rows": most}, "readers": 3, **options}
-    return _config(spark, "paged", source)
-
-
-TEXT_ORDERS = """select cast(o_orderkey as string) as o_orderkey, cast(o_custkey as string) as o_custkey, o_orderstatus,
-    o_orderpriority from orders"""
-TEXT_COLUMNS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority"]
-
-
-@registered(TEXT_ORDERS)
+@registered("select *, (row_number() over (order by o_orderkey) - 1) // 500 as page from orders")
 def paged_source(spark: SparkSession, folder: str) -> DataFrame:
-    """All pages; the source ends far before ``max_rows``."""
-    config = _paged(spark, folder, 100_000_000, schema=", ".join(c + " string" for c in TEXT_COLUMNS))
-    return read_source(spark, config.source)
-
-
-@registered(TEXT_ORDERS)
-def paged_source_retry(spark: SparkSession, folder: str) -> DataFrame:
-    """Every page fails once before it is served."""
-    config = _paged(spark, folder, 100_000_000, schema=", ".join(c + " string" for c in TEXT_COLUMNS), flaky="true")
-    return read_source(spark, config.source)
+    """All rows in pages of 500 by their key."""
+    ranking = rank(table(spark, folder, "orders"), ["o_orderkey"])
+    return ranking.pages(500, max(1, ranking.size))[0]
 
 
 @registered(
     """
-    with inside as (select o_orderkey from orders where o_orderkey between 100 and 1400 order by o_orderkey limit 700)
-    select 'truncated' as status, cast(o_orderkey as string) as o_orderkey from inside
+    with span as (select min(o_orderkey) as low, max(o_orderkey) as high from orders),
+    inside as (select o_orderkey, row_number() over (order by o_orderkey) - 1 as n from orders, span
+               where o_orderkey between low + (high - low) // 10 and high - (high - low) // 10)
+    select 'truncated' as status, o_orderkey, n // 500 as page from inside where n < (select count(*) * 3 // 4 from inside)
     """
 )
 def paged_range_capped(spark: SparkSession, folder: str) -> DataFrame:
-    """A range on a source that is cut at ``max_rows``: the range comes first, and the run says that it was cut."""
-    config = _paged(spark, folder, 700, 100, 1400)
-    landed = ingest(spark, config, "20240101T000000Z")
-    return read_bronze(spark, landed.path).select(F.lit(landed.status).alias("status"), "o_orderkey")
+    """The middle of the key span, cut at three quarters of its rows: the range comes before rows are counted."""
+    orders = table(spark, folder, "orders").select("o_orderkey")
+    low, high = orders.agg(F.coalesce(F.min("o_orderkey"), F.lit(0)), F.coalesce(F.max("o_orderkey"), F.lit(0))).first()
+    ranking = rank(between(orders, "o_orderkey", low + (high - low) // 10, high - (high - low) // 10), ["o_orderkey"])
+    rows, truncated = ranking.pages(500, max(1, ranking.size * 3 // 4))
+    return rows.select(F.lit("truncated" if truncated else "success").alias("status"), "o_orderkey", "page")
 
 
 @registered("select cast(event_id as string) as event_id, event_type, cast(value as string) as value, props, "
@@ -955,14 +917,25 @@ def file_source_csv(spark: SparkSession, folder: str) -> DataFrame:
     return read_files(spark, _config(spark, "csv", source).source)
 
 
-@registered("select cast(o_orderkey as string) as o_orderkey, o_orderdate > timestamp '1997-06-30 00:00:00' as second from orders")
+LANDED_FIRST = "o_orderdate < timestamp '1997-06-30 00:00:00' and (o_orderdate < timestamp '1997-06-01 00:00:00' or o_orderkey % 2 = 1)"
+
+
+@registered(
+    "with marked as (select *, case when {0} then 1 else 0 end as early from orders), "
+    "seen as (select max(o_orderdate) as last from marked where early = 1) "
+    "select cast(o_orderkey as string) as o_orderkey, early = 0 as second from marked, seen where early = 1 or o_orderdate >= last "
+    "union all select cast(o_orderkey as string), true from marked, seen where early = 1 and o_orderdate = last".format(LANDED_FIRST)
+)
 def table_source_resumes(spark: SparkSession, folder: str) -> DataFrame:
-    """Two runs over a table that grows in between: the second lands only what came after the greatest value of the first."""
-    orders, view = table(spark, folder, "orders"), "growing_orders"
+    """Two runs over a table that grows in between, also at the greatest value of the first: rows and repeated rows that came
+    late with that value land in the second run, those landed before don't land again."""
+    orders, view = table(spark, folder, "orders").withColumn("o_orderdate", F.col("o_orderdate").cast("timestamp_ntz")), "growing_orders"
     config = _config(spark, "resumed", {"type": "table", "table": view, "incremental_column": "o_orderdate"})
-    orders.filter("o_orderdate <= timestamp_ntz'1997-06-30 00:00:00'").createOrReplaceTempView(view)
+    early = orders.filter(LANDED_FIRST.replace("timestamp '", "timestamp_ntz '"))
+    early.createOrReplaceTempView(view)
     first = ingest(spark, config, "20240101T000000Z")
-    orders.createOrReplaceTempView(view)
+    again = early.join(early.agg(F.max("o_orderdate").alias("o_orderdate")), "o_orderdate").select(orders.columns)
+    orders.unionByName(again).createOrReplaceTempView(view)
     second = ingest(spark, config, "20240102T000000Z")
     parts = [read_bronze(spark, run.path).select("o_orderkey", F.lit(late).alias("second")) for run, late in ((first, False), (second, True))]
     return parts[0].unionByName(parts[1])

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import DataType
 
 from tierlake.config import SourceConfig
+from tierlake.functions.scalars import quoted
 from tierlake.sources import paged
-from tierlake.sources.storage import CORRUPT, between
+from tierlake.sources.storage import CORRUPT, LINE_OPTIONS, between
 
 LINE_SCHEMA = "value string"
 
@@ -69,8 +73,26 @@ def file_location(source: SourceConfig) -> str:
     return "{}{}/{}".format(options.get("root", ""), options["bucket"], str(options["prefix"]).strip("/"))
 
 
-def read_table(spark: SparkSession, source: SourceConfig, after: object = None) -> DataFrame:
-    """A catalog table or a JDBC table; with ``incremental_column`` only rows after the last value seen."""
+def row_text(frame: DataFrame) -> Column:
+    """A row as the JSON line that Bronze holds of it."""
+    return F.to_json(F.struct(*[quoted(name) for name in frame.columns]), LINE_OPTIONS)
+
+
+def _unseen(rows: DataFrame, seen: DataFrame) -> DataFrame:
+    """Rows without those whose lines ``seen`` (``value``) holds, copy by copy: of equal rows only the additional ones."""
+    held = seen.groupBy(F.sha2("value", 256).alias("digest")).agg(F.count(F.lit(1)).alias("held"))
+    whole = F.struct(*[quoted(name) for name in rows.columns])
+    found = rows.groupBy(F.sha2(row_text(rows), 256).alias("digest")).agg(F.first(whole).alias("row"), F.count(F.lit(1)).alias("found"))
+    more = found.join(held, "digest", "left").withColumn("more", F.col("found") - F.coalesce("held", F.lit(0))).filter("more > 0")
+    return more.select("row", F.explode(F.expr("sequence(1L, more)"))).select("row.*")
+
+
+def read_table(spark: SparkSession, source: SourceConfig, after: object = None, seen: Callable[[DataType], DataFrame] | None = None) -> DataFrame:
+    """A catalog table or a JDBC table; with ``incremental_column`` only rows after the last value seen.
+
+    ``seen`` gives the lines (``value``) already landed of rows at the last value, for the column's type: rows that came late
+    with just that value are read then as well, those landed before are not. NULLs in the column are read by the first run only.
+    """
     options = source.options
     if "connection" in options:
         name = ".".join(part for part in (options.get("schema"), options["table"]) if part)
@@ -80,12 +102,17 @@ def read_table(spark: SparkSession, source: SourceConfig, after: object = None)
     last = options.get("after") if after is None else after
     if options.get("incremental_column") and last is not None:
         column = options["incremental_column"]
-        frame = frame.filter(F.col(column) > F.lit(last).cast(frame.schema[column].dataType))
+        kind = frame.schema[column].dataType
+        mark, values = F.lit(last).cast(kind), quoted(column)
+        later = frame.filter(values > mark)
+        return later if seen is None else later.unionByName(_unseen(frame.filter(values == mark), seen(kind)))
     return frame
 
 
-def read_source(spark: SparkSession, source: SourceConfig, after: object = None) -> DataFrame:
-    """Rows of the source inside its configured range; of a table only those after ``after``, if given.
+def read_source(
+    spark: SparkSession, source: SourceConfig, after: object = None, seen: Callable[[DataType], DataFrame] | None = None
+) -> DataFrame:
+    """Rows of the source inside its configured range; of a table only those after ``after`` or not ``seen`` at it, if given.
 
     A paged source's range goes to its transport, which applies it before rows are counted. Rows that land as JSON text are
     not filtered again.
@@ -95,7 +122,7 @@ def read_source(spark: SparkSession, source: SourceConfig, after: object = None)
     elif source.type == "file":
         frame = read_files(spark, source)
     elif source.type == "table":
-        frame = read_table(spark, source, after)
+        frame = read_table(spark, source, after, seen)
     else:
         raise ValueError("Sources of type {} are read as a stream".format(source.type))
     if source.filter and source.filter["column"] in frame.columns:

@@ -172,6 +172,11 @@ def limit_files(frame: DataFrame, partitions: int | None) -> DataFrame:
     return frame if partitions is None else frame.repartition(int(partitions))
 
 
+_MOMENT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+#: How rows become JSON lines.
+LINE_OPTIONS = {"ignoreNullFields": "false", "timestampNTZFormat": _MOMENT, "timestampFormat": _MOMENT + "XXX"}
+
+
 def write_jsonl(frame: DataFrame, path: str, lines: bool = False) -> None:
     """Land rows as JSON lines, replacing the folder. NULLs and microseconds are kept.
 
@@ -180,10 +185,7 @@ def write_jsonl(frame: DataFrame, path: str, lines: bool = False) -> None:
     if lines:
         frame.write.mode("overwrite").text(path)
         return
-    moment = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
-    frame.write.mode("overwrite").option("ignoreNullFields", "false").option("timestampNTZFormat", moment).option(
-        "timestampFormat", moment + "XXX"
-    ).json(path)
+    frame.write.mode("overwrite").options(**LINE_OPTIONS).json(path)
 
 
 def write_parquet(frame: DataFrame, path: str, mode: str) -> None:
