@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tierlake.config import parse_config
 from tierlake.plans import jobs
 from tierlake.plans.jobs import run_all
-from tierlake.plans.layers import bronze_to_raw, func_to_gold, ingest, raw_to_tech, tech_to_func
+from tierlake.plans.layers import bronze_to_raw, func_to_gold, ingest, raw_to_tech, read_func, tech_to_func
 from tierlake.sources.catalog import mirror
 from tierlake.sources.versions import read_current
 from tierlake.sources.storage import batch_ids, path_exists, read_bronze
@@ -176,7 +176,16 @@ def test_history_appends_only_new_versions_when_asked(spark, root, tmp_path):
         for batch in ("20240101T000000Z", "20240102T000000Z"):
             for step in (ingest, bronze_to_raw, raw_to_tech, tech_to_func):
                 step(spark, config, batch)
-        assert read_current(spark, config.layout.func).count() == expected
+        assert read_func(spark, config).count() == expected
+        assert [result.status for result in func_to_gold(spark, config)] == ["success", "success"]
+        assert read_current(spark, config.layout.gold_table("facts/fact_sale")).count() == expected
+    for _ in range(2):
+        assert config.func_table in [name.removeprefix("silver.") for name in mirror(spark, config)]
+    shown = spark.table("silver." + config.func_table)
+    assert shown.count() == 2 and shown.columns == read_func(spark, config).columns
+    plain = configuration(base, tmp_path / "drop", dedup=hashing)
+    with pytest.raises(ValueError, match="is a history"):
+        tech_to_func(spark, plain, "20240102T000000Z")
 
 
 def test_failures_are_recorded_and_raised(spark, root, tmp_path):

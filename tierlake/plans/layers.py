@@ -21,6 +21,7 @@ from tierlake.operators.dimensions import build_dimension
 from tierlake.operators.facts import build_fact
 from tierlake.operators.quality import evaluate
 from tierlake.operators.transform import apply_commands, project
+from tierlake.plans.history import append_history, is_history, read_history, rows_path
 from tierlake.plans.ledger import landed_up_to, last_value, newest, note
 from tierlake.plans.monitoring import monitored
 from tierlake.sources.readers import is_lines, read_source
@@ -38,7 +39,7 @@ from tierlake.sources.storage import (
     write_jsonl,
     write_parquet,
 )
-from tierlake.sources.versions import current_path, replace_dataset
+from tierlake.sources.versions import current_path, read_current, replace_dataset
 from tierlake.streaming.landing import land_events
 
 
@@ -237,36 +238,42 @@ def tech_to_func(
         paths = facts["input_path"].split(",")
         tech = spark.read.schema(merged_schema(spark, *paths)).parquet(*paths).drop(BATCH_COLUMN)
         if not tech.isEmpty():
-            existing = None
-            if config.against_existing and config.func_mode == "append" and path_exists(spark, written):
-                existing = spark.read.parquet(written)
-            func = limit_files(shape(tech, config, existing), config.func_partitions)
-            if config.func_mode == "overwrite":
-                rows, written = _replace_counted(func, layout.func)
+            if config.against_existing and config.func_mode == "append":
+                # the history de-duplicates the shaped rows against what its buckets hold
+                rows, written = append_history(shape(tech, replace(config, dedup=None)), config.dedup, layout.func), rows_path(layout.func)
+            elif is_history(spark, layout.func):
+                raise ValueError("{} is a history: set deduplication.against_existing or another folder".format(layout.func))
+            elif config.func_mode == "overwrite":
+                rows, written = _replace_counted(limit_files(shape(tech, config), config.func_partitions), layout.func)
             else:
-                rows = _write_counted(func, written, config.func_mode)
+                rows = _write_counted(limit_files(shape(tech, config), config.func_partitions), written, config.func_mode)
         facts.update(row_count=rows, status="success" if rows else "no_data")
         for name in sorted(batches) if batches else [facts["batch_id"]]:
             note(spark, config, name, "tech_to_func", rows, facts["status"])
     return StepResult(facts["status"], written, rows, facts["batch_id"])
 
 
+def read_func(spark: SparkSession, config: PipelineConfig) -> DataFrame:
+    """FUNC's rows: of its history, or of its newest version."""
+    held = read_history(spark, config.layout.func)
+    return read_current(spark, config.layout.func) if held is None else held
+
+
 def func_to_gold(spark: SparkSession, config: PipelineConfig, slots: int | None = None) -> list[StepResult]:
     """FUNC to all dimensions, then all facts, each as a new version. Facts join the dimensions as written, which are read back.
 
-    All are built from the version of FUNC that is the newest when the step begins.
+    All are built from the version of FUNC that is the newest when the step begins, or from the runs of a history committed then.
     """
     layout = config.layout
     tables, results = {}, []
-    source = current_path(spark, layout.func)
+    source = read_func(spark, config)
     by_name = {dimension.name: dimension for dimension in config.dimensions}
 
     def write(kind: str, item: Any, build: Any) -> str:
         path = layout.gold_table(item.location)
         about = {"dataset_type": kind, "dataset_name": item.name, "input_path": layout.func, "output_path": path}
         with monitored(spark, config, layer="gold", **about) as facts:
-            func = spark.read.parquet(source)
-            rows, written = _replace_counted(limit_files(build(func), config.gold_partitions), path)
+            rows, written = _replace_counted(limit_files(build(source), config.gold_partitions), path)
             facts.update(row_count=rows, status="success" if rows else "no_data")
         results.append(StepResult(facts["status"], written, rows))
         return written

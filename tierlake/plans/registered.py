@@ -19,8 +19,9 @@ from tierlake.operators.facts import DimensionJoin, Fact, build_fact, lookup_bet
 from tierlake.operators.quality import ColumnRule, evaluate, split
 from tierlake.operators.ranking import rank
 from tierlake.operators.transform import Enrichment, Expression, Metric, OutputColumn, apply_commands, project
+from tierlake.plans.history import append_history, read_history
 from tierlake.plans.jobs import run_all
-from tierlake.plans.layers import StepResult, bronze_to_raw, func_to_gold, ingest, raw_to_tech, tech_to_func
+from tierlake.plans.layers import StepResult, bronze_to_raw, func_to_gold, ingest, raw_to_tech, read_func, tech_to_func
 from tierlake.sources.catalog import mirror
 from tierlake.sources.readers import read_files, read_source
 from tierlake.sources.staging import new_folder, stage
@@ -424,6 +425,24 @@ def dedup_history_new_only(spark: SparkSession, folder: str) -> DataFrame:
     return deduplicate(frame, dedup, existing=earlier)
 
 
+@registered(
+    "with hashed as {0}, known as ({1}), late as (select * from ({2}) n where not exists (select 1 from known k "
+    "where k.user_id is not distinct from n.user_id and k.hash_data = n.hash_data)) "
+    "select * from known union all select * from late".format(
+        TYPE_HASHED,
+        _first("(select * from hashed where ts < timestamp '2024-01-04')", "user_id, hash_data", "ts desc nulls last", "* exclude (rank_in_key)"),
+        _first("(select * from hashed where ts >= timestamp '2024-01-03')", "user_id, hash_data", "ts desc nulls last", "* exclude (rank_in_key)"),
+    )
+)
+def dedup_history_appended(spark: SparkSession, folder: str) -> DataFrame:
+    """Two overlapping batches to a stored history: the second appends what the buckets it may hit don't hold."""
+    frame, path = _event_history(spark, folder), new_folder(spark, "history")
+    dedup = Dedup(("user_id",), "history", ("ts",), hash_columns=("event_type",))
+    append_history(frame.filter("ts < timestamp_ntz '2024-01-04 00:00:00'"), dedup, path)
+    append_history(frame.filter("ts >= timestamp_ntz '2024-01-03 00:00:00'"), dedup, path)
+    return read_history(spark, path).select(*frame.columns, "hash_data")
+
+
 # --- dimensions ------------------------------------------------------------------------------------------------------
 
 SEGMENT = Dimension("dim_segment", ("c_mktsegment",), "segment_key", columns("c_mktsegment"))
@@ -1107,7 +1126,7 @@ def pipeline_all(spark: SparkSession, folder: str) -> DataFrame:
     ingest(spark, config)
     write_jsonl(dirty.filter("pmod(xxhash64(event_id), 3) <> 0"), drop + "/second")
     run_all(spark, config, with_catalog=False)
-    func = read_current(spark, config.layout.func)
+    func = read_func(spark, config)
     fact = read_current(spark, config.layout.gold_table("fact_event"))
     return func.join(fact.select("event_id").distinct(), "event_id", "left_semi").select("event_id", "user_id", "ts", "value", "visitor", "kind")
 
