@@ -14,7 +14,8 @@ from hypothesis import strategies as st
 
 from tierlake.llm.language import Parser, count_phrases, equal_shares, learn_samples, normalise, predict_language, suffix_automaton
 from tierlake.llm.license_scan import NOTICES, bands_for, scan_licenses
-from tierlake.llm.quality import drop_low_quality, score_quality, train
+from tierlake.llm.common import mix
+from tierlake.llm.quality import SHAPES, SHARPNESS, drop_low_quality, score_quality, term_counts, train
 from tierlake.llm.token_counts import Counter, count_tokens, merged_length, read_merges
 
 FOLDER = Path("/root/testdata/sf0.01")
@@ -196,6 +197,47 @@ def test_quality_on_held_out_labels(spark):
     assert kept == {r["row_id"] for r in found if r["score"] >= 0.5}
 
 
+def plain_terms(text, terms):
+    data, found = text.encode(), [0] * terms
+    for i in range(len(data) - 2):
+        code = data[i] << 16 | data[i + 1] << 8 | data[i + 2]
+        found[(code * 2654435761 % 2**32 >> 8) % (terms - SHAPES)] += 1
+    words = re.findall("[^\x20\x09-\x0d]+", text.translate(LOWER))
+    for i in range(len(words) - 4):
+        run, shape = words[i : i + 5], 0
+        for word in run[1:]:
+            shape = shape * 5 + run.index(word)
+        found[terms - SHAPES + int(mix(np.array([shape], dtype=np.uint64))[0]) % SHAPES] += 1
+    return found
+
+
+@needs_tables
+def test_votes_are_those_of_the_nearest_of_all_sample_rows(spark):
+    docs, labels = (spark.read.parquet("{}/{}.parquet".format(FOLDER, t)) for t in ("documents", "labels"))
+    model = train(docs, labels, sample_rows=60, neighbours=9)
+    asked = docs.orderBy("doc_id").limit(80)
+    texts = {r["doc_id"]: r["text"] or "" for r in asked.collect()}
+    found = {r["row_id"]: r["score"] for r in score_quality(asked, model).collect()}
+    assert found.keys() == texts.keys() and 40 < model.labels.size <= 120
+    share, held = model.labels.mean(), model.vectors.astype(float)
+    for key, text in texts.items():
+        vector = np.log1p(plain_terms(text, model.idf.size)) * model.idf
+        vector = (vector / max(np.linalg.norm(vector), 1e-9)) @ model.projection
+        vector /= max(np.linalg.norm(vector), 1e-9)
+        near = sorted(((float(h @ vector), int(q)) for h, q in zip(held, model.labels, strict=True)), reverse=True)[:9]
+        weights = [max(c, 1e-6) ** SHARPNESS * (model.prior / share if q else (1 - model.prior) / (1 - share)) for c, q in near]
+        wanted = sum(w for w, (_, q) in zip(weights, near, strict=True) if q) / sum(weights)
+        assert found[key] == pytest.approx(wanted if text else model.prior, abs=2e-3), key
+
+
+def test_terms_do_not_cross_texts():
+    texts = ["a b c d e", "", "x", "a a a a a a", "one two one two one", "ß é ß é ß"]
+    data = b"".join(t.encode() for t in texts)
+    offsets = np.cumsum([0] + [len(t.encode()) for t in texts])
+    found = term_counts(offsets, np.frombuffer(data, dtype=np.uint8), 1024)
+    assert found.tolist() == [plain_terms(t, 1024) for t in texts]
+
+
 def test_quality_of_odd_documents(spark, odd_docs, no_docs):
     none = spark.createDataFrame([], "doc_id long, quality int")
     assert {r["score"] for r in score_quality(odd_docs, train(odd_docs, none)).collect()} == {0.5}

@@ -1,7 +1,8 @@
 """Quality by nearest-neighbour voting among labelled documents in a latent-semantic space.
 
-Terms are hashed runs of three bytes and the range of the share of repeated words, weighted by 1 + log count and inverse document frequency. A bounded sample of labelled
-documents, as many of either label, spans the space: its singular vectors project any document to ``DIMENSIONS`` numbers. The
+Terms are hashed runs of three bytes and hashed shapes of five-word windows (which of the words are equal), weighted by the log of
+one plus their count and inverse document frequency. A bounded sample of labelled documents, as many of either label, spans the
+space: its singular vectors project any document to ``DIMENSIONS`` numbers. The
 labelled vectors are broadcast; blocks of documents are multiplied with all of them (exact cosines, no index), and the
 ``NEIGHBOURS`` nearest vote with a weight that grows with their similarity.
 """
@@ -17,31 +18,40 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tierlake.llm.common import in_draw, text_slices, word_hashes, word_spans
+from tierlake.llm.common import in_draw, mix, text_slices, word_hashes, word_spans
 from tierlake.llm.language import held_out
 from tierlake.sources.staging import stage
 
 TERMS = 4096
+SHAPES = 256  # of these, columns for the shapes of windows
+WINDOW = 5
 SAMPLE_ROWS = 1000
 DIMENSIONS = 64
 NEIGHBOURS = 25
-SHARPNESS = 4.0
+SHARPNESS = 16.0
 ACCEPT = 0.7
 _SLICE = 2_000_000
 _ROWS = 512  # a row of counts is of fixed size, however short its text
 
 
-#: Upper ends of the ranges into which a text's share of words that repeat the word before falls; a term stands for each.
-REPEATS = np.array([0.07, 0.15, 0.25, 0.35, 0.5, 0.7, 1.0])
-_MARK = 65535
+def window_shapes(words: np.ndarray, size: int = WINDOW) -> np.ndarray:
+    """Hash of the shape of each run of ``size`` words: for every word, the place of the first word of the run equal to it."""
+    count = max(0, words.size - size + 1)
+    shape = np.zeros(count, dtype=np.uint64)
+    for later in range(1, size):
+        first = np.full(count, later, dtype=np.uint64)
+        for before in range(later - 1, -1, -1):
+            first[words[later : later + count] == words[before : before + count]] = before
+        shape = shape * np.uint64(size) + first
+    return mix(shape)
 
 
 def term_counts(offsets: np.ndarray, content: np.ndarray, terms: int) -> np.ndarray:
-    """Counts of hashed byte trigrams and, in the last columns, a mark for the share of repeated words; a row per text.
+    """Counts of hashed byte trigrams and, in the last ``SHAPES`` columns, of hashed window shapes; a row per text.
 
     Texts of fewer than three bytes have no terms.
     """
-    rows, hashed = offsets.size - 1, terms - REPEATS.size
+    rows, hashed = offsets.size - 1, terms - SHAPES
     if content.size < 3:
         return np.zeros((rows, terms), dtype=np.int64)
     code = content.astype(np.uint32)
@@ -49,14 +59,12 @@ def term_counts(offsets: np.ndarray, content: np.ndarray, terms: int) -> np.ndar
     term = ((code * np.uint32(2654435761)) >> np.uint32(8)) % np.uint32(hashed)
     row = np.repeat(np.arange(rows, dtype=np.int64), np.diff(offsets))
     inside = row[:-2] == row[2:]
-    counts = np.bincount(row[:-2][inside] * terms + term[inside], minlength=rows * terms).reshape(rows, terms)
+    counts = np.bincount(row[:-2][inside] * terms + term[inside], minlength=rows * terms)
     starts, ends, of = word_spans(offsets, content)
-    words = word_hashes(content, starts, ends)
-    again = np.flatnonzero((words[1:] == words[:-1]) & (of[1:] == of[:-1])) + 1
-    share = np.bincount(of[again], minlength=rows) / np.maximum(np.bincount(of, minlength=rows), 1)
-    some = np.flatnonzero(counts.any(axis=1))
-    counts[some, hashed + np.searchsorted(REPEATS, share[some])] = _MARK
-    return counts
+    shapes = (window_shapes(word_hashes(content, starts, ends)) % np.uint64(SHAPES)).astype(np.int64)
+    whole = np.flatnonzero(of[: shapes.size] == of[of.size - shapes.size :])
+    counts += np.bincount(of[whole] * terms + hashed + shapes[whole], minlength=rows * terms)
+    return counts.reshape(rows, terms)
 
 
 def _weights(counts: np.ndarray) -> np.ndarray:
