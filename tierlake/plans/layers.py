@@ -10,6 +10,7 @@ import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass, replace
 from datetime import datetime, timezone
+from functools import cache
 from typing import Any
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
@@ -266,14 +267,19 @@ def func_to_gold(spark: SparkSession, config: PipelineConfig, slots: int | None
     """
     layout = config.layout
     tables, results = {}, []
-    source = read_func(spark, config)
+
+    @cache
+    def source() -> DataFrame:
+        """FUNC, found once: a failure is recorded with the dataset that meets it."""
+        return read_func(spark, config)
+
     by_name = {dimension.name: dimension for dimension in config.dimensions}
 
     def write(kind: str, item: Any, build: Any) -> str:
         path = layout.gold_table(item.location)
         about = {"dataset_type": kind, "dataset_name": item.name, "input_path": layout.func, "output_path": path}
         with monitored(spark, config, layer="gold", **about) as facts:
-            rows, written = _replace_counted(limit_files(build(source), config.gold_partitions), path)
+            rows, written = _replace_counted(limit_files(build(source()), config.gold_partitions), path)
             facts.update(row_count=rows, status="success" if rows else "no_data")
         results.append(StepResult(facts["status"], written, rows))
         return written
