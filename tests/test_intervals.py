@@ -121,3 +121,16 @@ def test_candidates_stay_near_the_matches(spark):
     plan = found._jdf.queryExecution().optimizedPlan().toString()
     join = next(line for line in plan.splitlines() if "Join Inner" in line)
     assert all(name in join for name in ("__level", "__bucket", "__k0"))
+
+
+def test_small_files_are_not_broadcast(spark):
+    """Few keys and even times pack into files below any broadcast limit, while their rows fill the driver's memory."""
+    facts = [(n, "a", START + timedelta(hours=n % 720)) for n in range(5_000)]
+    versions = [("a", START + timedelta(hours=n), START + timedelta(hours=n + 4**n), str(n)) for n in range(7)]
+    left, right = frames(spark, facts, versions, "timestamp_ntz")
+    found = valid_versions(left, right, ["k"], "moment", "valid_from", "valid_to", "sk")
+    joined = lookup_valid(left, right, [("k", "k")], "moment", "sk", "sk_out")
+    for frame in (found, joined):
+        plan = frame._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Broadcast" not in plan
+    assert rows_of(joined) == plain(facts, versions)

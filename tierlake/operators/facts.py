@@ -88,7 +88,8 @@ def lookup_valid(
     """Every version valid at the time, by an interval join: the same rows as ``lookup_between``.
 
     Distinct (key, time) pairs meet the versions valid nearby, and the facts join what they found on exactly that. Times the
-    interval join doesn't know (text, say) take the plain join.
+    interval join doesn't know (text, say) take the plain join. What they found repeats moments and versions, so its file is
+    far smaller than its rows; the hint keeps it from being broadcast by the file's size.
     """
     kinds = [fact.schema[at].dataType, dimension.schema["valid_from"].dataType, dimension.schema["valid_to"].dataType]
     if ticks(kinds) is None:
@@ -100,7 +101,7 @@ def lookup_valid(
     )
     met = valid_versions(asked, known, keys, "__moment", "valid_from", "valid_to", "__found")
     matched = [(source, key) for key, (source, _) in zip(keys, pairs)] + [(at, "__moment")]
-    return lookup(fact, stage(met, "valid"), matched, "__found", output)
+    return lookup(fact, stage(met, "valid").hint("merge"), matched, "__found", output)
 
 
 def lookup_sorted(

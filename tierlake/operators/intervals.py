@@ -6,6 +6,9 @@ one bucket of every level that has versions. The join is an equi-join on (key, l
 together with versions that are valid nearby, and the exact bounds decide. A version that meets a moment meets it once.
 
 Open ends are cut to the span of the moments asked for, so every version has a length.
+
+Rows multiply on both sides after they were stored, and what is stored packs well (few keys, even times), so a file's size says
+little about rows in memory: both sides are always shuffled and sorted, none is broadcast.
 """
 
 from __future__ import annotations
@@ -83,5 +86,5 @@ def valid_versions(
     every = F.explode(F.array(*[F.lit(level) for level in levels]).cast("array<int>"))
     probes = wanted.withColumn("__level", every).withColumn("__bucket", F.expr(bucket.format("__t", LEVEL_BITS)))
     names = ["__k{}".format(n) for n in range(len(keys))]
-    met = probes.join(placed, [*names, "__level", "__bucket"]).filter("__t between __from and __to")
+    met = probes.hint("merge").join(placed, [*names, "__level", "__bucket"]).filter("__t between __from and __to")
     return met.select(*[F.col(name).alias(key) for name, key in zip(names, keys)], F.col("__at").alias(at), F.col("__value").alias(value))
