@@ -12,6 +12,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from test_packed import plain_shingles
+from tierlake.llm import near_dedup
+from tierlake.llm.common import packed
 from tierlake.llm.components import components
 from tierlake.llm.exact_dedup import drop_copies, exact_groups
 from tierlake.llm.common import shingles
@@ -213,3 +215,45 @@ def test_components_of_a_long_path_and_a_star(spark):
     pairs = [(i, i + 1) for i in range(60)] + [(100, 100 + i) for i in range(1, 50)] + [(7, 7), (200, 150)]
     found = {tuple(r) for r in components(spark.createDataFrame(pairs, "a long, b long")).select("node", "root").collect()}
     assert found == {(i, 0) for i in range(1, 61)} | {(100 + i, 100) for i in range(1, 50)} | {(200, 150)}
+
+
+def test_columns_shared_by_chance_connect_nothing(spark, monkeypatch):
+    """Every document shares a rare passage with the next one, and no table says which columns occur once."""
+    rng = random.Random(11)
+    words = [["d{}w{}".format(i, j) for j in range(40)] + ["c{}w{}".format(k, j) for k in (i, i + 1) for j in range(7)] for i in range(200)]
+    docs = [(i, " ".join(w)) for i, w in enumerate(words)]
+    for size in range(2, 11):
+        docs += [(1000 * size + i, " ".join(edited(rng, words[size], 1))) for i in range(size - 1)]
+    stored = {}
+
+    def counted(frame, label):
+        found = stage(frame, label)
+        stored[label] = stored.get(label, 0) + found.count()
+        return found
+
+    stage = near_dedup.stage
+    monkeypatch.setattr(near_dedup, "stage", counted)
+    frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
+    found = {tuple(r) for r in near_groups(frame, table_bits=7).collect()}
+    assert found == plain_components(docs, 5, 80)
+    assert sum(root != k for k, _, root in found) > 30
+    assert stored["sets"] < 100
+
+
+def test_sketches_differ_in_no_more_bits_than_rows_in_columns():
+    rng = np.random.default_rng(2)
+    pairs = []
+    for size in (0, 1, 3, 64, 65, 500, 513, 3000, 40_000):
+        a = np.unique(rng.integers(0, 2**64, size, dtype=np.uint64))
+        for new in (0, size // 10, size):
+            pairs.append((a, np.unique(np.concatenate([a[new:], rng.integers(0, 2**64, new + 1, dtype=np.uint64)]))))
+
+    def sketched(rows):
+        content, bounds = near_dedup.sketches(np.concatenate(rows), np.array([r.size for r in rows]))
+        return packed(content, bounds)
+
+    found = near_dedup.differing(sketched([a for a, _ in pairs]), sketched([b for _, b in pairs])).tolist()
+    for (a, b), bits in zip(pairs, found, strict=True):
+        assert bits <= np.setxor1d(a, b).size
+        if 500 <= a.size < 2 * near_dedup.SKETCH_BITS and not np.intersect1d(a, b).size:
+            assert bits > a.size + b.size - 2 * need(a.size, b.size, 80)

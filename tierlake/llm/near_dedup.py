@@ -5,10 +5,12 @@ least ``need(n, m)`` columns, which follows from the sizes alone.
 
 1. Candidates. All rows order their columns alike, by how often the columns occur, rarest first; linked rows then have one of
    the first ``n - need + 1`` of each in common (about a fifth of a row at 0.8). A row sends these columns only, to owners by
-   hash; rows that share one become neighbours of the one with the smallest key (a star, never all pairs), and connected
-   neighbours form a row block. A passage shared by many documents is common, so it comes last and draws none together.
-   Any common order is right; this one is of counts over all documents, exchanged as Golomb-coded lists of fingerprints and
-   returned as bit tables of bounded size.
+   hash. Of a column that ``PAIRED`` rows or fewer have, each pair is a candidate that must pass bounds first: their sizes,
+   and the sketches of their columns, which differ in no more bits than the rows in columns. So columns that two texts share
+   by chance connect nothing, however many there are. Rows that share a column of more rows become neighbours of the one
+   with the smallest key (a star, never all pairs). Connected neighbours form a row block. A passage shared by many
+   documents is common, so it comes last and draws none together. Any common order is right; this one is of counts over all
+   documents, exchanged as Golomb-coded lists of fingerprints and returned as bit tables of bounded size.
 2. Product. Rows of one row block are multiplied with each other. A row's rarest columns come first: partners they don't
    reach, or whose size is out of range, stay below the bound and are discarded; for the rest overlaps are added up and
    compared with the bound. Rows already in the largest group of links needn't be multiplied once all others have been.
@@ -39,13 +41,16 @@ SEND_SHINGLES = 1 << 20
 TILE_SHINGLES = 1 << 21
 CELL_BITS = 36
 TABLE_BITS = 28
+TABLE_LOAD = 1
+PAIRED = 4
+SKETCH_BITS = 1 << 14
 COMMON = [2, 4, 16, 64, 256, 1024]
 Tables = tuple[tuple[int, np.ndarray], ...]
 _LISTS = "run long, cells binary, more binary"
 _RUNS = "run long, least long, n long, cells binary"
 _BITS = "run long, bits binary"
-_SENT = "owner int, row_id long, n long, a long, b long, blocks binary, rows binary, places binary"
-_MET = "row_id long, n long, a long, b long"
+_SENT = "owner int, row_id long, n long, a long, b long, sketch binary, blocks binary, rows binary, sizes binary, places binary"
+_MET = "row_id long, n long, a long, b long, asked boolean, sketch binary"
 _SETS = "root long, tile int, tiles int, probe boolean, row_id long, columns binary"
 _LINKS = "a long, b long"
 
@@ -160,12 +165,13 @@ def _bits(run_bits: int, table_bits: int):
     return bits
 
 
-def common_columns(bodies: DataFrame, size: int, owners: int, limit: int, table_bits: int) -> Tables:
+def common_columns(bodies: DataFrame, size: int, owners: int, limit: int, table_bits: int, most_load: float = 1 / 8) -> Tables:
     """Bit tables of the columns that occur in at least 2, 4, 16, ... of all texts of ``bodies`` (one column).
 
-    Columns are counted exactly but for equal fingerprints. A table has eight bits or more for each of its columns; one that
-    would need more than 2 ** ``table_bits`` bits is left out: then columns below the next threshold count as equally rare,
-    which brings more rows together and changes no result. So what is broadcast has a fixed bound.
+    Columns are counted exactly but for equal fingerprints. A table has eight bits or more for each of its columns, up to
+    2 ** ``table_bits`` bits; at that size it takes ``most_load`` columns a bit. One of more columns is left out: then columns
+    below the next threshold count as equally rare. Full or missing tables bring more rows together and change no result.
+    So what is broadcast has a fixed bound.
     """
     run_bits = min((8 * owners - 1).bit_length(), table_bits - 3)
     lists = bodies.mapInArrow(_count(size, run_bits, limit), _LISTS)
@@ -173,6 +179,8 @@ def common_columns(bodies: DataFrame, size: int, owners: int, limit: int, table_
     tables = []
     for row in counted.groupBy("least").agg(F.sum("n").alias("n")).orderBy("least").collect():
         wanted = max((8 * row["n"]).bit_length(), run_bits + 3)
+        if wanted > table_bits and row["n"] <= most_load * (1 << table_bits):
+            wanted = table_bits
         if not row["n"] or wanted > table_bits:
             continue
         table = np.zeros(1 << (wanted - 3), dtype=np.uint8)
@@ -184,17 +192,56 @@ def common_columns(bodies: DataFrame, size: int, owners: int, limit: int, table_
     return tuple(tables)
 
 
-def _stars(values: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct values with the smallest id of each, and the (smallest id, other id) pairs of equal values."""
+def _places(values: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Where the distinct (value, id) are, by value and id; the number of each among its value's; which are of values that more
+    than ``PAIRED`` ids have; and for those the (smallest id, other id) pairs.
+    """
     order = np.lexsort((ids, values))
+    fresh = np.ones(values.size, dtype=bool)
+    fresh[1:] = (values[order[1:]] != values[order[:-1]]) | (ids[order[1:]] != ids[order[:-1]])
+    order = order[fresh]
     values, ids = values[order], ids[order]
     fresh = np.ones(values.size, dtype=bool)
     fresh[1:] = values[1:] != values[:-1]
     first = np.flatnonzero(fresh)
-    centre = np.repeat(ids[first], np.diff(first, append=values.size))
-    other = centre != ids
-    pairs = np.unique(np.stack([centre[other], ids[other]], axis=1), axis=0) if other.any() else np.empty((0, 2), np.int64)
-    return values[first], ids[first], pairs[:, 0], pairs[:, 1]
+    count = np.diff(first, append=values.size)
+    many = np.repeat(count > PAIRED, count)
+    centre = np.repeat(ids[first], count)
+    star = many & (centre != ids)
+    return order, np.arange(values.size) - np.repeat(first, count), many, *distinct_sorted(centre[star], ids[star])
+
+
+def sketches(values: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Bytes of the sketches of rows, and where each begins: the parities of a row's columns dealt over hashed bits.
+
+    A row has about as many bits as columns (a power of two, ``SKETCH_BITS`` at most). Two sketches, the longer folded to the
+    length of the other, differ in no more bits than their rows do in columns.
+    """
+    bits = np.clip(1 << np.ceil(np.log2(np.maximum(sizes, 1))).astype(np.int64), 64, SKETCH_BITS)
+    bounds = np.concatenate([[0], np.cumsum(bits)])
+    inside = (values & np.repeat(bits - 1, sizes).astype(np.uint64)).astype(np.int64)
+    odd = np.bincount(np.repeat(bounds[:-1], sizes) + inside, minlength=bounds[-1]) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little"), bounds // 8
+
+
+def differing(left: pa.Array, right: pa.Array) -> np.ndarray:
+    """In how many bits the sketches of each pair differ."""
+    sides = []
+    for side in (left, right):
+        _, offsets, content = side.cast(pa.large_binary()).buffers()
+        at = np.frombuffer(offsets, dtype=np.int64)[side.offset : side.offset + len(side) + 1]
+        sides.append((at[:-1], np.diff(at), np.frombuffer(content, dtype=np.uint8)))
+    (a, n, left_bytes), (b, m, right_bytes) = sides
+    out = np.zeros(len(left), dtype=np.int64)
+    for k, j in set(zip(n.tolist(), m.tolist(), strict=True)):
+        some = np.flatnonzero((n == k) & (m == j))
+        x = left_bytes[a[some][:, None] + np.arange(k)]
+        y = right_bytes[b[some][:, None] + np.arange(j)]
+        width = min(k, j)
+        x = np.bitwise_xor.reduce(x.reshape(some.size, -1, width), axis=1)
+        y = np.bitwise_xor.reduce(y.reshape(some.size, -1, width), axis=1)
+        out[some] = np.bitwise_count(x ^ y).sum(axis=1, dtype=np.int64)
+    return out
 
 
 def _rows(size: int, schema: str, **columns) -> pa.RecordBatch:
@@ -205,7 +252,9 @@ def _rows(size: int, schema: str, **columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(arrays, names=[n for n, _ in fields])
 
 
-def _packets(value: np.ndarray, centre: np.ndarray, a: np.ndarray, b: np.ndarray, owners: int) -> Iterator[pa.RecordBatch]:
+def _packets(
+    value: np.ndarray, row: np.ndarray, ids: np.ndarray, sizes: np.ndarray, a: np.ndarray, b: np.ndarray, owners: int
+) -> Iterator[pa.RecordBatch]:
     """Pairs found by a sender, and its sorted values with a row for each (a place in a list of rows), cut among the owners."""
     if a.size:
         yield _rows(a.size, _SENT, owner=(a % owners).astype(np.int32), a=a, b=b)
@@ -213,18 +262,22 @@ def _packets(value: np.ndarray, centre: np.ndarray, a: np.ndarray, b: np.ndarray
     bounds = np.searchsorted(owner, np.arange(owners + 1))
     some = np.flatnonzero(np.diff(bounds))
     spans = [(bounds[o], bounds[o + 1]) for o in some]
-    named = [np.unique(centre[i:j], return_inverse=True) for i, j in spans]
+    named = [np.unique(row[i:j], return_inverse=True) for i, j in spans]
     yield _rows(
         some.size,
         _SENT,
         owner=some.astype(np.int32),
         blocks=[value[i:j].tobytes() for i, j in spans],
-        rows=[ids.tobytes() for ids, _ in named],
-        places=[at.astype(np.uint16 if ids.size <= 1 << 16 else np.uint32).tobytes() for ids, at in named],
+        rows=[ids[of].tobytes() for of, _ in named],
+        sizes=[sizes[of].astype(np.uint32).tobytes() for of, _ in named],
+        places=[at.astype(np.uint16 if of.size <= 1 << 16 else np.uint32).tobytes() for of, at in named],
     )
 
 
 def _send(owners: int, size: int, percent: int, limit: int, tables: Tables):
+    def spread(ids: np.ndarray) -> np.ndarray:
+        return ((ids.astype(np.uint64) >> np.uint64(3)) % np.uint64(owners)).astype(np.int32)
+
     def send(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []  # ids, sizes, values in row order
 
@@ -233,8 +286,16 @@ def _send(owners: int, size: int, percent: int, limit: int, tables: Tables):
             held.clear()
             rows = np.repeat(np.arange(ids.size), sizes)
             row, value = block_values(rows, values, sizes, percent, tables)
-            value, centre, a, b = _stars(value, ids[row])
-            yield from _packets(value, centre, a, b, owners)
+            order, place, many, a, b = _places(value, ids[row])
+            asked = np.zeros(ids.size, dtype=bool)
+            asked[row[order[~many]]] = True
+            if asked.any():
+                content, bounds = sketches(values[asked[rows]], sizes[asked])
+                n = sizes[asked]
+                yield _rows(n.size, _SENT, owner=spread(ids[asked]), row_id=ids[asked], n=n, sketch=packed(content, bounds))
+            # one more than PAIRED tells the owner that there are more
+            order = order[place <= PAIRED]
+            yield from _packets(value[order], row[order], ids, sizes, a, b, owners)
 
         count = 0
         for batch in batches:
@@ -245,8 +306,7 @@ def _send(owners: int, size: int, percent: int, limit: int, tables: Tables):
                 rows, values = distinct_sorted(*shingles(offsets, content, size))
                 part = slice(first, first + offsets.size - 1)
                 sizes = np.bincount(rows, minlength=offsets.size - 1)
-                spread = ((ids[part].astype(np.uint64) >> np.uint64(3)) % np.uint64(owners)).astype(np.int32)
-                yield _rows(sizes.size, _SENT, owner=spread, row_id=keys.slice(first, sizes.size), n=sizes)
+                yield _rows(sizes.size, _SENT, owner=spread(ids[part]), row_id=keys.slice(first, sizes.size), n=sizes)
                 held.append((ids[part][known[part]], sizes[known[part]], values[known[part][rows]]))
                 count += values.size
                 if count >= limit:
@@ -258,19 +318,60 @@ def _send(owners: int, size: int, percent: int, limit: int, tables: Tables):
     return send
 
 
-def _meet(table: pa.Table) -> pa.Table:
-    """One owner: pass documents and pairs on, and pair what shares a column."""
-    kept = table.select(["row_id", "n", "a", "b"]).filter(table.column("blocks").is_null())
-    packets = table.filter(table.column("blocks").is_valid())
-    values = [np.frombuffer(p, dtype=np.uint64) for p in packets.column("blocks").to_pylist()]
-    if not values:
-        return kept
-    ids = []
-    for rows, places in zip(packets.column("rows").to_pylist(), packets.column("places").to_pylist(), strict=True):
-        rows = np.frombuffer(rows, dtype=np.int64)
-        ids.append(rows[np.frombuffer(places, dtype=np.uint16 if rows.size <= 1 << 16 else np.uint32)])
-    _, _, a, b = _stars(np.concatenate(values), np.concatenate(ids))
-    return pa.concat_tables([kept.cast(pa.Table.from_batches([_rows(0, _MET)]).schema), pa.Table.from_batches([_rows(a.size, _MET, a=a, b=b)])])
+def _meet(percent: int):
+    def meet(table: pa.Table) -> pa.Table:
+        """One owner: pass documents and pairs on, and pair what shares a column."""
+        plain = table.filter(table.column("blocks").is_null())
+        plain = plain.select(["row_id", "n", "a", "b", "sketch"]).append_column("asked", pa.nulls(len(plain), pa.bool_()))
+        kept = plain.select(_rows(0, _MET).schema.names).cast(_rows(0, _MET).schema)
+        packets = table.filter(table.column("blocks").is_valid())
+        values = [np.frombuffer(p, dtype=np.uint64) for p in packets.column("blocks").to_pylist()]
+        if not values:
+            return kept
+        ids, sizes = [], []
+        for rows, lengths, places in zip(*(packets.column(c).to_pylist() for c in ("rows", "sizes", "places")), strict=True):
+            rows = np.frombuffer(rows, dtype=np.int64)
+            at = np.frombuffer(places, dtype=np.uint16 if rows.size <= 1 << 16 else np.uint32)
+            ids.append(rows[at])
+            sizes.append(np.frombuffer(lengths, dtype=np.uint32)[at])
+        values, ids, sizes = np.concatenate(values), np.concatenate(ids), np.concatenate(sizes).astype(np.int64)
+        order, _, many, a, b = _places(values, ids)
+        order = order[~many]
+        values, ids, sizes = values[order], ids[order], sizes[order]
+        pairs = []
+        for step in range(1, PAIRED):
+            first = np.flatnonzero(values[step:] == values[:-step])
+            n, m = sizes[first], sizes[first + step]
+            first = first[100 * np.minimum(n, m) >= percent * np.maximum(n, m)]
+            pairs.append((ids[first], ids[first + step]))
+        x, y = distinct_sorted(*(np.concatenate(side) for side in zip(*pairs, strict=True)))
+        asked = np.repeat([False, True], [a.size, x.size])
+        found = _rows(asked.size, _MET, a=np.concatenate([a, x]), b=np.concatenate([b, y]), asked=asked)
+        return pa.concat_tables([kept, pa.Table.from_batches([found])])
+
+    return meet
+
+
+def _within(percent: int):
+    """Pairs whose sketches don't differ in more bits than linked rows can in columns."""
+
+    def within(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n, m = np.asarray(batch.column("n")), np.asarray(batch.column("m"))
+            left = differing(batch.column("sketch"), batch.column("other")) <= n + m - 2 * need(n, m, percent)
+            yield batch.select(["a", "b"]).filter(pa.array(left))
+
+    return within
+
+
+def _neighbours(met: DataFrame, percent: int) -> DataFrame:
+    """What connects row blocks: the stars, and the pairs asked for that their sketches don't rule out."""
+    known = met.filter("sketch is not null").groupBy("row_id").agg(F.max(F.struct("n", "sketch")).alias("of"))
+    first = known.select(F.col("row_id").alias("a"), "of.n", "of.sketch")
+    second = known.select(F.col("row_id").alias("b"), F.col("of.n").alias("m"), F.col("of.sketch").alias("other"))
+    asked = met.filter("asked").select("a", "b").distinct().join(first, "a").join(second, "b")
+    pairs = stage(asked.select("a", "b", "n", "sketch", "m", "other").mapInArrow(_within(percent), _LINKS), "pairs")
+    return met.filter("a is not null and asked is not true").select("a", "b").unionByName(pairs)
 
 
 def link_rows(sizes: np.ndarray, rows: np.ndarray, values: np.ndarray, percent: int, probes: np.ndarray | None = None) -> list[tuple[int, int]]:
@@ -406,11 +507,11 @@ def near_groups(
     """
     rows = docs.select(F.col(key).cast("long").alias("row_id"), F.col(text).cast("string").alias("body"))
     owners = owners or shuffle_width(docs)
-    tables = common_columns(rows.select("body"), words, owners, send_shingles, table_bits)
+    tables = common_columns(rows.select("body"), words, owners, send_shingles, table_bits, TABLE_LOAD)
     send = _send(owners, words, percent, send_shingles, tables)
-    met = stage(rows.mapInArrow(send, _SENT).groupBy("owner").applyInArrow(_meet, _MET), "met")
-    sizes = met.filter("a is null").select("row_id", "n")
-    stars = components(met.filter("a is not null").select("a", "b"))
+    met = stage(rows.mapInArrow(send, _SENT).groupBy("owner").applyInArrow(_meet(percent), _MET), "met")
+    sizes = met.filter("a is null and sketch is null").select("row_id", "n")
+    stars = components(_neighbours(met, percent))
     inside = stars.select(F.col("node").alias("row_id"), "root").unionByName(
         stars.select(F.col("root").alias("row_id"), "root").distinct()
     )
