@@ -217,29 +217,48 @@ def test_components_of_a_long_path_and_a_star(spark):
     assert found == {(i, 0) for i in range(1, 61)} | {(100 + i, 100) for i in range(1, 50)} | {(200, 150)}
 
 
-def test_columns_shared_by_chance_connect_nothing(spark, monkeypatch):
-    """Every document shares a rare passage with the next one, and no table says which columns occur once."""
+@pytest.fixture(scope="module")
+def chance_corpus():
+    """Every document shares a rare passage with the next one; nine have up to nine near copies."""
     rng = random.Random(11)
     words = [["d{}w{}".format(i, j) for j in range(40)] + ["c{}w{}".format(k, j) for k in (i, i + 1) for j in range(7)] for i in range(200)]
     docs = [(i, " ".join(w)) for i, w in enumerate(words)]
     for size in range(2, 11):
         docs += [(1000 * size + i, " ".join(edited(rng, words[size], 1))) for i in range(size - 1)]
-    stored = {}
+    return docs
+
+
+@pytest.fixture
+def stored(monkeypatch):
+    """Rows that near_dedup stages, by label."""
+    rows = Counter()
+    stage = near_dedup.stage
 
     def counted(frame, label):
         found = stage(frame, label)
-        stored[label] = stored.get(label, 0) + found.count()
+        rows[label] += found.count()
         return found
 
-    stage = near_dedup.stage
     monkeypatch.setattr(near_dedup, "stage", counted)
-    frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
+    return rows
+
+
+def test_columns_shared_by_chance_connect_nothing(spark, chance_corpus, stored):
+    """No table says which columns occur once, as over many documents."""
+    frame = spark.createDataFrame(chance_corpus, "doc_id long, text string").repartition(4)
     found = {tuple(r) for r in near_groups(frame, table_bits=7).collect()}
-    assert found == plain_components(docs, 5, 80)
+    assert found == plain_components(chance_corpus, 5, 80)
     assert sum(root != k for k, _, root in found) > 30
     assert stored["sets"] < 100
 
 
+def test_the_stage_stores_few_sets_of_columns_shared_by_chance(spark, chance_corpus, stored):
+    frame = spark.createDataFrame(chance_corpus, "doc_id long, text string").repartition(4)
+    kept = sorted(r["doc_id"] for r in drop_near_copies(frame, table_bits=7).collect())
+    assert kept == sorted({root for _, _, root in plain_components(chance_corpus, 5, 80)})
+    assert stored["sets"] < 100
+
+
 def test_sketches_differ_in_no_more_bits_than_rows_in_columns():
     rng = np.random.default_rng(2)
     pairs = []
